@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash52, normal, uniform
+from ..functions.hashing import normal, uniform
 
 # Parameters of the sample data sets.
 # name: feature ranges, noise standard deviation
@@ -89,7 +89,7 @@ def credit_data(df: DataFrame, id_col: str, seed=42) -> DataFrame:
 
 def blobs(df: DataFrame, id_col: str, centers: list[tuple[float, ...]], sd: float = 1.0, seed=42) -> DataFrame:
     """Round normal clouds of equal size around centres, with the true cluster of every row."""
-    cluster = F.pmod(hash52(id_col, f"{seed}/cluster"), F.lit(len(centers))).cast("int")
+    cluster = F.pmod(F.col(id_col), F.lit(len(centers))).cast("int")
     result = df.withColumn("true_cluster", cluster)
     for d in range(len(centers[0])):
         at = F.element_at(F.array(*[F.lit(float(c[d])) for c in centers]), F.col("true_cluster") + 1)
