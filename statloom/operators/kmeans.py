@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -214,8 +215,6 @@ def assign(df: DataFrame, features: list[str] | str, centers: np.ndarray, name:
 
 
 def _nearest_udf(spark: SparkSession, centers: np.ndarray):
-    import pandas as pd
-
     width = centers.shape[1]
     broadcast = spark.sparkContext.broadcast(centers)
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import affine
+from ..functions.numeric import total
 from ..plans.gram import SQL_COLUMNS
 from .prepare import fit_scaler
 from .regression import LinearModel
@@ -16,59 +17,104 @@ from .regression import LinearModel
 MAX_STEPS = 50
 
 
+@dataclass
+class _Fit:
+    """State of one Newton iteration: a penalty strength and the fold kept out of the fit."""
+
+    c: float
+    left_out: int | None
+    beta: np.ndarray
+    step: np.ndarray | None = None
+    loss: float = np.inf
+    done: bool = False
+
+
 def fit_logistic(df: DataFrame, features: list[str], label: str, c: float = 1.0, tol: float = 1e-10) -> LinearModel:
     """Maximise likelihood minus |w|^2 / (2 C); the intercept is not penalised.
 
-    Up to twelve features: Newton steps, one aggregate of p*p sums each, about eight scans in
+    Up to eleven features: Newton steps, one aggregate of p*p sums each, about eight scans in
     all. More features: the L-BFGS estimator of Spark ML.
     """
     if len(features) + 1 > SQL_COLUMNS:
         return _fit_wide(df, features, label, c)
+    return fit_logistic_many(df, features, label, [(c, None)], tol=tol)[0]
+
+
+def fit_logistic_many(
+    df: DataFrame, features: list[str], label: str, settings: list[tuple], fold: str | None = None, tol: float = 1e-10
+) -> list[LinearModel]:
+    """One model per (C, left-out fold); every scan advances all of them."""
     scaler = fit_scaler(df, features)
     sd = np.array([s or 1.0 for s in scaler.sds])
-    # the penalty is stated on raw coefficients: w_raw = w_scaled / sd
-    penalty = np.concatenate([[0.0], 1.0 / (c * sd**2)])
     scaled = df.select(
         F.lit(1.0).alias("z0"),
         *[scaler.column(f).alias(f"z{i + 1}") for i, f in enumerate(features)],
         F.col(label).cast("double").alias("y"),
+        (F.col(fold) if fold else F.lit(None).cast("int")).alias("fold"),
     )
-    beta, previous, step = np.zeros(len(features) + 1), np.inf, None
+    fits = [_Fit(c, left_out, np.zeros(len(features) + 1)) for c, left_out in settings]
     for _ in range(MAX_STEPS):
-        loss, gradient, hessian = _newton_sums(scaled, beta)
-        loss += 0.5 * float(penalty @ beta**2)
-        if step is not None and loss > previous + 1e-9 * abs(previous):
-            step = step / 2  # overshoot: go half the way back
-            beta = beta - step
-            continue
-        previous = loss
-        step = np.linalg.lstsq(hessian + np.diag(penalty), gradient - penalty * beta, rcond=1e-14)[0]
-        beta = beta + step
-        if np.max(np.abs(step)) < tol:
+        active = [f for f in fits if not f.done]
+        if not active:
             break
-    raw = beta[1:] / sd
-    intercept = beta[0] - float(raw @ np.array(scaler.means))
-    return LinearModel(tuple(features), float(intercept), tuple(map(float, raw)), "logit")
+        for f, sums in zip(active, _newton_sums(scaled, active)):
+            # the penalty is stated on raw coefficients: w_raw = w_scaled / sd
+            _advance(f, *sums, np.concatenate([[0.0], 1.0 / (f.c * sd**2)]), tol)
+    models = []
+    for f in fits:
+        raw = f.beta[1:] / sd
+        intercept = float(f.beta[0] - raw @ np.array(scaler.means))
+        models.append(LinearModel(tuple(features), intercept, tuple(map(float, raw)), "logit"))
+    return models
+
 
+def _advance(fit: _Fit, loss: float, gradient: np.ndarray, hessian: np.ndarray, penalty: np.ndarray, tol: float):
+    loss += 0.5 * float(penalty @ fit.beta**2)
+    if fit.step is not None and loss > fit.loss + 1e-9 * abs(fit.loss):
+        fit.step = fit.step / 2  # overshoot: go half the way back
+        fit.beta = fit.beta - fit.step
+        return
+    fit.loss = loss
+    fit.step = np.linalg.lstsq(hessian + np.diag(penalty), gradient - penalty * fit.beta, rcond=1e-14)[0]
+    fit.beta = fit.beta + fit.step
+    fit.done = bool(np.max(np.abs(fit.step)) < tol)
 
-def _newton_sums(scaled: DataFrame, beta: np.ndarray):
-    width = len(beta)
-    z = [F.col(f"z{i}") for i in range(width)]
-    margin = affine(z[1:], list(beta[1:]), beta[0])
-    rows = scaled.withColumn("m", margin).withColumn("p", 1 / (1 + F.exp(-F.col("m"))))
+
+def _newton_sums(scaled: DataFrame, fits: list[_Fit]) -> list[tuple]:
+    """Loss, gradient and curvature of every fit from one aggregate."""
+    width = len(fits[0].beta)
+    z, b = [F.col(f"z{i}") for i in range(width)], [F.col(f"b{i}") for i in range(width)]
+    states = [
+        F.struct(
+            F.lit(i).alias("fit"),
+            F.lit(f.left_out).cast("int").alias("left_out"),
+            *[F.lit(float(v)).alias(f"b{j}") for j, v in enumerate(f.beta)],
+        )
+        for i, f in enumerate(fits)
+    ]
+    rows = scaled.select("*", F.inline(F.array(*states)))
+    if any(f.left_out is not None for f in fits):
+        rows = rows.where(F.col("left_out").isNull() | (F.col("fold") != F.col("left_out")))
+    margin = total([x * y for x, y in zip(z, b)])
+    rows = rows.withColumn("m", margin).withColumn("p", 1 / (1 + F.exp(-F.col("m"))))
     rows = rows.withColumn("w", F.col("p") * (1 - F.col("p")))
     pairs = list(combinations_with_replacement(range(width), 2))
     # log(1 + exp(m)) without overflow for large m
     soft = F.greatest(F.col("m"), F.lit(0.0)) + F.log1p(F.exp(-F.abs(F.col("m"))))
-    r = rows.agg(
+    sums = rows.groupBy("fit").agg(
         F.sum(soft - F.col("y") * F.col("m")).alias("loss"),
         *[F.sum((F.col("y") - F.col("p")) * z[i]).alias(f"g{i}") for i in range(width)],
         *[F.sum(F.col("w") * z[i] * z[j]).alias(f"h{i}_{j}") for i, j in pairs],
-    ).first()
-    hessian = np.zeros((width, width))
-    for i, j in pairs:
-        hessian[i, j] = hessian[j, i] = r[f"h{i}_{j}"]
-    return r["loss"], np.array([r[f"g{i}"] for i in range(width)]), hessian
+    )
+    by_fit = {r["fit"]: r for r in sums.collect()}
+    result = []
+    for i in range(len(fits)):
+        r = by_fit[i]
+        hessian = np.zeros((width, width))
+        for j, k in pairs:
+            hessian[j, k] = hessian[k, j] = r[f"h{j}_{k}"]
+        result.append((r["loss"], np.array([r[f"g{j}"] for j in range(width)]), hessian))
+    return result
 
 
 def _fit_wide(df: DataFrame, features: list[str], label: str, c: float) -> LinearModel:
@@ -89,8 +135,8 @@ def _fit_wide(df: DataFrame, features: list[str], label: str, c: float) -> Linea
     return LinearModel(tuple(features), float(model.intercept), tuple(map(float, model.coefficients)), "logit")
 
 
-def odds_ratios(df_spark, model: LinearModel) -> DataFrame:
+def odds_ratios(spark: SparkSession, model: LinearModel) -> DataFrame:
     """Factor by which the odds change when a feature grows by one."""
-    return model.table(df_spark).where("term <> '(intercept)'").select(
+    return model.table(spark).where("term <> '(intercept)'").select(
         "term", "coefficient", F.exp("coefficient").alias("odds_ratio")
     )
