@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import uniform
 from ..functions.numeric import argmax, cross_entropy
 from ..operators import kmeans, layers, metrics, network, training
+from ..operators.prepare import scale_pixels
 from ..operators.reshape import first_rows
 from ..operators.split import mini_batches, train_test_split
 from ..session import new_shared_path
@@ -15,7 +16,7 @@ from ..sources import grid
 from ..sources.tables import load, save
 from . import oracle as o
 from .clusters import EMBEDDING_DISTANCES, LABEL_MEANS, label_means
-from .data import sample_sql, sample_table
+from .data import PIXEL_MEAN, PIXEL_SD, sample_sql, sample_table
 from .registry import query, rounded
 
 # Weights of the two example networks.
@@ -130,6 +131,7 @@ def _(spark, d):
 
 def _embedding_split(spark, d):
     rows = load(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    rows = scale_pixels(rows, "embedding", PIXEL_MEAN, PIXEL_SD)
     split = train_test_split(rows, "vec_id", 0.2, 42)
     return split.where(~F.col("is_test")), split.where("is_test")
 

@@ -81,9 +81,9 @@ def fill_missing(df: DataFrame, columns: list[str], strategy: str = "mean") -> D
 
 def iqr_filter(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """Keep rows within factor * IQR of the quartiles."""
-    _, found = quantiles(df, F.col(column), [0.25, 0.75])
+    _, found = quantiles(df, F.col(f"`{column}`"), [0.25, 0.75])
     if not found:
         return df
     q1, q3 = found[0]
     reach = factor * (q3 - q1)
-    return df.where(F.col(column).between(q1 - reach, q3 + reach))
+    return df.where(F.col(f"`{column}`").between(q1 - reach, q3 + reach))
