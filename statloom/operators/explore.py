@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash52
 from ..plans.order_stats import MAX_GROUPS, order_statistics, quantiles
 
+PROFILE_SCHEMA = (
+    "column string, n bigint, missing bigint, mean double, sd double, low double, high double, "
+    "q1 double, median double, q3 double"
+)
 BOX_SCHEMA = "category string, q1 double, median double, q3 double"
 
 
@@ -46,7 +50,9 @@ def scatter_points(df: DataFrame, id_col: str, category: str, n: int, seed=42) -
     category that holds most rows is not gathered or sorted.
     """
     hashed = df.withColumn("__hash", hash52(id_col, seed))
-    sizes, found = order_statistics(hashed, F.col("__hash"), lambda _g, size: [min(n, size)], F.col(category))
+    sizes, found = order_statistics(
+        hashed, F.col("__hash"), lambda _g, size: [min(n, size)], F.col(category)
+    )
     cuts = [(g, found[g][min(n, size)].value) for g, size in sizes.items()]
     kind = df.schema[category].dataType.simpleString()
     table = df.sparkSession.createDataFrame(cuts, f"__category {kind}, __cut bigint")
@@ -62,18 +68,17 @@ def axis_range(df: DataFrame, value: str, below: float, above: float) -> DataFra
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, missing count, mean, standard deviation, range and quartiles per column."""
+    aggs = []
+    for i, c in enumerate(columns):
+        x = F.col(f"`{c}`").cast("double")
+        named = {"n": F.count(x), "missing": F.count(F.lit(1)) - F.count(x), "mean": F.avg(x),
+                 "sd": F.stddev_samp(x), "low": F.min(x), "high": F.max(x)}
+        aggs += [a.alias(f"{name}_{i}") for name, a in named.items()]
+    sums = df.agg(*aggs).first()
     pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns]
-    long = df.select(F.inline(F.array(*pairs)))
-    sums = long.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.sum(F.col("value").isNull().cast("bigint")).alias("missing"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
-    _, found = quantiles(long, F.col("value"), [0.25, 0.5, 0.75], F.col("column"))
-    table = df.sparkSession.createDataFrame(
-        [(c, *(found.get(c) or [None] * 3)) for c in columns], "column string, q1 double, median double, q3 double"
-    )
-    return sums.join(F.broadcast(table), "column")  # one row per column
+    _, found = quantiles(df.select(F.inline(F.array(*pairs))), F.col("value"), [0.25, 0.5, 0.75], F.col("column"))
+    rows = [
+        (c, *[sums[f"{a}_{i}"] for a in ("n", "missing", "mean", "sd", "low", "high")], *(found.get(c) or [None] * 3))
+        for i, c in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)

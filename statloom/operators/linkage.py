@@ -256,11 +256,12 @@ def _by_cluster(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _distances(block: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Euclidean distances by differences, so equal points are at distance zero exactly."""
-    d = np.zeros((len(block), len(points)))
-    for j in range(points.shape[1]):
-        d += (block[:, j, None] - points[None, :, j]) ** 2
-    return np.sqrt(d)
+    """Euclidean distances by a matrix product; close pairs, where it loses digits, by differences."""
+    own, other = (block**2).sum(axis=1)[:, None], (points**2).sum(axis=1)[None, :]
+    squared = own + other - 2.0 * (block @ points.T)
+    i, j = np.nonzero(squared < 1e-6 * (own + other))
+    squared[i, j] = ((block[i] - points[j]) ** 2).sum(axis=1)
+    return np.sqrt(squared)
 
 
 def _nearest_clusters(
@@ -274,7 +275,9 @@ def _nearest_clusters(
     order, starts = _by_cluster(index)
     sizes = np.add.reduceat(weights[order], starts)
     slices, cut = _slices(starts, len(points), points.shape[1], spark.sparkContext.defaultParallelism)
-    shared = spark.sparkContext.broadcast((points[order], weights[order], starts, sizes, slices, method))
+    shared = spark.sparkContext.broadcast(
+        (points[order], weights[order], index[order], starts, sizes, slices, method)
+    )
     try:
         found = _run_slices(
             spark, len(slices), lambda t: _slice_distances(t, *shared.value), "a int, b int, d double"
@@ -288,38 +291,42 @@ def _nearest_clusters(
         shared.destroy()
 
 
-def _slice_distances(t: int, points, weights, starts, sizes, slices, method) -> pa.RecordBatch:
+def _slice_distances(t: int, points, weights, index, starts, sizes, slices, method) -> pa.RecordBatch:
     """Distances from the clusters of one slice of leaves to all clusters."""
     first, last = slices[t]
-    ends = np.append(starts[1:], len(points))
     reduce_by = {"average": np.add, "complete": np.maximum, "ward": np.add}[method]
-    out_a, out_b, out_d = [], [], []
-    low, high = np.searchsorted(starts, [first, last - 1], side="right") - 1
+    ends = np.append(starts[1:], len(points))
     rows_at_once = max(1, BLOCK_CELLS // len(points))
-    for a in range(low, high + 1):
-        begin, end = max(first, starts[a]), min(last, ends[a])
-        distance = None
-        for i in range(begin, end, rows_at_once):
-            block = slice(i, min(end, i + rows_at_once))
-            d = _distances(points[block], points)
-            if method == "average":
-                d *= weights[None, :] * weights[block, None]
-            part = reduce_by.reduceat(reduce_by.reduce(d, axis=0), starts)
-            distance = part if distance is None else reduce_by(distance, part)
+    found: list[tuple[int, int, float]] = []
+    kept = None  # distances so far of a cluster that runs into the next block
+    for i in range(first, last, rows_at_once):
+        block = slice(i, min(last, i + rows_at_once))
+        d = _distances(points[block], points)
         if method == "average":
-            distance = distance / (sizes[a] * sizes)
-        elif method == "ward":
-            distance = distance * np.sqrt(2.0 * sizes[a] * sizes / (sizes[a] + sizes))
-        distance[a] = np.inf
-        whole = begin == starts[a] and end == ends[a]
-        others = [int(np.argmin(distance))] if whole else [b for b in range(len(sizes)) if b != a]
-        out_a += [a] * len(others)
-        out_b += others
-        out_d += [float(distance[b]) for b in others]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(out_a, pa.int32()), pa.array(out_b, pa.int32()), pa.array(out_d, pa.float64())],
-        names=["a", "b", "d"],
-    )
+            d *= weights[None, :] * weights[block, None]
+        inner = np.flatnonzero(np.diff(index[block], prepend=-1))
+        totals = reduce_by.reduceat(reduce_by.reduceat(d, starts, axis=1), inner, axis=0)
+        for a, total in zip(index[block][inner], totals):
+            if kept is not None:
+                total = reduce_by(kept, total)  # only the first cluster of a block can continue
+            kept = None
+            if ends[a] > block.stop and block.stop < last:
+                kept = total
+            else:
+                found += _other_clusters(int(a), total, sizes, method, starts[a] >= first and ends[a] <= last)
+    columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.float64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "d"])
+
+
+def _other_clusters(a: int, total: np.ndarray, sizes: np.ndarray, method: str, whole: bool) -> list[tuple]:
+    """The nearest other cluster, or every other one if more slices hold members of this one."""
+    if method == "average":
+        total = total / (sizes[a] * sizes)
+    elif method == "ward":
+        total = total * np.sqrt(2.0 * sizes[a] * sizes / (sizes[a] + sizes))
+    total[a] = np.inf
+    others = [int(np.argmin(total))] if whole else [b for b in range(len(sizes)) if b != a]
+    return [(a, b, float(total[b])) for b in others]
 
 
 def _lightest_edges(spark: SparkSession, points: np.ndarray, index: np.ndarray) -> list[tuple[float, int, int]]:

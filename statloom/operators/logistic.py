@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,13 +54,17 @@ def fit_logistic_many(
         (F.col(fold) if fold else F.lit(None).cast("int")).alias("fold"),
     )
     fits = [_Fit(c, left_out, np.zeros(len(features) + 1)) for c, left_out in settings]
-    for _ in range(MAX_STEPS):
-        active = [f for f in fits if not f.done]
-        if not active:
-            break
-        for f, sums in zip(active, _newton_sums(scaled, active)):
-            # the penalty is stated on raw coefficients: w_raw = w_scaled / sd
-            _advance(f, *sums, np.concatenate([[0.0], 1.0 / (f.c * sd**2)]), tol)
+    scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)  # a few doubles per row, read in every step
+    try:
+        for _ in range(MAX_STEPS):
+            active = [f for f in fits if not f.done]
+            if not active:
+                break
+            for f, sums in zip(active, _newton_sums(scaled, active)):
+                # the penalty is stated on raw coefficients: w_raw = w_scaled / sd
+                _advance(f, *sums, np.concatenate([[0.0], 1.0 / (f.c * sd**2)]), tol)
+    finally:
+        scaled.unpersist()
     models = []
     for f in fits:
         raw = f.beta[1:] / sd

@@ -40,7 +40,9 @@ def train_test_split(
 ) -> DataFrame:
     """Mark exactly ceil(n * fraction) rows as test rows."""
     hashed = hash52(id_col, seed)
-    sizes, found = order_statistics(df, hashed, lambda _g, n: [_test_size(n, fraction)])
+    sizes, found = order_statistics(
+        df, hashed, lambda _g, n: _wanted(_test_size(n, fraction)), bounds=(0, HASH_SPAN)
+    )
     if not sizes:
         return df.withColumn(name, F.lit(False))
     rank = _test_size(sizes[0], fraction)
@@ -50,6 +52,10 @@ def train_test_split(
     return df.withColumn(name, _up_to(id_col, hashed, cut))
 
 
+def _wanted(rank: int) -> list[int]:
+    return [rank] if rank else []
+
+
 def _test_size(n: int, fraction: float) -> int:
     # a product such as 10 * 0.3 may exceed the whole number by rounding alone
     return min(n, math.ceil(round(n * fraction, 9)))
@@ -62,7 +68,11 @@ def split_columns(
     ids = df.select(id_col)
     spread = ids.select(id_col, F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
     sizes, found = order_statistics(
-        spread, hash52(id_col, F.col("seed")), lambda _g, n: [_test_size(n, fraction)], F.col("seed")
+        spread,
+        hash52(id_col, F.col("seed")),
+        lambda _g, n: _wanted(_test_size(n, fraction)),
+        F.col("seed"),
+        bounds=(0, HASH_SPAN),
     )
     result = {}
     for s in seeds:
@@ -93,7 +103,9 @@ def k_fold(df: DataFrame, id_col: str, k: int, seed, name: str = "fold") -> Data
             result.append(running)
         return result
 
-    sizes, found = order_statistics(df, hashed, lambda g, n: [r for r in ends(g, n) if r])
+    sizes, found = order_statistics(
+        df, hashed, lambda g, n: [r for r in ends(g, n) if r], bounds=(0, HASH_SPAN)
+    )
     if not sizes:
         return df.withColumn(name, F.lit(0))
     fold = F.lit(k - 1)

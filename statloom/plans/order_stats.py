@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BINS = 4096
-LEAF_ROWS = 20_000
+BINS = 4096  # histogram bins of one span
+LEAF_ROWS = 20_000  # a span of at most this many rows is fetched as value counts
 MAX_GROUPS = 10_000
+DRIVER_ROWS = 400_000  # bins or leaf values fetched per pass, over all spans
 
 
 @dataclass(frozen=True)
@@ -40,45 +41,97 @@ def order_statistics(
     value: Column,
     ranks: Callable[[object, int], list[int]],
     group: Column | None = None,
+    bounds: tuple | None = None,
     bins: int = BINS,
     leaf_rows: int = LEAF_ROWS,
 ) -> tuple[dict, dict]:
     """Exact values at 1-based ranks per group.
 
     `ranks(group, n)` names the wanted ranks of a group with n values. Returns the group sizes
-    and {group: {rank: OrderStatistic}}. NULL and NaN values are left out.
+    and {group: {rank: OrderStatistic}}. NULL and NaN values are left out. Values of known
+    `bounds`, such as hashes, save the pass that looks for them.
     """
-    group = F.lit(0) if group is None else group
+    one_group = group is None
+    group = F.lit(0) if one_group else group
     rows = df.select(group.alias("g"), value.alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double"))
     )
-    whole = rows.groupBy("g").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    totals = whole.limit(MAX_GROUPS + 1).collect()
-    if len(totals) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: use the percentile aggregate per group")
-    sizes = {r["g"]: r["n"] for r in totals}
-    open_spans, found = [], {r["g"]: {} for r in totals}
-    for r in totals:
-        wanted = sorted(set(ranks(r["g"], r["n"])))
-        if wanted:
-            open_spans.append(_Span(r["g"], r["lo"], r["hi"], 0, r["n"], wanted))
-
+    if bounds is None:
+        sizes, spans = _first_look(rows, ranks)
+    else:
+        sizes, spans = _first_histogram(rows, ranks, bounds, bins if one_group else min(bins, 512))
+    found: dict = {g: {} for g in sizes}
     leaves: list[_Span] = []
-    while open_spans:
+    while spans:
+        fetched = min(leaf_rows, max(8, DRIVER_ROWS // len(spans)))
         wide = []
-        for s in open_spans:
+        for s in spans:
             if s.lo == s.hi:
                 found[s.group].update({k: OrderStatistic(s.lo, s.below, s.count) for k in s.ranks})
-            elif s.count <= leaf_rows:
+            elif s.count <= fetched:
                 leaves.append(s)
             else:
                 wide.append(s)
-        open_spans = _narrow(rows, wide, bins) if wide else []
+        spans = _narrow(rows, wide, min(bins, max(8, DRIVER_ROWS // len(wide)))) if wide else []
     if leaves:
         _resolve(rows, leaves, found)
     return sizes, found
 
 
+def _first_look(rows: DataFrame, ranks) -> tuple[dict, list[_Span]]:
+    """Size and value range of every group."""
+    whole = rows.groupBy("g").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    totals = whole.limit(MAX_GROUPS + 1).collect()
+    _check_groups(len(totals))
+    spans = []
+    for r in totals:
+        wanted = sorted(set(ranks(r["g"], r["n"])))
+        if wanted:
+            spans.append(_Span(r["g"], r["lo"], r["hi"], 0, r["n"], wanted))
+    return {r["g"]: r["n"] for r in totals}, spans
+
+
+def _check_groups(n: int) -> None:
+    if n > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups: use the percentile aggregate per group")
+
+
+def _first_histogram(rows: DataFrame, ranks, bounds: tuple, bins: int) -> tuple[dict, list[_Span]]:
+    """Sizes and the spans holding the wanted ranks from one pass over values of known bounds."""
+    lo, hi = (float(b) for b in bounds)
+    counted = _histogram(rows, ["g"], F.lit(lo), F.lit(hi), bins).limit(MAX_GROUPS * bins).collect()
+    by_group: dict = {}
+    for r in counted:
+        by_group.setdefault(r["g"], []).append(r)
+    _check_groups(len(by_group))
+    sizes = {g: sum(r["n"] for r in found) for g, found in by_group.items()}
+    spans = []
+    for g, found in by_group.items():
+        spans += _holding(g, 0, sorted(set(ranks(g, sizes[g]))), found)
+    return sizes, spans
+
+
+def _histogram(rows: DataFrame, keys: list[str], lo: Column, hi: Column, bins: int) -> DataFrame:
+    """Count, minimum and maximum per equal-width bin."""
+    position = F.least(F.lit(bins - 1), F.floor((F.col("v").cast("double") - lo) / (hi - lo) * bins))
+    return (
+        rows.withColumn("bin", position)
+        .groupBy(*keys, "bin")
+        .agg(F.count("v").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+    )
+
+
+def _holding(group, below: int, ranks: list[int], bins: list) -> list[_Span]:
+    """The bins that hold a wanted rank, narrowed to the values found in them."""
+    result = []
+    for r in sorted(bins, key=lambda r: r["bin"]):
+        held = [k for k in ranks if below < k <= below + r["n"]]
+        if held:
+            result.append(_Span(group, r["a"], r["b"], below, r["n"], held))
+        below += r["n"]
+    return result
+
+
 def _inside(rows: DataFrame, spans: list[_Span]) -> DataFrame:
     """Rows falling in a span. Spans of one group are disjoint, so a row matches one at most."""
     spark = rows.sparkSession
@@ -93,27 +146,11 @@ def _inside(rows: DataFrame, spans: list[_Span]) -> DataFrame:
 
 
 def _narrow(rows: DataFrame, spans: list[_Span], bins: int) -> list[_Span]:
-    v, lo, hi = (F.col(c).cast("double") for c in ("v", "lo", "hi"))
-    position = F.least(F.lit(bins - 1), F.floor((v - lo) / (hi - lo) * bins))
-    histogram = (
-        _inside(rows, spans)
-        .withColumn("bin", position)
-        .groupBy("span", "bin")
-        .agg(F.count("v").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
-        .collect()
-    )
+    lo, hi = (F.col(c).cast("double") for c in ("lo", "hi"))
     by_span: dict[int, list] = {}
-    for r in histogram:
+    for r in _histogram(_inside(rows, spans), ["span"], lo, hi, bins).collect():
         by_span.setdefault(r["span"], []).append(r)
-    result = []
-    for i, s in enumerate(spans):
-        below = s.below
-        for r in sorted(by_span[i], key=lambda r: r["bin"]):
-            held = [k for k in s.ranks if below < k <= below + r["n"]]
-            if held:
-                result.append(_Span(s.group, r["a"], r["b"], below, r["n"], held))
-            below += r["n"]
-    return result
+    return [n for i, s in enumerate(spans) for n in _holding(s.group, s.below, s.ranks, by_span[i])]
 
 
 def _resolve(rows: DataFrame, spans: list[_Span], found: dict) -> None:
