@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cross_entropy, softmax
-from ..operators import logistic, metrics, regression, trees
+from ..operators import exact_tree, logistic, metrics, regression, trees
 from ..operators.prepare import polynomial_features
 from ..operators.split import mini_batches, train_test_split
 from ..session import new_shared_path
@@ -204,6 +204,50 @@ def _(spark, d):
 # ---- trees ---------------------------------------------------------------------------------
 
 
+def _tree_sql(source: str, depth: int) -> str:
+    """Rows (id, x1, x2, y) with the mean of their node after `depth` levels of exact splits."""
+    ctes = [f"p0 as materialized (select id, x1, x2, y, 1 as node from ({source}))"]
+    for k in range(depth):
+        centred = f"""select *, y - avg(y) over (partition by node) as e,
+          var_pop(y) over (partition by node) * count(*) over (partition by node) as t from p{k}"""
+        sides = [
+            f"""select node, {f} as f, x, lead(x) over w as nx, sum(s) over w as sl, sum(n) over w as nl, sum(n) over (partition by node) as n, t
+            from (select node, x{f} as x, count(*) as n, sum(e) as s, any_value(t) as t from ({centred}) group by node, x{f})
+            window w as (partition by node order by x)"""
+            for f in (1, 2)
+        ]
+        share = f"(round((sl * sl / nl + sl * sl / (n - nl)) / t, {exact_tree.TIE_DIGITS}), -f, -x)"
+        ctes.append(f"""b{k} as materialized (select node, arg_max(f, {share}) as f, arg_max((x + nx) / 2, {share}) as cut
+          from ({' union all '.join(sides)}) where nx is not null and t > 0 group by node)""")
+        ctes.append(f"""p{k + 1} as materialized (select id, x1, x2, y, 2 * p{k}.node + case when (case f when 1 then x1 else x2 end) > cut then 1 else 0 end as node
+          from p{k} left join b{k} using (node))""")
+    return f"with {', '.join(ctes)} select id, {o.rnd(f'avg(y) over (partition by node)', 4)} as prediction from p{depth}"
+
+
+@query("regression_tree", _tree_sql(sample_sql("education_2d"), 5))
+def _(spark, d):
+    data = sample_table(spark, d, "education_2d")
+    tree = exact_tree.fit_regression_tree(data, ["x1", "x2"], "y", 5)
+    return tree.predict(data).select("id", F.round("prediction", 4).alias("prediction"))
+
+
+PART_POINTS = "select p_partkey as id, cast(p_partkey as double) as x1, cast(p_size as double) as x2, p_retailprice as y from part"
+
+
+@query("regression_tree_part", _tree_sql(PART_POINTS, 3))
+def _(spark, d):
+    part = load(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_partkey", "p_size", "p_retailprice")
+    tree = exact_tree.fit_regression_tree(part, ["p_partkey", "p_size"], "p_retailprice", 3)
+    return tree.predict(part).select("id", F.round("prediction", 4).alias("prediction"))
+
+
+@query("regression_tree_surface")
+def _(spark, d):
+    tree = exact_tree.fit_regression_tree(sample_table(spark, d, "education_2d"), ["x1", "x2"], "y", 5)
+    surface = grid.mesh(spark, {"x1": (9.0, 20.0, 50), "x2": (1.0, 20.0, 50)})
+    return rounded(tree.predict(surface))
+
+
 @query("regression_tree_ensembles")
 def _(spark, d):
     data = sample_table(spark, d, "education_2d").select("id", "x1", "x2", "y")

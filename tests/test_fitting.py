@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.hashing import normal, uniform
 from statloom.functions.polynomial import exponents
-from statloom.operators import logistic, metrics, prepare, regression, validation
+from statloom.operators import exact_tree, logistic, metrics, prepare, regression, validation
 from statloom.operators.split import k_fold, split_columns, train_test_split
 from statloom.plans.gram import column_gram
 from statloom.sources import generate, grid, models
@@ -187,3 +187,43 @@ def test_recovers_known_line(spark):
     model = regression.fit_linear(df, ["tv", "radio"], "y")
     assert model.intercept == pytest.approx(5.0, abs=0.15)
     assert model.coefficients == pytest.approx((0.05, 0.15), abs=0.005)
+
+
+def _best_cut(x, y):
+    """Brute force over all gaps of all features: (feature, threshold, error)."""
+    options = []
+    for f in range(x.shape[1]):
+        values = np.unique(x[:, f])
+        for cut in (values[:-1] + values[1:]) / 2:
+            left = x[:, f] <= cut
+            error = ((y[left] - y[left].mean()) ** 2).sum() + ((y[~left] - y[~left].mean()) ** 2).sum()
+            options.append((round(error, 6), f, cut))
+    return min(options)
+
+
+def _grow(x, y, depth):
+    if depth == 0 or len(np.unique(y)) == 1:
+        return np.full(len(y), y.mean())
+    _, f, cut = _best_cut(x, y)
+    left, result = x[:, f] <= cut, np.empty(len(y))
+    result[left], result[~left] = _grow(x[left], y[left], depth - 1), _grow(x[~left], y[~left], depth - 1)
+    return result
+
+
+@pytest.mark.parametrize("slice_rows", [500_000, 7])
+def test_exact_tree_equals_brute_force(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(exact_tree, "SLICE_ROWS", slice_rows)
+    df = generate.sample_data(spark.range(200), "id", "education_2d")
+    df = df.withColumn("x2", F.floor("x2").cast("double"))  # repeated values
+    tree = exact_tree.fit_regression_tree(df, ["x1", "x2"], "y", 4)
+    rows = tree.predict(df).orderBy("id").collect()
+    expected = _grow(np.array([[r["x1"], r["x2"]] for r in rows]), np.array([r["y"] for r in rows]), 4)
+    assert np.allclose([r["prediction"] for r in rows], expected)
+    leaves = tree.table(spark).where("feature is null")
+    assert leaves.agg(F.sum("n")).first()[0] == 200 and leaves.agg(F.max("depth")).first()[0] == 4
+
+
+def test_tree_of_constant_target_or_features(spark):
+    df = spark.range(20).select("id", F.lit(2.0).alias("x"), F.col("id").cast("double").alias("z"), F.lit(7.0).alias("y"))
+    assert len(exact_tree.fit_regression_tree(df, ["x", "z"], "y").nodes) == 1
+    assert len(exact_tree.fit_regression_tree(df, ["x"], "z").nodes) == 1
