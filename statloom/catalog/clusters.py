@@ -170,19 +170,48 @@ def serial_merges(points: str, method: str) -> str:
 SUPPLIERS = f"select s_suppkey as id, s_acctbal / 1000e0 as x1, {o.uniform('s_suppkey', 42, 0, 10)} as x2 from supplier"
 
 
+def _supplier_tree(spark, d, method: str = "average"):
+    rows = load(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("id"), (F.col("s_acctbal") / 1000).alias("x1"), uniform("s_suppkey", 42, 0, 10).alias("x2")
+    )
+    return rows, linkage.fit_tree(rows, "id", ["x1", "x2"], method, condense=CONDENSE)
+
+
 def _supplier_query(method: str) -> None:
     @query(f"merge_table_suppliers_{method}", serial_merges(SUPPLIERS, method))
     def _(spark, d):
-        rows = load(spark, d, "supplier").select(
-            F.col("s_suppkey").alias("id"), (F.col("s_acctbal") / 1000).alias("x1"), uniform("s_suppkey", 42, 0, 10).alias("x2")
-        )
-        return rounded(linkage.fit_tree(rows, "id", ["x1", "x2"], method, condense=CONDENSE).merge_table(spark))
+        return rounded(_supplier_tree(spark, d, method)[1].merge_table(spark))
 
 
 for _method in ("average", "single", "complete", "ward"):
     _supplier_query(_method)
 
 
+TOP_LEVELS = f"""with recursive t as materialized ({serial_merges(SUPPLIERS, 'average')}),
+  up as materialized (select a.step, min(b.step) as parent from t a left join t b on b.step > a.step and (b.left = a.left or b.right = a.left) group by a.step),
+  deep as (select step, 0 as depth from up where parent is null union all select up.step, depth + 1 from up join deep on up.parent = deep.step),
+  kids as (select t.step, t.height, t.size, coalesce(arg_max(u.size, u.step), 1) as left_size from t left join t u on u.step < t.step and u.left = t.left group by all)
+  select step, depth, height, cast(left_size as bigint) as left_size, cast(size - left_size as bigint) as right_size from kids join deep using (step) where depth <= 5"""
+
+
+@query("merge_table_suppliers_top_levels", TOP_LEVELS)
+def _(spark, d):
+    return rounded(_supplier_tree(spark, d)[1].top_levels(spark, 5))
+
+
+@query(
+    "tree_cut_suppliers",
+    f"""with recursive t as materialized ({serial_merges(SUPPLIERS, 'average')}),
+      kept as materialized (select * from t where step <= (select max(step) from t) - 2),
+      root as (select s_suppkey as id, s_suppkey as name, 0 as step from supplier
+        union all select root.id, kept.left, kept.step from root join kept on kept.right = root.name)
+      select id, cast(dense_rank() over (order by name) - 1 as integer) as cluster from (select id, min(name) as name from root group by id)""",
+)
+def _(spark, d):
+    rows, tree = _supplier_tree(spark, d)
+    return tree.assign(rows, ["x1", "x2"], 3).select("id", "cluster")
+
+
 SPANNING_TREE = """with recursive x as (select vec_id, unnest(embedding) as v, unnest(range(64)) as pos from embeddings),
   e as materialized (select a.vec_id as i, b.vec_id as j, sqrt(sum(pow(cast(a.v as double) - cast(b.v as double), 2))) as d
     from x a join x b on a.pos = b.pos group by all),

@@ -251,7 +251,7 @@ def _(spark, d):
     return reshape.stack_rows(epochs)
 
 
-@query("shuffle_in_partitions")
+@query("shuffle_in_partitions", "select c_custkey from customer")
 def _(spark, d):
     rows = load(spark, d, "customer").select("c_custkey").repartition(8, "c_custkey")
     return split.shuffle_in_partitions(rows, "c_custkey", 42, 1)

@@ -205,11 +205,14 @@ def _(spark, d):
 
 
 def _tree_sql(source: str, depth: int) -> str:
-    """Rows (id, x1, x2, y) with the mean of their node after `depth` levels of exact splits."""
+    """Mean of the node of every point after `depth` levels of exact splits.
+
+    `source` yields id, x1, x2, y; a point without y takes no part in the fit.
+    """
     ctes = [f"p0 as materialized (select id, x1, x2, y, 1 as node from ({source}))"]
     for k in range(depth):
         centred = f"""select *, y - avg(y) over (partition by node) as e,
-          var_pop(y) over (partition by node) * count(*) over (partition by node) as t from p{k}"""
+          var_pop(y) over (partition by node) * count(*) over (partition by node) as t from p{k} where y is not null"""
         sides = [
             f"""select node, {f} as f, x, lead(x) over w as nx, sum(s) over w as sl, sum(n) over w as nl, sum(n) over (partition by node) as n, t
             from (select node, x{f} as x, count(*) as n, sum(e) as s, any_value(t) as t from ({centred}) group by node, x{f})
@@ -221,10 +224,10 @@ def _tree_sql(source: str, depth: int) -> str:
           from ({' union all '.join(sides)}) where nx is not null and t > 0 group by node)""")
         ctes.append(f"""p{k + 1} as materialized (select id, x1, x2, y, 2 * p{k}.node + case when (case f when 1 then x1 else x2 end) > cut then 1 else 0 end as node
           from p{k} left join b{k} using (node))""")
-    return f"with {', '.join(ctes)} select id, {o.rnd(f'avg(y) over (partition by node)', 4)} as prediction from p{depth}"
+    return f"with {', '.join(ctes)} select id, y, {o.rnd('avg(y) over (partition by node)', 4)} as prediction from p{depth}"
 
 
-@query("regression_tree", _tree_sql(sample_sql("education_2d"), 5))
+@query("regression_tree", f"select id, prediction from ({_tree_sql(sample_sql('education_2d'), 5)})")
 def _(spark, d):
     data = sample_table(spark, d, "education_2d")
     tree = exact_tree.fit_regression_tree(data, ["x1", "x2"], "y", 5)
@@ -234,18 +237,22 @@ def _(spark, d):
 PART_POINTS = "select p_partkey as id, cast(p_partkey as double) as x1, cast(p_size as double) as x2, p_retailprice as y from part"
 
 
-@query("regression_tree_part", _tree_sql(PART_POINTS, 3))
+@query("regression_tree_part", f"select id, prediction from ({_tree_sql(PART_POINTS, 3)})")
 def _(spark, d):
     part = load(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_partkey", "p_size", "p_retailprice")
     tree = exact_tree.fit_regression_tree(part, ["p_partkey", "p_size"], "p_retailprice", 3)
     return tree.predict(part).select("id", F.round("prediction", 4).alias("prediction"))
 
 
-@query("regression_tree_surface")
+TREE_GRID = f"""select id, x1, x2, y from ({sample_sql('education_2d')})
+  union all select j * 50 + i, 9e0 + i * 11e0 / 49e0, 1e0 + j * 19e0 / 49e0, null from range(50) t(i), range(50) u(j)"""
+
+
+@query("regression_tree_surface", f"select id, prediction from ({_tree_sql(TREE_GRID, 5)}) where y is null")
 def _(spark, d):
     tree = exact_tree.fit_regression_tree(sample_table(spark, d, "education_2d"), ["x1", "x2"], "y", 5)
     surface = grid.mesh(spark, {"x1": (9.0, 20.0, 50), "x2": (1.0, 20.0, 50)})
-    return rounded(tree.predict(surface))
+    return tree.predict(surface).select("id", F.round("prediction", 4).alias("prediction"))
 
 
 @query("regression_tree_ensembles")
@@ -289,9 +296,9 @@ def _credit(spark, d):
     return generate.credit_data(load(spark, d, "customer").select(F.col("c_custkey").alias("id")), "id")
 
 
-NEWTON_1 = o.newton_logistic(f"select cast(defaulted as double) as y, balance / 1000e0 as x1 from ({CREDIT})", 1, [0.0, 1e-6])
+NEWTON_1 = o.newton_logistic(f"select -1 as left_out, cast(defaulted as double) as y, balance / 1000e0 as x1 from ({CREDIT})", 1, [0.0, 1e-6])
 NEWTON_2_TRAIN = o.newton_logistic(
-    f"""select cast(defaulted as double) as y, income / 1000e0 as x1, balance / 1000e0 as x2
+    f"""select -1 as left_out, cast(defaulted as double) as y, income / 1000e0 as x1, balance / 1000e0 as x2
         from ({o.split(CREDIT, 'id', 0.2, 42)}) where not is_test""",
     2,
     [0.0, 1e-6, 1e-6],
@@ -346,7 +353,7 @@ def _(spark, d):
     return rounded(curve.predict(line.predict(points, "p_linear"), "p_logistic"))
 
 
-QUALITY_POINTS = """select cast(quality as double) as y, n_chars / 10000e0 as x1, cast(toxic as double) as x2
+QUALITY_POINTS = """select -1 as left_out, cast(quality as double) as y, n_chars / 10000e0 as x1, cast(toxic as double) as x2
     from documents join labels using (doc_id)"""
 
 

@@ -116,12 +116,35 @@ def _(spark, d):
     return rounded(network.squared_loss_gradient(sample_table(spark, d, "line"), "x", "y", **POINT))
 
 
-@query("train_curve_network")
+CURVE = layers.curve_fitter(5)
+CURVE_START = layers.initial(CURVE, 42, "normal")
+
+
+def descent_sql(source: str, epochs: int, size: int, rate: float) -> str:
+    """Loss per epoch of sequential mini-batch descent: one recursion step per mini-batch."""
+    names = [*[f"u{j}" for j in range(5)], "b", *[f"v{j}" for j in range(5)], "c"]
+    start = ", ".join(f"{o.num(v)} as {n}" for v, n in zip(layers.flat(CURVE_START), names))
+    h = [f"greatest(0e0, x * u{j} + b)" for j in range(5)]
+    active = [f"(case when x * u{j} + b > 0 then 1e0 else 0e0 end)" for j in range(5)]
+    gap = "(" + " + ".join([f"{h[j]} * v{j}" for j in range(5)]) + " + c - y)"
+    slopes = [f"avg(2e0 * {gap} * v{j} * {active[j]} * x)" for j in range(5)]
+    slopes.append("avg(2e0 * " + gap + " * (" + " + ".join(f"v{j} * {active[j]}" for j in range(5)) + "))")
+    slopes += [f"avg(2e0 * {gap} * {h[j]})" for j in range(5)] + [f"avg(2e0 * {gap})"]
+    moved = ", ".join(f"any_value({n}) - {o.num(rate)} * {g} as {n}" for n, g in zip(names, slopes))
+    place = o.h52_col("id", "'42/' || cast(e as varchar)")
+    return f"""with recursive p as materialized ({source}),
+      q as materialized (select e, x, y, (row_number() over (partition by e order by {place}, id) - 1) // {size} as n from p, range(1, {epochs + 1}) t(e)),
+      rows_ as materialized (select cast(dense_rank() over (order by e, n) - 1 as integer) as k, e, x, y from q),
+      r as (select 0 as k, 0e0 as loss, cast(0 as bigint) as e, {start}
+        union all select any_value(r.k) + 1, avg({gap} * {gap}), any_value(rows_.e), {moved} from r join rows_ on r.k = rows_.k group by r.k)
+      select cast(e as integer) as epoch, count(*) as batches, {o.rnd('avg(loss)')} as loss from r where e > 0 group by e"""
+
+
+@query("train_curve_network", descent_sql(sample_sql("line"), 20, 10, 0.005))
 def _(spark, d):
-    net = layers.curve_fitter(5)
     fitted = training.train(
-        sample_table(spark, d, "line"), "id", ["x"], "y", net, loss="squared", optimizer="sgd", rate=0.005,
-        epochs=20, batch_size=10, seed=42, start=layers.initial(net, 42, "normal"),
+        sample_table(spark, d, "line"), "id", ["x"], "y", CURVE, loss="squared", optimizer="sgd", rate=0.005,
+        epochs=20, batch_size=10, seed=42, start=CURVE_START,
     )
     return rounded(fitted.history_table(spark))
 

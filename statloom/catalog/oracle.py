@@ -104,28 +104,35 @@ def polynomial_fits(points: str, degree: int) -> str:
     return ", ".join(ctes)
 
 
-def newton_logistic(points: str, p: int, penalties: list[float], steps: int = 14) -> str:
-    """CTEs of undamped Newton steps for label y and features x1 (and x2); b{steps} is the fit."""
+def newton_logistic(points: str, p: int, penalties: list[float], steps: int = 14, settings: str = "select 0 as g, 1e0 as lam") -> str:
+    """CTEs of undamped Newton steps for label y and features x1 (and x2); b{steps}_ is the fit.
+
+    `settings` yields a number g per fit and the factor lam on its penalties. A point whose
+    `left_out` equals the setting's g % 100 takes no part in that fit.
+    """
     names = [f"b{i}" for i in range(p + 1)]
     x = ["1e0"] + [f"x{i}" for i in range(1, p + 1)]
-    ctes = [f"pts as materialized ({points})", f"b0_ as (select {', '.join(f'0e0 as {n}' for n in names)})"]
+    ctes = [
+        f"pts as materialized ({points})",
+        f"b0_ as (select g, lam, {', '.join(f'0e0 as {n}' for n in names)} from ({settings}))",
+    ]
     for s in range(steps):
         margin = " + ".join(f"{n} * {v}" for n, v in zip(names, x))
-        sums = [f"sum((y - pr) * {x[i]}) - {num(penalties[i])} * any_value({names[i]}) as g{i}" for i in range(p + 1)]
+        sums = [f"sum((y - pr) * {x[i]}) - {num(penalties[i])} * any_value(lam) * any_value({names[i]}) as g{i}" for i in range(p + 1)]
         sums += [
-            f"sum(pr * (1e0 - pr) * {x[i]} * {x[j]}) + {num(penalties[i] if i == j else 0)} as h{i}{j}"
+            f"sum(pr * (1e0 - pr) * {x[i]} * {x[j]}) + {num(penalties[i] if i == j else 0)} * any_value(lam) as h{i}{j}"
             for i in range(p + 1) for j in range(p + 1)
         ]
         keep = ", ".join(f"any_value({n}) as {n}" for n in names)
-        ctes.append(f"""n{s} as (select {keep}, {', '.join(sums)}
-          from (select *, 1e0 / (1e0 + exp(-({margin}))) as pr from pts, b{s}_))""")
+        ctes.append(f"""n{s} as (select g, any_value(lam) as lam, {keep}, {', '.join(sums)}
+          from (select *, 1e0 / (1e0 + exp(-({margin}))) as pr from pts, b{s}_ where left_out <> g % 100) group by g)""")
         h = [[f"h{i}{j}" for j in range(p + 1)] for i in range(p + 1)]
         det = _det(h)
         moved = []
         for i, n in enumerate(names):
             replaced = [[f"g{r}" if c == i else h[r][c] for c in range(p + 1)] for r in range(p + 1)]
             moved.append(f"{n} + ({_det(replaced)}) / ({det}) as {n}")
-        ctes.append(f"b{s + 1}_ as materialized (select {', '.join(moved)} from n{s})")
+        ctes.append(f"b{s + 1}_ as materialized (select g, lam, {', '.join(moved)} from n{s})")
     return ", ".join(ctes)
 
 

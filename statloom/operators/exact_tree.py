@@ -121,11 +121,14 @@ def _best_splits(rows: DataFrame, tree: RegressionTree, features: list[str], ope
     # one row per node and feature, and at most 2 ** depth nodes
     long = long.join(F.broadcast(bounds), ["node", "feature"])
     at = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("slices"))
-    values = (
-        long.groupBy("node", "feature", F.least(at, F.col("slices") - 1).alias("slice"), "x", "all_n", "spread")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("__y") - F.col("mean")).alias("s"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    values = long.groupBy("node", "feature", F.least(at, F.col("slices") - 1).alias("slice"), "x", "all_n", "spread").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("__y") - F.col("mean")).alias("s")
     )
+    if all(f[4] == 1 for f in frame):  # small nodes: one slice each, nothing comes before it
+        nothing = {"before_n": F.lit(0), "before_s": F.lit(0.0), "following": F.lit(None).cast("double")}
+        whole = F.sum("s").over(Window.partitionBy("node", "feature", "slice"))
+        return _largest_gain(values.withColumns({**nothing, "all_s": whole}))
+    values = values.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         totals = values.groupBy("node", "feature", "slice").agg(
             F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("x").alias("first")
@@ -134,32 +137,37 @@ def _best_splits(rows: DataFrame, tree: RegressionTree, features: list[str], ope
             _offsets(totals.collect()),
             "node bigint, feature int, slice bigint, before_n bigint, before_s double, all_s double, following double",
         )
-        in_order = Window.partitionBy("node", "feature", "slice").orderBy("x")
-        so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         # at most DRIVER_ROWS rows
-        sums = values.join(F.broadcast(offsets), ["node", "feature", "slice"]).select(
-            "node", "feature", "x", "all_n", "all_s", "spread",
-            F.coalesce(F.lead("x").over(in_order), F.col("following")).alias("next_x"),
-            (F.col("before_n") + F.sum("n").over(so_far)).alias("n"),
-            (F.col("before_s") + F.sum("s").over(so_far)).alias("s"),
-        )
-        right_n, right_s = F.col("all_n") - F.col("n"), F.col("all_s") - F.col("s")
-        gain = F.col("s") * F.col("s") / F.col("n") + right_s * right_s / right_n
-        # as a share of the node's spread, so that equal splits tie in spite of rounding
-        share = F.round(gain / F.col("spread"), TIE_DIGITS)
-        middle = (F.col("x") + F.col("next_x")) / 2
-        cut = F.when(middle < F.col("next_x"), middle).otherwise(F.col("x"))
-        order = F.struct(share.alias("share"), (-F.col("feature")).alias("f"), (-F.col("x")).alias("x"))
-        best = (
-            sums.where(F.col("next_x").isNotNull())
-            .groupBy("node")
-            .agg(F.max_by(F.struct("feature", cut.alias("threshold")), order).alias("best"))
-        )
-        return best.select("node", "best.*").collect()
+        return _largest_gain(values.join(F.broadcast(offsets), ["node", "feature", "slice"]))
     finally:
         values.unpersist()
 
 
+def _largest_gain(values: DataFrame) -> list:
+    """Running sums in value order, the gain of the cut after each value, and the best per node."""
+    in_order = Window.partitionBy("node", "feature", "slice").orderBy("x")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = values.select(
+        "node", "feature", "x", "all_n", "all_s", "spread",
+        F.coalesce(F.lead("x").over(in_order), F.col("following")).alias("next_x"),
+        (F.col("before_n") + F.sum("n").over(so_far)).alias("n"),
+        (F.col("before_s") + F.sum("s").over(so_far)).alias("s"),
+    )
+    right_n, right_s = F.col("all_n") - F.col("n"), F.col("all_s") - F.col("s")
+    gain = F.col("s") * F.col("s") / F.col("n") + right_s * right_s / right_n
+    # as a share of the node's spread, so that equal splits tie in spite of rounding
+    share = F.round(gain / F.col("spread"), TIE_DIGITS)
+    middle = (F.col("x") + F.col("next_x")) / 2
+    cut = F.when(middle < F.col("next_x"), middle).otherwise(F.col("x"))
+    order = F.struct(share.alias("share"), (-F.col("feature")).alias("f"), (-F.col("x")).alias("x"))
+    best = (
+        sums.where(F.col("next_x").isNotNull())
+        .groupBy("node")
+        .agg(F.max_by(F.struct("feature", cut.alias("threshold")), order).alias("best"))
+    )
+    return best.select("node", "best.*").collect()
+
+
 def _offsets(totals: list) -> list[tuple]:
     """Sums before each slice of a (node, feature), its whole sum, and the next slice's first value."""
     groups: dict[tuple, list] = {}

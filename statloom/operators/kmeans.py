@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,7 +124,7 @@ def _partial_sums(rows: DataFrame, runs: list[KMeansRun], width: int) -> dict:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros((len(c), width + 2)) for _, c in broadcast.value]
         for batch in batches:
-            x = matrix(batch.column(0), width)
+            x = matrix(batch.column(0))
             for total, (_, centers) in zip(totals, broadcast.value):
                 label, d2 = nearest_center(x, centers)
                 member = (label[None, :] == np.arange(len(centers))[:, None]).astype(np.float64)
@@ -215,14 +214,12 @@ def assign(df: DataFrame, features: list[str] | str, centers: np.ndarray, name:
 
 
 def _nearest_udf(spark: SparkSession, centers: np.ndarray):
-    width = centers.shape[1]
-    broadcast = spark.sparkContext.broadcast(centers)
-
-    @F.pandas_udf("c int, d2 double")
-    def nearest(x: pd.Series) -> pd.DataFrame:
-        points = np.stack(x.to_numpy()).astype(np.float64) if len(x) else np.zeros((0, width))
-        label, d2 = nearest_center(points, broadcast.value)
-        return pd.DataFrame({"c": label.astype(np.int32), "d2": d2})
+    shared = spark.sparkContext.broadcast(centers)
+
+    @F.arrow_udf("c int, d2 double")
+    def nearest(x: pa.Array) -> pa.Array:
+        label, d2 = nearest_center(matrix(x), shared.value) if len(x) else (np.zeros(0), np.zeros(0))
+        return pa.StructArray.from_arrays([pa.array(label, pa.int32()), pa.array(d2, pa.float64())], names=["c", "d2"])
 
     return nearest
 

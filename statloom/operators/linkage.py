@@ -16,11 +16,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.vectors import matrix
 from .kmeans import features_column, fit_kmeans, nearest_center
 
 MAX_EXACT = 20_000
@@ -82,15 +82,13 @@ class Tree:
     def assign(self, df: DataFrame, features, k: int, name: str = "cluster") -> DataFrame:
         """Cluster of every row: that of its nearest leaf, which for an exact tree is the row's own point."""
         shared = df.sparkSession.sparkContext.broadcast((self.points, self.cut(k)))
-        width = self.points.shape[1]
 
-        @F.pandas_udf("int")
-        def label(x: pd.Series) -> pd.Series:
+        @F.arrow_udf("int")
+        def label(x: pa.Array) -> pa.Array:
             points, cut = shared.value
-            rows = np.stack(x.to_numpy()).astype(np.float64) if len(x) else np.zeros((0, width))
-            step = max(1, BLOCK_CELLS // len(points))
+            rows, step = matrix(x), max(1, BLOCK_CELLS // len(points))
             found = [nearest_center(rows[i : i + step], points)[0] for i in range(0, len(rows), step)]
-            return pd.Series(cut[np.concatenate(found)] if found else [], dtype="int32")
+            return pa.array(cut[np.concatenate(found)] if found else [], pa.int32())
 
         return df.withColumn(name, label(features_column(features)))
 

@@ -20,6 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import hash52
 from ..functions.numeric import argmax
 from ..plans.vectors import list_column, matrix
 from .kmeans import features_column
@@ -28,7 +29,8 @@ from .metrics import accuracy
 from .split import shuffle_in_partitions
 
 CHUNK = 4096  # weights travel in pieces of this length, averaged in parallel
-ROWS_PER_WORKER = 2_000_000
+ROWS_PER_WORKER = 100_000
+MAX_WORKERS = 20_000
 SCORE_ROWS = 256
 HISTORY_SCHEMA = "epoch int, batches bigint, loss double"
 
@@ -55,14 +57,14 @@ class Network:
         """Output array per row, without dropout."""
         shared = spark.sparkContext.broadcast((self.layers, self.params))
 
-        @F.pandas_udf("array<double>")
-        def score(x: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<double>")
+        def score(x: pa.Array) -> pa.Array:
             layers, params = shared.value
-            out = []
-            for i in range(0, len(x), SCORE_ROWS):  # bounded memory for unfolded images
-                rows = np.stack(x.iloc[i : i + SCORE_ROWS].to_numpy()).astype(np.float64)
-                out += list(forward(layers, params, rows)[0])
-            return pd.Series(out, dtype="object")
+            rows = matrix(x)
+            parts = [  # bounded memory for unfolded images
+                forward(layers, params, rows[i : i + SCORE_ROWS])[0] for i in range(0, len(rows), SCORE_ROWS)
+            ]
+            return list_column(np.concatenate(parts) if parts else np.zeros((0, 1)))
 
         return score(features)
 
@@ -88,15 +90,17 @@ def train(
     seed: int = 42,
     start: list[np.ndarray] | None = None,
 ) -> Network:
-    """Train from `start` (or seeded initial weights); deterministic for a number of workers."""
+    """Train from `start` (or seeded initial weights).
+
+    The number of workers follows from the row count alone, and rows are dealt to them by hash,
+    so the result does not depend on the cluster. Up to ROWS_PER_WORKER rows there is one.
+    """
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), features_column(features).alias("x"), F.col(label).cast("double").alias("y"))
     if workers is None:
-        n = df.count()
-        most = min(spark.sparkContext.defaultParallelism, max(1, n // (4 * batch_size)))
-        workers = max(most, -(-n // ROWS_PER_WORKER))
-    # hash partitions of a unique id are even, and the same on every run
-    rows = rows.repartition(workers, "id").persist(StorageLevel.MEMORY_AND_DISK)
+        workers = max(1, min(MAX_WORKERS, -(-df.count() // ROWS_PER_WORKER)))
+    worker = F.pmod(hash52("id", f"{seed}/worker"), F.lit(workers)).cast("int")
+    rows = rows.repartitionById(workers, worker).persist(StorageLevel.MEMORY_AND_DISK)
     params = flat(start if start is not None else initial(layers, seed))
     state = np.concatenate([params, np.zeros(2 * len(params))]) if optimizer == "adam" else params
     history, steps = [], 0
@@ -162,7 +166,7 @@ def _rebatched(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[n
         if batch.num_rows == 0:
             continue
         column = batch.column("x")
-        x = matrix(column, len(column[0]))
+        x = matrix(column)
         y = batch.column("y").to_numpy(zero_copy_only=False)
         if kept_x is not None:
             x, y = np.concatenate([kept_x, x]), np.concatenate([kept_y, y])

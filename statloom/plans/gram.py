@@ -70,7 +70,7 @@ def column_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[s
     values = F.array(F.lit(1.0), *[b.cast("double") for b in basis], target.cast("double"))
     rows = df.select(key.alias("key"), values.alias("row"))
     key_type = rows.schema["key"].dataType.simpleString()
-    partial = rows.mapInArrow(_partial_gram(width + 2), f"key {key_type}, sums array<double>")
+    partial = rows.mapInArrow(_partial_gram(), f"key {key_type}, sums array<double>")
     result = {}
     for k, sums in collect_vectors(partial, ["key"], "sums", (width + 2) ** 2).items():
         full = sums.reshape(width + 2, width + 2)
@@ -98,14 +98,14 @@ def _sql_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[str
     return result
 
 
-def _partial_gram(width: int):
+def _partial_gram():
     """Task that adds up row products per key over its Arrow batches."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict = {}
         key_type = None
         for batch in batches:
-            rows = matrix(batch.column("row"), width)
+            rows = matrix(batch.column("row"))
             coded = batch.column("key").dictionary_encode()
             key_type = coded.dictionary.type
             code = coded.indices.to_numpy(zero_copy_only=False)

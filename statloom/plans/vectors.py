@@ -23,9 +23,10 @@ def collect_vectors(partials: DataFrame, keys: list[str], values: str, length: i
     return result
 
 
-def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Arrow list column as a two-dimensional float array."""
+def matrix(column: pa.Array) -> np.ndarray:
+    """Arrow column of equally long lists as a two-dimensional float array."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
+    width = len(flat) // len(column) if len(column) else 0
     return np.asarray(flat, dtype=np.float64).reshape(len(column), width)
 
 
