@@ -9,7 +9,6 @@ from ..functions.hashing import uniform
 from ..functions.numeric import argmax, cross_entropy
 from ..operators import kmeans, layers, metrics, network, training
 from ..operators.prepare import scale_pixels
-from ..operators.reshape import first_rows
 from ..operators.split import mini_batches, train_test_split
 from ..session import new_shared_path
 from ..sources import grid
@@ -161,7 +160,7 @@ def _embedding_split(spark, d):
 
 def _classifiers(spark, d) -> dict:
     """Layers for the width of the vectors in the table, read as a square image for the second."""
-    width = first_rows(load(spark, d, "embeddings").select("vec_id", F.size("embedding").alias("w")), "vec_id", 1).first()["w"]
+    width = load(spark, d, "embeddings").agg(F.max(F.size("embedding"))).first()[0]
     side = int(round(width**0.5))
     return {"fully_connected": layers.fully_connected(width, 10), "convolutional": layers.convolutional(side, side, 10)}
 

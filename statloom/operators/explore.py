@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash52
-from ..plans.order_stats import MAX_GROUPS, order_statistics, quantiles
+from ..plans.order_stats import TooManyGroups, order_statistics, quantiles
 
 PROFILE_SCHEMA = (
     "column string, n bigint, missing bigint, mean double, sd double, low double, high double, "
@@ -17,12 +17,13 @@ BOX_SCHEMA = "category string, q1 double, median double, q3 double"
 
 def quartiles(df: DataFrame, category: str, value: str) -> DataFrame:
     """Exact quartiles per category."""
-    names = df.select(category).distinct().limit(MAX_GROUPS + 1).count()
-    if names > MAX_GROUPS:  # many categories: the exact aggregate, one small group each
-        p = F.percentile(F.col(value).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    probabilities = [0.25, 0.5, 0.75]
+    try:
+        _, found = quantiles(df, F.col(value), probabilities, F.col(category).cast("string"))
+    except TooManyGroups:  # then each is small enough for the exact aggregate
+        p = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(x) for x in probabilities]))
         q = df.groupBy(F.col(category).cast("string").alias("category")).agg(p.alias("p"))
         return q.select("category", *[F.col("p")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
-    _, found = quantiles(df, F.col(value), [0.25, 0.5, 0.75], F.col(category).cast("string"))
     return df.sparkSession.createDataFrame([(g, *q) for g, q in found.items()], BOX_SCHEMA)
 
 

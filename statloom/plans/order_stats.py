@@ -19,6 +19,10 @@ MAX_GROUPS = 10_000
 DRIVER_ROWS = 400_000  # bins or leaf values fetched per pass, over all spans
 
 
+class TooManyGroups(ValueError):
+    """The groups themselves are big data; aggregate each with `percentile` instead."""
+
+
 @dataclass(frozen=True)
 class OrderStatistic:
     value: float
@@ -93,7 +97,7 @@ def _first_look(rows: DataFrame, ranks) -> tuple[dict, list[_Span]]:
 
 def _check_groups(n: int) -> None:
     if n > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: use the percentile aggregate per group")
+        raise TooManyGroups(f"more than {MAX_GROUPS} groups")
 
 
 def _first_histogram(rows: DataFrame, ranks, bounds: tuple, bins: int) -> tuple[dict, list[_Span]]:

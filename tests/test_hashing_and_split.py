@@ -96,3 +96,18 @@ def test_shuffle_changes_with_epoch_but_not_partitioning(spark):
 
     assert order(1, 2) == order(1, 5) != order(2, 2)
     assert split.pick_row(spark.range(50).repartition(3), "id", 4).collect() == split.pick_row(spark.range(50), "id", 4).collect()
+
+
+def test_box_plot_with_many_categories(spark, monkeypatch):
+    from statloom.operators import explore
+    from statloom.plans import order_stats
+
+    df = spark.range(600).select((F.col("id") % 6).cast("string").alias("g"), uniform("id", 8).alias("v"))
+    few = explore.box_plot(df, "g", "v").orderBy("category").collect()
+    monkeypatch.setattr(order_stats, "MAX_GROUPS", 3)
+    many = explore.box_plot(df, "g", "v").orderBy("category").collect()
+    assert [r["n"] for r in few] == [100] * 6
+    for a, b in zip(few, many):
+        assert tuple(a)[1:6] == pytest.approx(tuple(b)[1:6])
+    with pytest.raises(order_stats.TooManyGroups):
+        order_stats.quantiles(df, F.col("v"), [0.5], F.col("g"))

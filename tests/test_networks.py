@@ -142,3 +142,22 @@ def test_softmax_entropy_is_stable(spark):
     df = spark.createDataFrame([([1000.0, 0.0, -1000.0], 0), ([3.0, 3.0, 1.0], 1)], "s array<double>, label int")
     got = df.select(cross_entropy(F.col("s"), F.col("label")).alias("l"), argmax(F.col("s")).alias("a")).collect()
     assert got[0]["l"] == pytest.approx(0.0) and [r["a"] for r in got] == [0, 0]
+
+
+def test_tasks_run_without_the_package():
+    """Executors have no copy of this repository: task functions must carry their code along."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    spec = layers.fully_connected(4, 2)
+    blob = cloudpickle.dumps((layers.forward, spec, layers.initial(spec, 1)))
+    code = (
+        "import sys, numpy as np; from pyspark import cloudpickle\n"
+        "f, spec, params = cloudpickle.loads(sys.stdin.buffer.read())\n"
+        "assert 'statloom' not in sys.modules\n"
+        "print(f(spec, params, np.ones((3, 4)))[0].shape)"
+    )
+    done = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd="/", check=True)
+    assert done.stdout.strip() == b"(3, 2)"
