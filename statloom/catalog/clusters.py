@@ -124,23 +124,8 @@ def _(spark, d):
 CONDENSE = 500  # leaves kept when a table has more distinct points than an exact tree allows
 
 
-def _tree(spark, d, method: str):
-    return linkage.fit_tree(load(spark, d, "embeddings"), "vec_id", "embedding", method, condense=CONDENSE)
-
-
-def _linkage_query(method: str) -> None:
-    @query(f"merge_table_{method}")
-    def _(spark, d):
-        return rounded(_tree(spark, d, method).merge_table(spark))
-
-
-for _method in ("average", "single", "complete", "ward"):
-    _linkage_query(_method)
-
-
-
-def serial_merges(points: str, method: str) -> str:
-    """One merge per step over a table of all pairs: id, x1, x2 in, merge table out."""
+def serial_merges(pairs: str, method: str) -> str:
+    """One merge per step over a table of all pairs: i < j and their distance d in, merge table out."""
     update = {
         "average": "sum(d * ni * nj) / sum(ni * nj)",
         "single": "min(d)",
@@ -149,9 +134,9 @@ def serial_merges(points: str, method: str) -> str:
           - any_value(case when i2 = a then nj else ni end) * any_value(dab) * any_value(dab))
           / (sum(case when i2 = a then ni else nj end) + any_value(case when i2 = a then nj else ni end))) else any_value(d) end""",
     }[method]
-    return f"""with recursive p as materialized ({points}),
+    return f"""with recursive p as materialized ({pairs}),
       r(step, i, j, d, ni, nj) as (
-        select 1, u.id, v.id, sqrt(pow(u.x1 - v.x1, 2) + pow(u.x2 - v.x2, 2)), 1::bigint, 1::bigint from p u, p v where u.id < v.id
+        select 1, i, j, d, 1::bigint, 1::bigint from p
         union all
         select step + 1, i2, j2, d, ni, nj from (
           select any_value(step) as step, i2, j2, {update} as d,
@@ -167,7 +152,29 @@ def serial_merges(points: str, method: str) -> str:
       select step, i as left, j as right, {o.rnd('d')} as height, n as size, true as exact from m"""
 
 
-SUPPLIERS = f"select s_suppkey as id, s_acctbal / 1000e0 as x1, {o.uniform('s_suppkey', 42, 0, 10)} as x2 from supplier"
+EMBEDDING_PAIRS = """select a.vec_id as i, b.vec_id as j, sqrt(sum(pow(cast(a.v as double) - cast(b.v as double), 2))) as d
+  from (select vec_id, unnest(embedding) as v, unnest(range(64)) as pos from embeddings) a
+  join (select vec_id, unnest(embedding) as v, unnest(range(64)) as pos from embeddings) b on a.pos = b.pos and a.vec_id < b.vec_id group by all"""
+
+
+def _tree(spark, d, method: str):
+    return linkage.fit_tree(load(spark, d, "embeddings"), "vec_id", "embedding", method, condense=CONDENSE)
+
+
+def _linkage_query(method: str) -> None:
+    @query(f"merge_table_{method}", serial_merges(EMBEDDING_PAIRS, method))
+    def _(spark, d):
+        return rounded(_tree(spark, d, method).merge_table(spark))
+
+
+for _method in ("average", "single", "complete", "ward"):
+    _linkage_query(_method)
+
+
+
+SUPPLIER_POINTS = f"select s_suppkey as id, s_acctbal / 1000e0 as x1, {o.uniform('s_suppkey', 42, 0, 10)} as x2 from supplier"
+SUPPLIERS = f"""select u.id as i, v.id as j, sqrt(pow(u.x1 - v.x1, 2) + pow(u.x2 - v.x2, 2)) as d
+  from ({SUPPLIER_POINTS}) u join ({SUPPLIER_POINTS}) v on u.id < v.id"""
 
 
 def _supplier_tree(spark, d, method: str = "average"):

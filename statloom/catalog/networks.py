@@ -195,16 +195,22 @@ def _(spark, d):
     return rounded(fitted.history_table(spark))
 
 
-@query("trained_network_reload")
+@query(
+    "trained_network_reload",
+    "select cast(ceil(count(*) * 0.2e0) as bigint) as n, cast(0 as bigint) as different from embeddings",
+)
 def _(spark, d):
+    """Rows scored differently by a trained network and by its stored copy."""
     train_rows, test_rows = _embedding_split(spark, d)
     spec = _classifiers(spark, d)["fully_connected"]
     fitted = training.train(train_rows, "vec_id", "embedding", "label", spec, epochs=2, batch_size=128, seed=42)
     path = new_shared_path(spark, "network")
     save(fitted.weight_table(spark), path)
     reloaded = training.from_weight_table(spark.read.parquet(path), spec)
-    scored = training.predict_class(reloaded, test_rows, "embedding")
-    return scored.select("vec_id", "label", "prediction")
+    before = training.predict_class(fitted, test_rows, "embedding").select("vec_id", F.col("scores").alias("before"))
+    after = training.predict_class(reloaded, test_rows, "embedding").select("vec_id", F.col("scores").alias("after"))
+    both = before.join(after, "vec_id")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("before") != F.col("after"), 1)).alias("different"))
 
 
 HIDDEN = 16

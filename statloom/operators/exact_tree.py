@@ -128,19 +128,53 @@ def _best_splits(rows: DataFrame, tree: RegressionTree, features: list[str], ope
         nothing = {"before_n": F.lit(0), "before_s": F.lit(0.0), "following": F.lit(None).cast("double")}
         whole = F.sum("s").over(Window.partitionBy("node", "feature", "slice"))
         return _largest_gain(values.withColumns({**nothing, "all_s": whole}))
-    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    counted = values.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        totals = values.groupBy("node", "feature", "slice").agg(
-            F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("x").alias("first")
-        )
+        values, totals = _even_slices(counted)
         offsets = spark.createDataFrame(
-            _offsets(totals.collect()),
+            _offsets(totals),
             "node bigint, feature int, slice bigint, before_n bigint, before_s double, all_s double, following double",
         )
         # at most DRIVER_ROWS rows
         return _largest_gain(values.join(F.broadcast(offsets), ["node", "feature", "slice"]))
     finally:
-        values.unpersist()
+        counted.unpersist()
+
+
+def _even_slices(values: DataFrame) -> tuple[DataFrame, list]:
+    """Divide slices that hold too many distinct values, until none does; with the slice totals.
+
+    Equal widths suit even data only. A crowded slice is cut again between its own smallest and
+    largest value, and slices are renumbered in value order.
+    """
+    spark = values.sparkSession
+    while True:
+        totals = values.groupBy("node", "feature", "slice").agg(
+            F.count(F.lit(1)).alias("values"),
+            F.sum("n").alias("n"),
+            F.sum("s").alias("s"),
+            F.min("x").alias("first"),
+            F.max("x").alias("last"),
+        )
+        found = totals.orderBy("node", "feature", "slice").collect()
+        if all(r["values"] <= 2 * SLICE_ROWS for r in found):
+            return values, found
+        table, start = [], 0
+        for r in found:
+            parts = -(-r["values"] // SLICE_ROWS) if r["values"] > 2 * SLICE_ROWS else 1
+            width = r["last"] - r["first"] or 1.0
+            table.append((r["node"], r["feature"], r["slice"], start, parts, r["first"], width))
+            start += parts
+        finer = spark.createDataFrame(
+            table, "node bigint, feature int, slice bigint, start bigint, parts bigint, first double, width double"
+        )
+        part = F.least(F.floor((F.col("x") - F.col("first")) / F.col("width") * F.col("parts")), F.col("parts") - 1)
+        # one row per slice of about SLICE_ROWS values
+        values = (
+            values.join(F.broadcast(finer), ["node", "feature", "slice"])
+            .withColumn("slice", F.col("start") + part)
+            .drop("start", "parts", "first", "width")
+        )
 
 
 def _largest_gain(values: DataFrame) -> list:

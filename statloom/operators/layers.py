@@ -161,6 +161,9 @@ def loss_and_gradient(output: np.ndarray, y: np.ndarray, loss: str) -> tuple[flo
     return float(-log_share.mean()), share / n
 
 
+# Layer sizes, dropout rates and kernel sizes of the networks to compare.
+
+
 def fully_connected(inputs: int, classes: int) -> Layers:
     """Two hidden layers of 256 and 128 units, each followed by dropout."""
     return (

@@ -26,6 +26,7 @@ from .kmeans import features_column, fit_kmeans, nearest_center
 MAX_EXACT = 20_000
 MAX_BYTES = 256 * 1024 * 1024
 BLOCK_CELLS = 4_000_000
+CONDENSE_STEPS = 20
 TASK_WORK = 40_000_000
 MERGE_SCHEMA = "step int, left bigint, right bigint, height double, size bigint, exact boolean"
 COMBINE = {"average": F.sum, "complete": F.max}
@@ -131,7 +132,7 @@ def _leaves(df, id_col, features, max_exact, condense, seed):
         )
     if condense is None:
         raise ValueError(f"more than {max_exact} distinct points; name a number of leaves to condense to")
-    run = fit_kmeans(rows, "id", "x", condense, n_init=1, seed=seed)
+    run = fit_kmeans(rows, "id", "x", condense, n_init=1, seed=seed, max_iter=CONDENSE_STEPS)
     kept = run.counts > 0
     return run.centers[kept], np.arange(int(kept.sum())), run.counts[kept].astype(np.int64), False
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import affine, sigmoid, total
-from ..functions.polynomial import chebyshev_anywhere, exponents
+from ..functions.polynomial import chebyshev_anywhere
 from ..plans.gram import Basis, column_gram, polynomial_gram, value_ranges
 
 INTERCEPT = "(intercept)"
@@ -116,10 +116,6 @@ def fixed_line(slope: float, intercept: float, feature: str) -> LinearModel:
     return LinearModel((feature,), float(intercept), (float(slope),))
 
 
-def polynomial_terms(features: list[str], degree: int) -> list[str]:
-    return ["_".join(map(str, e)) for e in exponents(len(features), degree)]
-
-
 def compare_curves(grid: DataFrame, models: dict, keep: list[str]) -> DataFrame:
     """One row per (model, grid point). `models` maps a name to a model or a transformer."""
     parts = []
@@ -134,5 +130,5 @@ def compare_curves(grid: DataFrame, models: dict, keep: list[str]) -> DataFrame:
 
 __all__ = [
     "LinearModel", "PolynomialModel", "simple_regression", "fit_linear", "fit_polynomial",
-    "chebyshev_basis", "fixed_line", "polynomial_terms", "compare_curves",
+    "chebyshev_basis", "fixed_line", "compare_curves",
 ]

@@ -17,6 +17,7 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.executorEnv.OMP_NUM_THREADS", "1")  # one thread per task, not per core
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
-import numpy as np
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from ..operators.regression import INTERCEPT, LinearModel
 
-WEIGHT_SCHEMA = "layer int, kind string, row int, col int, value double"
-
 
 def save_linear(spark: SparkSession, model: LinearModel, path: str) -> None:
     """One row per coefficient, with its position and the link function."""

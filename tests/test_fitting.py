@@ -215,6 +215,7 @@ def test_exact_tree_equals_brute_force(spark, monkeypatch, slice_rows):
     monkeypatch.setattr(exact_tree, "SLICE_ROWS", slice_rows)
     df = generate.sample_data(spark.range(200), "id", "education_2d")
     df = df.withColumn("x2", F.floor("x2").cast("double"))  # repeated values
+    df = df.withColumn("x1", F.exp("x1"))  # crowded at the low end
     tree = exact_tree.fit_regression_tree(df, ["x1", "x2"], "y", 4)
     rows = tree.predict(df).orderBy("id").collect()
     expected = _grow(np.array([[r["x1"], r["x2"]] for r in rows]), np.array([r["y"] for r in rows]), 4)
