@@ -15,7 +15,8 @@ from ..functions.hashing import HASH_SPAN, hash52
 from ..functions.numeric import squared_distance
 from ..plans.vectors import collect_vectors, list_column, matrix
 
-SEED_ROWS = 10_000  # rows the starting centres are drawn from; Lloyd steps use all rows
+SEED_ROWS = 10_000  # rows that give the starting centres; the fit itself uses all rows
+POOL_STEPS = 30
 CENTER_SCHEMA = "run int, k int, cluster int, center array<double>, n bigint"
 
 
@@ -58,7 +59,7 @@ def fit_kmeans_runs(
         for k in ks:
             for start in range(n_init):
                 rng = np.random.default_rng([seed, k, start])
-                centers = _spread_start(pool, k, rng)
+                centers = _settle(pool, _spread_start(pool, k, rng))
                 runs.append(KMeansRun(len(runs), k, centers, np.zeros(len(centers)), 0.0, 0))
         limit = tol * _mean_variance(rows, n, width)
         active = runs
@@ -111,6 +112,23 @@ def _spread_start(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndar
     return np.array(centers)
 
 
+def _settle(pool: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Lloyd steps over the pool, so that few passes over all rows are left to do."""
+    for _ in range(POOL_STEPS):
+        member = _membership(nearest_center(pool, centers)[0], len(centers))
+        counts = member.sum(axis=1)
+        moved = np.where(counts[:, None] > 0, member @ pool / np.maximum(counts, 1.0)[:, None], centers)
+        if np.allclose(moved, centers, rtol=0.0, atol=1e-12):
+            break
+        centers = moved
+    return centers
+
+
+def _membership(label: np.ndarray, k: int) -> np.ndarray:
+    """One row per cluster with a one for each member."""
+    return (label[None, :] == np.arange(k)[:, None]).astype(np.float64)
+
+
 def _mean_variance(rows: DataFrame, n: int, width: int) -> float:
     origin = KMeansRun(0, 1, np.zeros((1, width)), np.zeros(1), 0.0, 0)
     whole = _partial_sums(rows, [origin], width)[(0, 0)]
@@ -127,7 +145,7 @@ def _partial_sums(rows: DataFrame, runs: list[KMeansRun], width: int) -> dict:
             x = matrix(batch.column(0))
             for total, (_, centers) in zip(totals, broadcast.value):
                 label, d2 = nearest_center(x, centers)
-                member = (label[None, :] == np.arange(len(centers))[:, None]).astype(np.float64)
+                member = _membership(label, len(centers))
                 total[:, 0] += member.sum(axis=1)
                 total[:, 1] += member @ d2
                 total[:, 2:] += member @ x

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.polynomial import chebyshev, exponents, scaled_angle
+from ..functions.polynomial import exponents, scaled_angle
 from .vectors import collect_vectors, list_column, matrix
 
 SQL_COLUMNS = 12  # up to here the products are sums inside generated code
@@ -83,11 +83,9 @@ def _sql_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[str
     width = len(basis)
     named = df.select(*keys, *[b.alias(f"b{i}") for i, b in enumerate(basis)], target.alias("y"))
     pairs = list(combinations_with_replacement(range(width), 2))
-    sums = [F.sum(F.col(f"b{i}") * F.col(f"b{j}")).alias(f"g_{i}_{j}") for i, j in pairs]
-    sums += [F.sum(F.col(f"b{i}") * F.col("y")).alias(f"c_{i}") for i in range(width)]
-    rows = named.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy"), *sums
-    )
+    sums = [F.expr(f"sum(b{i} * b{j}) as g_{i}_{j}") for i, j in pairs]
+    sums += [F.expr(f"sum(b{i} * y) as c_{i}") for i in range(width)]
+    rows = named.groupBy(*keys).agg(F.expr("count(*) as n"), F.expr("sum(y * y) as yy"), *sums)
     result = {}
     for r in rows.collect():
         g = np.zeros((width, width))
@@ -164,10 +162,13 @@ def polynomial_gram(
     prepared = df.select(
         *keys, *[a.alias(n) for a, n in zip(basis.angles(), angle_names)], target.cast("double").alias("y")
     )
-    angles = [F.col(n) for n in angle_names]
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy")]
-    aggs += [F.sum(chebyshev(angles, m)).alias(f"m{i}") for i, m in enumerate(moments) if any(m)]
-    aggs += [F.sum(F.col("y") * chebyshev(angles, t)).alias(f"c{i}") for i, t in enumerate(terms)]
+
+    def term(powers: tuple[int, ...]) -> str:
+        return " * ".join(f"cos({k}D * {a})" for k, a in zip(powers, angle_names) if k) or "1.0D"
+
+    aggs = [F.expr("count(*) as n"), F.expr("sum(y * y) as yy")]
+    aggs += [F.expr(f"sum({term(m)}) as m{i}") for i, m in enumerate(moments) if any(m)]
+    aggs += [F.expr(f"sum(y * {term(t)}) as c{i}") for i, t in enumerate(terms)]
     index = {m: i for i, m in enumerate(moments)}
     signs = list(product((1, -1), repeat=p))
     mean_of = [

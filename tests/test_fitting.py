@@ -228,3 +228,18 @@ def test_tree_of_constant_target_or_features(spark):
     df = spark.range(20).select("id", F.lit(2.0).alias("x"), F.col("id").cast("double").alias("z"), F.lit(7.0).alias("y"))
     assert len(exact_tree.fit_regression_tree(df, ["x", "z"], "y").nodes) == 1
     assert len(exact_tree.fit_regression_tree(df, ["x"], "z").nodes) == 1
+
+
+def test_logistic_start_on_a_sample_changes_nothing(spark, monkeypatch):
+    df = generate.credit_data(spark.range(2000), "id").cache()
+    whole = logistic.fit_logistic(df, ["income", "balance"], "defaulted")
+    monkeypatch.setattr(logistic, "START_ROWS", 150)
+    sampled = logistic.fit_logistic(df, ["income", "balance"], "defaulted")
+    assert np.allclose([whole.intercept, *whole.coefficients], [sampled.intercept, *sampled.coefficients], rtol=1e-8)
+
+
+def test_logistic_on_separable_rows_is_held_by_the_penalty(spark):
+    df = spark.range(60).select("id", F.col("id").cast("double").alias("x"), (F.col("id") >= 30).cast("int").alias("y"))
+    model = logistic.fit_logistic(df, ["x"], "y")
+    x = np.arange(60.0)[:, None]
+    assert np.allclose([model.intercept, *model.coefficients], _numpy_logistic(x, (np.arange(60) >= 30) * 1.0, 1.0), rtol=1e-4)
