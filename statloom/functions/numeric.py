@@ -8,6 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def number(name: str) -> Column:
+    """Column as DOUBLE, with NaN as NULL: both mean that the value is missing."""
+    value = F.col(f"`{name}`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def relu(value: Column) -> Column:
     return F.greatest(F.lit(0.0), value)
 

@@ -61,7 +61,8 @@ class RegressionTree:
 
 def fit_regression_tree(df: DataFrame, features: list[str], y: str, max_depth: int = 5) -> RegressionTree:
     columns = [F.col(f"`{f}`").cast("double").alias(f) for f in features]
-    rows = df.select(*columns, F.col(f"`{y}`").cast("double").alias("__y")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(*columns, F.col(f"`{y}`").cast("double").alias("__y")).na.drop()
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tree = RegressionTree({1: Node(0, 0.0)})
         level = [1]

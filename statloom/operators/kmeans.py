@@ -37,6 +37,12 @@ def features_column(features: list[str] | str) -> Column:
     return F.array(*[F.col(f"`{f}`").cast("double") for f in features])
 
 
+def complete_points(df: DataFrame, id_col: str, features: list[str] | str) -> DataFrame:
+    """Id and vector of the rows without a missing value."""
+    rows = df.select(F.col(id_col).alias("id"), features_column(features).alias("x"))
+    return rows.where(F.col("x").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+
+
 def fit_kmeans_runs(
     df: DataFrame,
     id_col: str,
@@ -51,7 +57,7 @@ def fit_kmeans_runs(
 
     A run ends when its centres move by less than tol times the mean feature variance.
     """
-    rows = df.select(F.col(id_col).alias("id"), features_column(features).alias("x"))
+    rows = complete_points(df, id_col, features)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n, width, pool = _seed_pool(rows, seed)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.vectors import matrix
-from .kmeans import features_column, fit_kmeans, nearest_center
+from .kmeans import complete_points, features_column, fit_kmeans, nearest_center
 
 MAX_EXACT = 20_000
 MAX_BYTES = 256 * 1024 * 1024
@@ -116,7 +116,7 @@ def fit_tree(
 
 def _leaves(df, id_col, features, max_exact, condense, seed):
     """Distinct points with their row counts: equal rows are merged before any distance is taken."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), features_column(features).alias("x"))
+    rows = complete_points(df, id_col, features).withColumn("id", F.col("id").cast("bigint"))
     found = None
     # the sketch needs no shuffle; grouping all points is left out where it would be in vain
     if rows.agg(F.approx_count_distinct("x", 0.01)).first()[0] <= 1.1 * max_exact:

@@ -53,6 +53,7 @@ def fit_logistic_many(
         F.col(label).cast("double").alias("y"),
         (F.col(fold) if fold else F.lit(None).cast("int")).alias("fold"),
     )
+    scaled = scaled.na.drop(subset=[c for c in scaled.columns if c != "fold"])
     fits = [_Fit(c, left_out, np.zeros(len(features) + 1)) for c, left_out in settings]
     # the penalty is stated on raw coefficients: w_raw = w_scaled / sd
     penalties = [np.concatenate([[0.0], 1.0 / (f.c * sd**2)]) for f in fits]
@@ -153,6 +154,7 @@ def _fit_wide(df: DataFrame, features: list[str], label: str, c: float) -> Linea
     from pyspark.ml.feature import VectorAssembler
 
     rows = df.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], F.col(label).cast("double").alias("label"))
+    rows = rows.na.drop()
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(rows).select("features", "label")
     assembled.persist()
     try:

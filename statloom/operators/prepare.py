@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import normalize_pixels
+from ..functions.numeric import normalize_pixels, number
 from ..functions.polynomial import exponents, monomial
 from ..plans.order_stats import quantiles
 
@@ -29,9 +29,12 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, columns: list[str], only: Column | None = None) -> Scaler:
-    """Fit on all rows, or on the rows of a condition such as the training side."""
+    """Fit on all rows, or on the rows of a condition such as the training side.
+
+    Missing values take no part.
+    """
     rows = df if only is None else df.where(only)
-    aggs = [f(F.col(f"`{c}`").cast("double")) for c in columns for f in (F.avg, F.stddev_pop)]
+    aggs = [f(number(c)) for c in columns for f in (F.avg, F.stddev_pop)]
     r = rows.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
     return Scaler(tuple(columns), tuple(r[0::2]), tuple(r[1::2]))
 

@@ -77,14 +77,14 @@ def fit_linear(df: DataFrame, features: list[str], y: str) -> LinearModel:
     """Multiple least squares from centred cross products."""
     ranges = value_ranges(df, [*features, y])
     basis = [F.lit(1.0)] + [F.col(f"`{f}`").cast("double") - F.lit(ranges[f][2]) for f in features]
-    gram = column_gram(df, basis, F.col(f"`{y}`").cast("double") - F.lit(ranges[y][2]))[()]
+    gram = column_gram(df, basis, centred(y, ranges[y][2]))[()]
     beta = gram.solve()
     shift = sum(b * ranges[f][2] for b, f in zip(beta[1:], features))
     return LinearModel(tuple(features), float(beta[0] + ranges[y][2] - shift), tuple(map(float, beta[1:])))
 
 
-def chebyshev_basis(df: DataFrame, features: list[str], y: str, degree: int) -> tuple[Basis, Column]:
-    """Basis scaled to the data, and the target centred by its mean.
+def chebyshev_basis(df: DataFrame, features: list[str], y: str, degree: int) -> tuple[Basis, float]:
+    """Basis scaled to the data, and the mean of the target.
 
     The scaling spans all rows: it changes the numbers the basis is made of, not the set of
     curves it can express, so folds and splits may share it.
@@ -96,17 +96,17 @@ def chebyshev_basis(df: DataFrame, features: list[str], y: str, degree: int) ->
         tuple(ranges[f][1] for f in features),
         degree,
     )
-    return basis, F.col(f"`{y}`").cast("double") - F.lit(ranges[y][2])
+    return basis, ranges[y][2]
+
+
+def centred(y: str, mean: float) -> Column:
+    return F.col(f"`{y}`").cast("double") - F.lit(mean)
 
 
 def fit_polynomial(df: DataFrame, features: list[str], y: str, degree: int) -> PolynomialModel:
     """Least squares polynomial with all terms up to a total degree."""
-    ranges = value_ranges(df, [*features, y])
-    basis = Basis(
-        tuple(features), tuple(ranges[f][0] for f in features), tuple(ranges[f][1] for f in features), degree
-    )
-    mean = ranges[y][2]
-    beta = polynomial_gram(df, basis, F.col(f"`{y}`").cast("double") - F.lit(mean))[()].solve()
+    basis, mean = chebyshev_basis(df, features, y, degree)
+    beta = polynomial_gram(df, basis, centred(y, mean))[()].solve()
     beta = np.concatenate([[beta[0] + mean], beta[1:]])
     return PolynomialModel(basis, tuple(map(float, beta)))
 
@@ -130,5 +130,5 @@ def compare_curves(grid: DataFrame, models: dict, keep: list[str]) -> DataFrame:
 
 __all__ = [
     "LinearModel", "PolynomialModel", "simple_regression", "fit_linear", "fit_polynomial",
-    "chebyshev_basis", "fixed_line", "compare_curves",
+    "chebyshev_basis", "centred", "fixed_line", "compare_curves",
 ]

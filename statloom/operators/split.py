@@ -116,7 +116,7 @@ def k_fold(df: DataFrame, id_col: str, k: int, seed, name: str = "fold") -> Data
     return df.withColumn("__hash", hashed).withColumn(name, fold.cast("int")).drop("__hash")
 
 
-def leave_one_out(df: DataFrame, id_col: str, seed=None, name: str = "fold") -> DataFrame:
+def leave_one_out(df: DataFrame, id_col: str, name: str = "fold") -> DataFrame:
     """Every row is its own fold, so the id names the fold; see `loo_cv` for the fit."""
     return df.withColumn(name, F.col(id_col).cast("bigint"))
 

@@ -29,7 +29,7 @@ def fit_trees(
     )
     rows = df.select(*[F.col(f).cast("double") for f in features], F.col(label).cast("double"))
     assembler = VectorAssembler(inputCols=features, outputCol="features_vector")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.na.drop().persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[assembler, estimator]).fit(rows)
     finally:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import total
 from ..functions.polynomial import chebyshev
 from ..plans.gram import Basis, Gram, polynomial_gram
-from .regression import chebyshev_basis
+from .regression import centred, chebyshev_basis
 from .split import k_fold, split_columns, train_test_split
 
 CURVE_SCHEMA = "degree int, train_mse double, test_mse double"
@@ -24,8 +24,8 @@ FOLD_SCHEMA = "degree int, fold int, n bigint, mse double"
 
 def _train_test_gram(df, id_col, features, y, fraction, seed, degree) -> tuple[Basis, Gram, Gram]:
     split = train_test_split(df, id_col, fraction, seed)
-    basis, target = chebyshev_basis(df, features, y, degree)
-    grams = polynomial_gram(split, basis, target, ["is_test"])
+    basis, mean = chebyshev_basis(df, features, y, degree)
+    grams = polynomial_gram(split, basis, centred(y, mean), ["is_test"])
     return basis, grams[(False,)], grams[(True,)]
 
 
@@ -59,13 +59,13 @@ def repeated_holdout(
     over patterns: one pass over the data, without a copy of it per seed.
     """
     degrees = list(degrees)
-    basis, target = chebyshev_basis(df, features, y, max(degrees))
+    basis, mean = chebyshev_basis(df, features, y, max(degrees))
     rows = []
     for start in range(0, len(seeds), 10):  # at most 1024 patterns per pass
         some = seeds[start : start + 10]
         split = split_columns(df, id_col, fraction, some)
         pattern = total([F.col(f"test_{s}").cast("int") * F.lit(1 << i) for i, s in enumerate(some)])
-        grams = polynomial_gram(split.withColumn("pattern", pattern), basis, target, ["pattern"])
+        grams = polynomial_gram(split.withColumn("pattern", pattern), basis, centred(y, mean), ["pattern"])
         for i, s in enumerate(some):
             test = _add([g for (p,), g in grams.items() if p >> i & 1])
             train = _add([g for (p,), g in grams.items() if not p >> i & 1])
@@ -88,8 +88,8 @@ def fold_errors(
 ) -> DataFrame:
     """Test error per (degree, fold)."""
     degrees = list(degrees)
-    basis, target = chebyshev_basis(df, features, y, max(degrees))
-    folds = polynomial_gram(k_fold(df, id_col, k, seed), basis, target, ["fold"])
+    basis, mean = chebyshev_basis(df, features, y, max(degrees))
+    folds = polynomial_gram(k_fold(df, id_col, k, seed), basis, centred(y, mean), ["fold"])
     whole = _add(list(folds.values()))
     rows = []
     for (fold,), test in sorted(folds.items()):
@@ -112,12 +112,12 @@ def loo_cv(df: DataFrame, features: list[str], y: str, degree: int = 1) -> DataF
 
     The error of a row left out is its residual divided by one minus its leverage.
     """
-    basis, target = chebyshev_basis(df, features, y, degree)
-    gram = polynomial_gram(df, basis, target)[()]
+    basis, mean = chebyshev_basis(df, features, y, degree)
+    gram = polynomial_gram(df, basis, centred(y, mean))[()]
     beta, inverse = gram.solve(), gram.inverse()
     terms = [f"t{i}" for i in range(len(basis.terms))]
     angles = [f"angle{i}" for i in range(len(features))]
-    prepared = df.select(*[a.alias(n) for a, n in zip(basis.angles(), angles)], target.alias("y"))
+    prepared = df.select(*[a.alias(n) for a, n in zip(basis.angles(), angles)], centred(y, mean).alias("y"))
     prepared = prepared.select(
         "y", *[chebyshev([F.col(a) for a in angles], p).alias(t) for t, p in zip(terms, basis.terms)]
     )
@@ -131,7 +131,7 @@ def loo_cv(df: DataFrame, features: list[str], y: str, degree: int = 1) -> DataF
     )
     rest: Column = 1 - F.col("h")
     left_out = F.when(rest > 1e-12, F.pow((F.col("y") - F.col("f")) / rest, 2.0))
-    scored = prepared.select("y", fitted.alias("f"), leverage.alias("h"))
+    scored = prepared.na.drop().select("y", fitted.alias("f"), leverage.alias("h"))
     return scored.agg(F.count(F.lit(1)).alias("fits"), F.avg(left_out).alias("mse"))
 
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import number
 from ..functions.polynomial import exponents, scaled_angle
 from .vectors import collect_vectors, list_column, matrix
 
@@ -58,7 +59,10 @@ class Gram:
 
 
 def column_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[str] = ()) -> dict:
-    """Gram sums per key for a list of basis columns: {key tuple: Gram}."""
+    """Gram sums per key for a list of basis columns: {key tuple: Gram}.
+
+    Rows with a missing value take no part.
+    """
     keys = list(keys)
     width = len(basis)
     if width <= SQL_COLUMNS:
@@ -68,7 +72,8 @@ def column_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[s
     key = F.col(keys[0]) if keys else F.lit(0)
     # a leading constant makes the first entry of the product the row count
     values = F.array(F.lit(1.0), *[b.cast("double") for b in basis], target.cast("double"))
-    rows = df.select(key.alias("key"), values.alias("row"))
+    complete = F.forall("row", lambda v: v.isNotNull() & ~F.isnan(v))
+    rows = df.select(key.alias("key"), values.alias("row")).where(complete)
     key_type = rows.schema["key"].dataType.simpleString()
     partial = rows.mapInArrow(_partial_gram(), f"key {key_type}, sums array<double>")
     result = {}
@@ -82,6 +87,7 @@ def column_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[s
 def _sql_gram(df: DataFrame, basis: list[Column], target: Column, keys: list[str]) -> dict:
     width = len(basis)
     named = df.select(*keys, *[b.alias(f"b{i}") for i, b in enumerate(basis)], target.alias("y"))
+    named = named.na.drop(subset=[c for c in named.columns if c not in keys])
     pairs = list(combinations_with_replacement(range(width), 2))
     sums = [F.expr(f"sum(b{i} * b{j}) as g_{i}_{j}") for i, j in pairs]
     sums += [F.expr(f"sum(b{i} * y) as c_{i}") for i in range(width)]
@@ -135,14 +141,14 @@ class Basis:
 
     def angles(self) -> list[Column]:
         return [
-            scaled_angle(F.col(f"`{f}`").cast("double"), a, b)
+            F.when(number(f).isNotNull(), scaled_angle(number(f), a, b))
             for f, a, b in zip(self.features, self.lo, self.hi)
         ]
 
 
 def value_ranges(df: DataFrame, columns: list[str]) -> dict:
     """Minimum, maximum and mean of columns, in one scan."""
-    aggs = [f(f"`{c}`").cast("double") for c in columns for f in (F.min, F.max, F.avg)]
+    aggs = [f(number(c)) for c in columns for f in (F.min, F.max, F.avg)]
     flat = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
     return {c: tuple(flat[3 * i : 3 * i + 3]) for i, c in enumerate(columns)}
 
@@ -154,6 +160,7 @@ def polynomial_gram(
 
     cos(a)cos(b) = (cos(a+b) + cos(a-b)) / 2, so every product of two basis terms is a mean of
     terms up to twice the degree. One sum per such term replaces one sum per pair of terms.
+    Rows with a missing value take no part.
     """
     keys = list(keys)
     p = len(basis.features)
@@ -177,7 +184,7 @@ def polynomial_gram(
     ]
     pick = np.array(mean_of)
     result = {}
-    for r in prepared.groupBy(*keys).agg(*aggs).collect():
+    for r in prepared.na.drop(subset=[*angle_names, "y"]).groupBy(*keys).agg(*aggs).collect():
         m = np.array([r["n"] if not any(t) else r[f"m{i}"] for i, t in enumerate(moments)], dtype=float)
         c = np.array([r[f"c{i}"] for i in range(len(terms))], dtype=float)
         result[tuple(r[k] for k in keys)] = Gram(r["n"], m[pick].mean(axis=2), c, r["yy"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.hashing import normal, uniform
 from statloom.functions.polynomial import exponents
-from statloom.operators import exact_tree, logistic, metrics, prepare, regression, validation
+from statloom.operators import exact_tree, kmeans, logistic, metrics, prepare, regression, validation
 from statloom.operators.split import k_fold, split_columns, train_test_split
 from statloom.plans.gram import column_gram
 from statloom.sources import generate, grid, models
@@ -243,3 +243,19 @@ def test_logistic_on_separable_rows_is_held_by_the_penalty(spark):
     model = logistic.fit_logistic(df, ["x"], "y")
     x = np.arange(60.0)[:, None]
     assert np.allclose([model.intercept, *model.coefficients], _numpy_logistic(x, (np.arange(60) >= 30) * 1.0, 1.0), rtol=1e-4)
+
+
+def test_rows_with_missing_values_take_no_part_in_a_fit(spark):
+    clean = generate.sample_data(spark.range(300), "id", "tv_radio_sales").cache()
+    gap = clean.withColumn("id", F.col("id") + 1000).withColumn("tv", F.when(F.col("id") % 3 == 1, F.lit(float("nan"))))
+    dirty = clean.unionByName(gap)
+    a, b = (regression.fit_linear(df, ["tv", "radio"], "y") for df in (clean, dirty))
+    assert [b.intercept, *b.coefficients] == pytest.approx([a.intercept, *a.coefficients])
+    no_radio = gap.withColumn("radio", F.lit(None).cast("double"))
+    a, b = (regression.fit_polynomial(df, ["radio"], "y", 3).coefficients for df in (clean, clean.unionByName(no_radio)))
+    assert b == pytest.approx(a)
+    label = (F.col("y") > 15).cast("int")
+    a, b = (logistic.fit_logistic(df.withColumn("l", label), ["tv"], "l") for df in (clean, dirty))
+    assert b.coefficients == pytest.approx(a.coefficients)
+    assert exact_tree.fit_regression_tree(dirty, ["tv"], "y", 2).nodes[1].n == 300
+    assert kmeans.fit_kmeans(dirty, "id", ["tv", "radio"], 2, n_init=1).counts.sum() == 300
