@@ -152,6 +152,24 @@ def serial_merges(pairs: str, method: str) -> str:
       select step, i as left, j as right, {o.rnd('d')} as height, n as size, true as exact from m"""
 
 
+def top_levels_sql(pairs: str) -> str:
+    """Depth of every merge below the root, by following each merge to the one that uses it."""
+    return f"""with recursive t as materialized ({serial_merges(pairs, 'average')}),
+  up as materialized (select a.step, min(b.step) as parent from t a left join t b on b.step > a.step and (b.left = a.left or b.right = a.left) group by a.step),
+  deep as (select step, 0 as depth from up where parent is null union all select up.step, depth + 1 from up join deep on up.parent = deep.step),
+  kids as (select t.step, t.height, t.size, coalesce(arg_max(u.size, u.step), 1) as left_size from t left join t u on u.step < t.step and u.left = t.left group by all)
+  select step, depth, height, cast(left_size as bigint) as left_size, cast(size - left_size as bigint) as right_size from kids join deep using (step) where depth <= 5"""
+
+
+def tree_cut_sql(pairs: str, ids: str, k: int = 3) -> str:
+    """Labels after all but the last k - 1 merges: every id follows the merges of its name."""
+    return f"""with recursive t as materialized ({serial_merges(pairs, 'average')}),
+      kept as materialized (select * from t where step <= (select max(step) from t) - {k - 1}),
+      root as (select id, id as name from ({ids})
+        union all select root.id, kept.left from root join kept on kept.right = root.name)
+      select id, cast(dense_rank() over (order by name) - 1 as integer) as cluster from (select id, min(name) as name from root group by id)"""
+
+
 EMBEDDING_PAIRS = """select a.vec_id as i, b.vec_id as j, sqrt(sum(pow(cast(a.v as double) - cast(b.v as double), 2))) as d
   from (select vec_id, unnest(embedding) as v, unnest(range(64)) as pos from embeddings) a
   join (select vec_id, unnest(embedding) as v, unnest(range(64)) as pos from embeddings) b on a.pos = b.pos and a.vec_id < b.vec_id group by all"""
@@ -194,25 +212,14 @@ for _method in ("average", "single", "complete", "ward"):
     _supplier_query(_method)
 
 
-TOP_LEVELS = f"""with recursive t as materialized ({serial_merges(SUPPLIERS, 'average')}),
-  up as materialized (select a.step, min(b.step) as parent from t a left join t b on b.step > a.step and (b.left = a.left or b.right = a.left) group by a.step),
-  deep as (select step, 0 as depth from up where parent is null union all select up.step, depth + 1 from up join deep on up.parent = deep.step),
-  kids as (select t.step, t.height, t.size, coalesce(arg_max(u.size, u.step), 1) as left_size from t left join t u on u.step < t.step and u.left = t.left group by all)
-  select step, depth, height, cast(left_size as bigint) as left_size, cast(size - left_size as bigint) as right_size from kids join deep using (step) where depth <= 5"""
-
-
-@query("merge_table_suppliers_top_levels", TOP_LEVELS)
+@query("merge_table_suppliers_top_levels", top_levels_sql(SUPPLIERS))
 def _(spark, d):
     return rounded(_supplier_tree(spark, d)[1].top_levels(spark, 5))
 
 
 @query(
     "tree_cut_suppliers",
-    f"""with recursive t as materialized ({serial_merges(SUPPLIERS, 'average')}),
-      kept as materialized (select * from t where step <= (select max(step) from t) - 2),
-      root as (select s_suppkey as id, s_suppkey as name, 0 as step from supplier
-        union all select root.id, kept.left, kept.step from root join kept on kept.right = root.name)
-      select id, cast(dense_rank() over (order by name) - 1 as integer) as cluster from (select id, min(name) as name from root group by id)""",
+    tree_cut_sql(SUPPLIERS, "select s_suppkey as id from supplier"),
 )
 def _(spark, d):
     rows, tree = _supplier_tree(spark, d)
@@ -237,12 +244,12 @@ def _(spark, d):
     return rounded(_tree(spark, d, "single").merge_table(spark).select("step", "height"))
 
 
-@query("merge_table_top_levels")
+@query("merge_table_top_levels", top_levels_sql(EMBEDDING_PAIRS))
 def _(spark, d):
     return rounded(_tree(spark, d, "average").top_levels(spark, 5))
 
 
-@query("tree_cut_labels")
+@query("tree_cut_labels", f"select id as vec_id, cluster from ({tree_cut_sql(EMBEDDING_PAIRS, 'select vec_id as id from embeddings')})")
 def _(spark, d):
     rows = load(spark, d, "embeddings").select("vec_id", "embedding")
     tree = _tree(spark, d, "average")
