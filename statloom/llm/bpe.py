@@ -18,6 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import pieces_of, texts_of
+from .tables import IntTable
 from .units import UnitCache
 
 NONE = np.int32(2**31 - 1)
@@ -32,7 +33,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_tables(path: str, pattern: str) -> dict:
-    """What encoding needs, in plain types: ranks, the pairs that merge, and a hash table of them.
+    """What encoding needs, in plain types: ranks, the pairs that merge, also as arrays.
 
     `kept` is a place for the encodings that a worker process remembers.
     """
@@ -45,8 +46,8 @@ def merge_tables(path: str, pattern: str) -> dict:
             left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
             if left is not None and right is not None:
                 pairs[left << 16 | right] = rank
-    tables = {"ranks": ranks, "pattern": pattern, "pairs": pairs, "kept": {}}
-    return tables | {"table": ByteBPE(tables).filled_table()}
+    table = np.fromiter(pairs.keys(), dtype=np.int64, count=len(pairs)), np.fromiter(pairs.values(), dtype=np.int32, count=len(pairs))
+    return {"ranks": ranks, "pattern": pattern, "pairs": pairs, "table": table, "kept": {}}
 
 
 class ByteBPE:
@@ -57,40 +58,11 @@ class ByteBPE:
         self.matches = regex.compile(self.pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self.bits = max(4, int(len(self.pairs) * 4).bit_length())
-        self.slots, self.values = tables.get("table", (None, None))
-
-    def filled_table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Open addressing over the pairs, for lookups of whole arrays."""
-        slots = np.full(1 << self.bits, -1, dtype=np.int64)
-        values = np.full(1 << self.bits, NONE, dtype=np.int32)
-        keys = np.fromiter(self.pairs.keys(), dtype=np.int64, count=len(self.pairs))
-        ranks = np.fromiter(self.pairs.values(), dtype=np.int32, count=len(self.pairs))
-        at = self._slot(keys)
-        while len(keys):
-            free = slots[at] < 0
-            slots[at[free]] = keys[free]  # of keys that want one slot the last stays
-            placed = slots[at] == keys
-            values[at[placed]] = ranks[placed]
-            keys, ranks, at = keys[~placed], ranks[~placed], (at[~placed] + 1) & (len(slots) - 1)
-        return slots, values
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.table = IntTable(*tables["table"], missing=NONE)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; NONE where it doesn't merge or either side is missing (negative)."""
-        keys = left << 16 | right
-        at = self._slot(keys)
-        found = self.slots[at]
-        ranks = np.where(found == keys, self.values[at], NONE)
-        open_ = np.flatnonzero((found != keys) & (found >= 0))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
-            found = self.slots[at[open_]]
-            hit = found == keys[open_]
-            ranks[open_[hit]] = self.values[at[open_[hit]]]
-            open_ = open_[~hit & (found >= 0)]
+        ranks = self.table.get(np.maximum(left << 16 | right, 0))
         ranks[(left < 0) | (right < 0)] = NONE
         return ranks
 

@@ -31,3 +31,8 @@ def pieces_of(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BY
 def held_out(id_col: str, modulus: int, remainder: int):
     """Rows that learning must not see: crc32 of the id as text, modulo `modulus`, is `remainder`. A NULL id is held out."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus == remainder, F.lit(True))
+
+
+def with_held_out(scored: DataFrame, modulus: int, remainder: int) -> DataFrame:
+    first, *rest = scored.columns
+    return scored.select(first, held_out(first, modulus, remainder).alias("held_out"), *rest)
