@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+from array import array
 from pathlib import Path
 
-import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -21,11 +22,27 @@ def shared_vocabulary(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast({"name": path, "file": Path(path).read_bytes(), "kept": {}})
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, others follow from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
+
+
 class Library:
     """Token ids and counts as the library of a vocabulary file gives them.
 
     For a byte-level .json that splits by the public pattern and changes nothing else, texts are cut into units, and each new unit
-    goes to the library once; a text that contains a special string goes there whole. Other files get whole texts.
+    goes to the library once: a word of common letters straight to its model, as such a word is one match, and anything else through
+    all its steps. A text that contains a special string goes there whole. Other files get whole texts.
     """
 
     def __init__(self, shared: dict):
@@ -48,6 +65,21 @@ class Library:
         self.cuts = self.cuts and not any(" " in s for s in self.special)
         self.cuts = self.cuts and not any(t["lstrip"] or t["rstrip"] for t in stated.get("added_tokens", []))
 
+        self.word = self.model.model.tokenize if self.cuts else None
+        self.letters = byte_letters()
+
+    def _tokens(self, unit: str):
+        """The model's tokens of a unit that is one match of common letters; None if it isn't."""
+        word = unit[1:] if unit[:1] == " " else unit
+        if word.isalpha() and max(word) < "\u0530":
+            return self.word(unit.encode().decode("latin-1").translate(self.letters))
+        return None
+
+    def _units(self, units: list[str], of_tokens, of_texts) -> list:
+        found = [self._tokens(u) for u in units]
+        others = iter(of_texts([u for u, t in zip(units, found) if t is None]))
+        return [next(others) if t is None else of_tokens(t) for t in found]
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         if self.piece:
             return self.model.encode(texts, num_threads=1)
@@ -56,7 +88,7 @@ class Library:
     def _ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for start in range(0, len(texts), 20_000):
-            out += [np.array(ids, dtype="<u4").tobytes() for ids in self._whole(texts[start : start + 20_000])]
+            out += [_bytes(ids) for ids in self._whole(texts[start : start + 20_000])]
         return out
 
     def _lengths(self, texts: list[str]) -> list[int]:
@@ -69,17 +101,17 @@ class Library:
                 out += map(len, self.model.encode_batch_fast(part, add_special_tokens=False))
         return out
 
-    def _by_units(self, texts: list[str], encode, kind: str, join) -> list:
+    def _by_units(self, texts: list[str], encode, of_tokens, kind: str, join) -> list:
         special = [any(s in t for s in self.special) for t in texts] if self.cuts else [True] * len(texts)
-        cut = UnitCache(encode, self.kept.setdefault(kind, {})).lookup([t for t, s in zip(texts, special) if not s])
+        cut = UnitCache(lambda u: self._units(u, of_tokens, encode), self.kept.setdefault(kind, {})).lookup([t for t, s in zip(texts, special) if not s])
         whole = encode([t for t, s in zip(texts, special) if s])
         cut, whole = iter(cut), iter(whole)
         return [next(whole) if s else join(next(cut)) for s in special]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        return self._by_units(texts, self._ids, "ids", b"".join)
+        return self._by_units(texts, self._ids, lambda found: _bytes([t.id for t in found]), "ids", b"".join)
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Number of ids of each text; the ids are never put together."""
-        return self._by_units(texts, self._lengths, "lengths", sum)
+        return self._by_units(texts, self._lengths, len, "lengths", sum)

@@ -9,10 +9,12 @@ and equal units encode alike.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable
 
 _CUT = re.compile(r" (?=\S)")
 _UNSAFE = re.compile(r" (?:\s|\Z)")
+_SIGNS = string.punctuation
 
 
 def units(text: str) -> list[str]:
@@ -23,28 +25,45 @@ def units(text: str) -> list[str]:
 class UnitCache:
     """Values of the units seen lately; `encode` takes a list of whole unit texts and returns one value for each.
 
-    `kept` holds the values. Taken from a broadcast, it lasts as long as the worker process and serves its later tasks too.
-    It is emptied when it holds `limit` units, so memory stays bounded on any text.
+    Values can be added: signs at the end of a unit of letters are a match of their own, so such a unit is the sum of
+    its letters and its signs. `kept` holds the values. Taken from a broadcast, it lasts as long as the worker process and
+    serves its later tasks too. When it holds `limit` units, those not asked for since the last time are dropped, so memory stays
+    bounded on any text.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], kept: dict | None = None, limit: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], list], kept: dict | None = None, limit: int = 300_000):
         self.encode, self.limit = encode, limit
-        kept = {} if kept is None else kept
-        self.heads: dict[str, object] = kept.setdefault("heads", {})
-        self.tails: dict[str, object] = kept.setdefault("tails", {})
+        self.kept = {} if kept is None else kept
+        for part in ("heads", "tails", "older"):
+            self.kept.setdefault(part, {})
 
     def lookup(self, texts: list[str]) -> list[list]:
         """For each text the values of its units in order."""
-        if len(self.tails) + len(self.heads) > self.limit:
-            self.heads.clear()
-            self.tails.clear()
+        kept = self.kept
+        if len(kept["tails"]) + len(kept["heads"]) > self.limit:
+            kept["older"], kept["tails"], kept["heads"] = kept["tails"], {}, {}
+        heads, tails, older = kept["heads"], kept["tails"], kept["older"]
         cut = [units(t) for t in texts]
-        heads, tails = self.heads, self.tails
-        first = list({parts[0] for parts in cut} - heads.keys())
-        rest = list(set().union(*cut) - tails.keys())
+        asked = set().union(*cut) - tails.keys()
+        known = asked & older.keys()
+        tails.update(zip(known, map(older.__getitem__, known)))
+        first, rest, whole = {parts[0] for parts in cut} - heads.keys(), set(), []
+        for unit in asked - known:
+            letters = unit.rstrip(_SIGNS)
+            if letters != unit and letters.isalpha():
+                whole.append((unit, letters))
+                if unit[len(letters) :] not in heads:
+                    first.add(unit[len(letters) :])
+                if letters not in tails:
+                    rest.add(letters)
+            else:
+                rest.add(unit)
+        first, rest = list(first), list(rest)
         if first or rest:
             values = self.encode(first + [f" {u}" for u in rest])
             heads.update(zip(first, values))
             tails.update(zip(rest, values[len(first) :]))
+        for unit, letters in whole:
+            tails[unit] = tails[letters] + heads[unit[len(letters) :]]
         get = tails.__getitem__
         return [[heads[parts[0]], *map(get, parts[1:])] for parts in cut]
