@@ -6,8 +6,8 @@ down to the depth at which the region has at most REGION rows (WIDE_REGION in th
 differ too much are dropped, the others confirmed on full shingle sets.
 
 Sets that are equal are one node from the start. A first pass confirms one promising partner of every node, which
-joins dense groups without all their pairs; a second pass over the same orders confirms every remaining candidate pair whose nodes
-are still apart. So work follows the number of documents, not the squares of group sizes.
+joins dense groups without all their pairs; a second pass over the same orders, with a longer sketch of the nodes that
+have candidates at all, confirms every remaining pair whose nodes are still apart. So work follows the number of documents, not the squares of group sizes.
 """
 
 from __future__ import annotations
@@ -27,24 +27,30 @@ from .shingles import WordHashes, shingle_set
 ORDERS, STEP = 16, 4  # orders, and values between their starts
 VALUES = ORDERS * STEP
 DEPTH = 12  # values of a sort key
+LONG = 512  # values of the second pass's sketch, 8 bits each
 REGION, WIDE_REGION = 64, 512  # rows of a region in the first pass, and among the nodes that are still apart
 BLOCK = 20_000  # rows compared at a time
 
 _random = np.random.default_rng(20)
-_FACTORS = _random.integers(1, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_SHIFTS = _random.integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32)
+_FACTORS = _random.integers(1, 1 << 31, VALUES + LONG, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SHIFTS = _random.integers(0, 1 << 32, VALUES + LONG, dtype=np.uint64).astype(np.uint32)
 _EQUAL = np.array([(b >> 4 == 0) + (b & 15 == 0) for b in range(256)], dtype=np.uint8)  # equal halves of two bytes, by their difference
 
 
-def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
-    """(16 bits of each MinHash value, 4 bits of each) of a set of 64-bit hashes."""
+def least_values(shingles: np.ndarray, first: int, last: int) -> np.ndarray:
+    """MinHash values `first` to `last` of a set of 64-bit hashes, mixed so that all their bits can be used."""
     low = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    least = np.full(VALUES, 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(low), 4096):
-        block = low[at : at + 4096, None] * _FACTORS
-        block += _SHIFTS
+    least = np.full(last - first, 0xFFFFFFFF, dtype=np.uint32)
+    for at in range(0, len(low), 2048):
+        block = low[at : at + 2048, None] * _FACTORS[first:last]
+        block += _SHIFTS[first:last]
         np.minimum(least, block.min(0), out=least)
-    least = (least * np.uint32(2654435761)) >> np.uint32(16)
+    return (least * np.uint32(2654435761)) >> np.uint32(16)
+
+
+def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
+    """(16 bits of each MinHash value, 4 bits of each)."""
+    least = least_values(shingles, 0, VALUES)
     few = (least & np.uint32(15)).astype(np.uint8)
     return least.astype(">u2").tobytes(), (few[0::2] << 4 | few[1::2]).tobytes()
 
@@ -124,15 +130,18 @@ def _fixed(column: pa.Array, width: int, kind: str) -> np.ndarray:
 
 def _pairs(batch: pa.RecordBatch, old: int, least: float, region: int, group: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(i, j, estimated similarity) of the region pairs of a block that may be similar enough and aren't of one group."""
-    key, sketch = _fixed(batch.column("key"), DEPTH, ">u2"), _fixed(batch.column("sketch"), VALUES // 2, "u1")
+    key = _fixed(batch.column("key"), DEPTH, ">u2")
+    sketch = _fixed(batch.column("sketch"), VALUES // 2 if group is None else LONG, "u1")
     first, second = region_pairs(batch.column("tree").to_numpy(), key, region, group)
     fresh = second >= old
     first, second = first[fresh], second[fresh]
     kept = [], [], []
-    for at in range(0, len(first), 200_000):
-        i, j = first[at : at + 200_000], second[at : at + 200_000]
-        match = _EQUAL[sketch[i] ^ sketch[j]].sum(1) / VALUES
-        estimate = (match - 1 / 16) * 16 / 15
+    for at in range(0, len(first), 50_000):
+        i, j = first[at : at + 50_000], second[at : at + 50_000]
+        if group is None:
+            estimate = (_EQUAL[sketch[i] ^ sketch[j]].sum(1) / VALUES - 1 / 16) * 16 / 15
+        else:
+            estimate = ((sketch[i] == sketch[j]).sum(1) / LONG - 1 / 256) * 256 / 255
         good = estimate >= least
         for out, values in zip(kept, (i, j, estimate)):
             out.append(values[good])
@@ -174,17 +183,29 @@ def best_partners(nodes: DataFrame, threshold: float, least: float) -> DataFrame
 
 
 def pairs_apart(nodes: DataFrame, least: float) -> DataFrame:
-    """`a, b`: every candidate pair whose nodes are in different groups (`group`)."""
+    """`a, b`: every candidate pair whose nodes are in different groups (`group`, of `size` nodes); `a` is of the smaller group.
+
+    Tasks give one row per node and order with all its partners, so a pair found in many orders is put together before it is a row.
+    """
 
     def run(batches):
         for batch, old in _blocks(batches, WIDE_REGION):
             group = batch.column("group").dictionary_encode().indices.to_numpy()
             i, j, _ = _pairs(batch, old, least, WIDE_REGION, group)
-            node = batch.column("node")
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(j))], ["a", "b"])
+            if not len(i):
+                continue
+            size, node = batch.column("size").to_numpy(), np.array(batch.column("node").to_pylist(), dtype=object)
+            swap = (size[i] > size[j]) | (size[i] == size[j]) & (node[i] > node[j])
+            a, b = np.where(swap, j, i), np.where(swap, i, j)
+            order = np.argsort(a, kind="stable")
+            a, b = a[order], b[order]
+            starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(a)), pa.int32()), batch.column("node").take(pa.array(b)))
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(a[starts])), lists], ["a", "partners"])
 
-    found = forest(nodes).mapInArrow(run, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = forest(nodes).mapInArrow(run, "a binary, partners array<binary>")
+    partners = F.array_distinct(F.flatten(F.collect_list("partners")))
+    return found.groupBy("a").agg(partners.alias("partners")).select("a", F.explode("partners").alias("b"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -221,7 +242,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     Other columns are not looked at; an empty table gives an empty one.
     """
     threshold = percent / 100
-    least = threshold - 0.24  # 4.6 standard deviations of the estimate from VALUES half bytes
+    # 4.6 standard deviations of the estimate from VALUES half bytes, and from LONG bytes
+    least, long_least = threshold - 0.24, threshold - 0.082
     table = materialise(signatures(docs, words, id_col, text_col), "signatures")
     nodes = table.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
     nodes = materialise(nodes.agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "nodes")
@@ -230,13 +252,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     members = nodes.join(partners.select(F.col("a").alias("node")), "node", "left_semi")
     members = materialise(members, "members")
     texts = texts_of(docs, id_col, text_col).join(members.select("doc_id", "node"), "doc_id").select("node", "text")
-    texts = materialise(of_their_node(texts, words), "texts")
+    texts = materialise(of_their_node(texts, words).dropDuplicates(["node"]), "texts")
     first = partners.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = materialise(confirmed(first, texts, words, percent), "first-links")
     groups = components(links, "first-groups")
 
-    grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component", "doc_id")
-    rest = confirmed(pairs_apart(grouped, least), texts, words, percent)
+    grouped = members.select("node", "signature").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    sizes = grouped.groupBy("group").agg(F.count("*").alias("size"))
+    grouped = grouped.join(sizes, "group").join(texts.select("node", "sketch"), "node")
+    rest = confirmed(pairs_apart(grouped, long_least), texts, words, percent)
     stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = components(rest.unionByName(stars), "groups")
 
@@ -254,19 +278,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 
 def of_their_node(texts: DataFrame, words: int) -> DataFrame:
-    """One text per node: rows that repeat an id may hold other texts too, and equal ones."""
+    """One text per node with its long sketch; rows that repeat an id may hold other texts too, which go, or the same again."""
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
             for part in pieces_of(batch):
-                same = [
-                    xxhash.xxh3_128_digest(shingle_set(t or "", words, hashes).tobytes()) == n
-                    for n, t in zip(part.column("node").to_pylist(), part.column("text").to_pylist())
-                ]
+                sets = [shingle_set(t or "", words, hashes) for t in part.column("text").to_pylist()]
+                same = [xxhash.xxh3_128_digest(s.tobytes()) == n for s, n in zip(sets, part.column("node").to_pylist())]
+                sketch = [least_values(s, VALUES, VALUES + LONG).astype(np.uint8).tobytes() if k else None for s, k in zip(sets, same)]
+                part = pa.RecordBatch.from_arrays([part.column("node"), part.column("text"), pa.array(sketch, pa.binary())], ["node", "text", "sketch"])
                 yield part.filter(pa.array(same, pa.bool_()))
 
-    return texts.mapInArrow(run, "node binary, text string")
+    return texts.mapInArrow(run, "node binary, text string, sketch binary")
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
