@@ -2,12 +2,12 @@
 
 A signature's values are read in several cyclic orders, each starting elsewhere. Sorted by one order, sets with the longest common
 prefix stand side by side. A row's candidates in an order are the rows of its region: those that share its prefix
-down to the depth at which the region has at most REGION rows (WIDE_REGION in the second pass), so crowded regions go deeper. Candidates whose signatures
+down to the depth at which the region has at most REGION rows (WIDE_REGION in the last pass), so crowded regions go deeper. Candidates whose signatures
 differ too much are dropped, the others confirmed on full shingle sets.
 
 Sets that are equal are one node from the start. A first pass confirms one promising partner of every node, which
-joins dense groups without all their pairs; a second pass over the same orders, with a longer sketch of the nodes that
-have candidates at all, confirms every remaining pair whose nodes are still apart. So work follows the number of documents, not the squares of group sizes.
+joins dense groups without all their pairs; MERGES more do so between groups, with a longer sketch of the nodes that have
+candidates at all. A last pass over the same orders confirms every remaining pair whose nodes are still apart. So work follows the number of documents, not the squares of group sizes.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ from .shingles import WordHashes, shingle_set
 ORDERS, STEP = 16, 4  # orders, and values between their starts
 VALUES = ORDERS * STEP
 DEPTH = 12  # values of a sort key
-LONG = 512  # values of the second pass's sketch, 8 bits each
-REGION, WIDE_REGION = 64, 512  # rows of a region in the first pass, and among the nodes that are still apart
+MERGES = 2  # passes that confirm the most similar partner in another group
+LONG = 512  # values of the later passes' sketch, 8 bits each
+REGION, WIDE_REGION = 64, 512  # rows of a region and in the last pass
 BLOCK = 20_000  # rows compared at a time
 
 _random = np.random.default_rng(20)
@@ -182,6 +183,27 @@ def best_partners(nodes: DataFrame, threshold: float, least: float) -> DataFrame
     return found.groupBy("a").agg(F.max(F.struct("worth", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
 
 
+def best_apart(nodes: DataFrame, least: float) -> DataFrame:
+    """`a, b`: for every node the most similar candidate of another group."""
+
+    def run(batches):
+        for batch, old in _blocks(batches, REGION):
+            group = batch.column("group").dictionary_encode().indices.to_numpy()
+            i, j, estimate = _pairs(batch, old, least, REGION, group)
+            if not len(i):
+                continue
+            a, b, worth = np.concatenate([i, j]), np.concatenate([j, i]), np.tile(estimate, 2)
+            order = np.lexsort((-b, worth, a))
+            a, b, worth = a[order], b[order], worth[order]
+            last = np.append(a[1:] != a[:-1], True)
+            node = batch.column("node")
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(a[last])), node.take(pa.array(b[last])), pa.array(worth[last])], ["a", "b", "worth"])
+
+    found = forest(nodes).mapInArrow(run, "a binary, b binary, worth double")
+    best = found.groupBy("a").agg(F.max(F.struct("worth", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def pairs_apart(nodes: DataFrame, least: float) -> DataFrame:
     """`a, b`: every candidate pair whose nodes are in different groups (`group`, of `size` nodes); `a` is of the smaller group.
 
@@ -257,10 +279,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     links = materialise(confirmed(first, texts, words, percent), "first-links")
     groups = components(links, "first-groups")
 
-    grouped = members.select("node", "signature").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    sizes = grouped.groupBy("group").agg(F.count("*").alias("size"))
-    grouped = grouped.join(sizes, "group").join(texts.select("node", "sketch"), "node")
-    rest = confirmed(pairs_apart(grouped, long_least), texts, words, percent)
+    members = materialise(members.select("node", "signature").join(texts.select("node", "sketch"), "node"), "sketches")
+    for turn in range(MERGES):
+        more = confirmed(best_apart(_grouped(members, groups), long_least), texts, words, percent)
+        groups = components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))), f"groups-{turn}")
+    rest = confirmed(pairs_apart(_grouped(members, groups), long_least), texts, words, percent)
     stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = components(rest.unionByName(stars), "groups")
 
@@ -277,6 +300,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _grouped(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The nodes with their group so far and its size; a node without a link is a group."""
+    grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+    return grouped.join(grouped.groupBy("group").agg(F.count("*").alias("size")), "group")
+
+
 def of_their_node(texts: DataFrame, words: int) -> DataFrame:
     """One text per node with its long sketch; rows that repeat an id may hold other texts too, which go, or the same again."""
 
