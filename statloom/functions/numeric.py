@@ -15,7 +15,8 @@ def number(name: str) -> Column:
 
 
 def relu(value: Column) -> Column:
-    return F.greatest(F.lit(0.0), value)
+    """Negative values become 0; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), value))
 
 
 def sigmoid(value: Column) -> Column:
@@ -23,7 +24,9 @@ def sigmoid(value: Column) -> Column:
 
 
 def threshold(value: Column, cut: float = 0.5) -> Column:
-    return F.when(value >= F.lit(float(cut)), 1).when(value.isNotNull(), 0).cast("int")
+    """1 from `cut` on, else 0; NULL and NaN give NULL."""
+    known = value.isNotNull() & ~F.isnan(value.cast("double"))
+    return F.when(known, F.when(value >= F.lit(float(cut)), 1).otherwise(0)).cast("int")
 
 
 def argmax(scores: Column) -> Column:

@@ -28,13 +28,13 @@ def quartiles(df: DataFrame, category: str, value: str) -> DataFrame:
 
 
 def box_plot(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Quartiles, whiskers at the farthest points within 1.5 IQR, and row count per category."""
+    """Quartiles, whiskers at the farthest points within 1.5 IQR, and row count per category; NULL is a category too."""
     q = quartiles(df, category, value)
     points = df.select(F.col(category).cast("string").alias("category"), F.col(value).cast("double").alias("v"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("v") >= F.col("q1") - reach) & (F.col("v") <= F.col("q3") + reach)
     return (
-        points.join(q, "category")
+        points.join(q.withColumnRenamed("category", "__category"), F.col("category").eqNullSafe(F.col("__category")))
         .groupBy("category", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("low_whisker"),

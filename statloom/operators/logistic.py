@@ -15,7 +15,6 @@ from .prepare import fit_scaler
 from .regression import LinearModel
 
 MAX_STEPS = 50
-START_ROWS = 20_000
 
 
 @dataclass
@@ -33,8 +32,8 @@ class _Fit:
 def fit_logistic(df: DataFrame, features: list[str], label: str, c: float = 1.0, tol: float = 1e-7) -> LinearModel:
     """Maximise likelihood minus |w|^2 / (2 C); the intercept is not penalised.
 
-    Up to eleven features: Newton steps, one aggregate of p*p sums each, about three scans from
-    a start found on a sample. More features: the L-BFGS estimator of Spark ML.
+    Up to eleven features: Newton steps, one aggregate of p*p sums each, from zero, over all rows
+    at every size. More features: the L-BFGS estimator of Spark ML.
     """
     if len(features) + 1 > SQL_COLUMNS:
         return _fit_wide(df, features, label, c)
@@ -59,7 +58,6 @@ def fit_logistic_many(
     penalties = [np.concatenate([[0.0], 1.0 / (f.c * sd**2)]) for f in fits]
     scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)  # a few doubles per row, read in every step
     try:
-        _start_near(scaled, fits, penalties, tol)
         for _ in range(MAX_STEPS):
             active = [(f, p) for f, p in zip(fits, penalties) if not f.done]
             if not active:
@@ -76,33 +74,6 @@ def fit_logistic_many(
     return models
 
 
-def _start_near(scaled: DataFrame, fits: list[_Fit], penalties: list[np.ndarray], tol: float) -> None:
-    """Solve a sample of about START_ROWS rows for a start, which saves most scans of all rows.
-
-    The loss is convex: steps over all rows reach the same optimum from any start.
-    """
-    n = scaled.count()
-    sample = scaled if n <= START_ROWS else scaled.sample(START_ROWS / n, seed=1)
-    width = len(fits[0].beta)
-    rows = sample.select(*[f"z{i}" for i in range(width)], "y", "fold").toPandas()
-    z, y, fold = rows.iloc[:, :width].to_numpy(), rows["y"].to_numpy(), rows["fold"].to_numpy()
-    for fit, penalty in zip(fits, penalties):
-        kept = np.ones(len(y), bool) if fit.left_out is None else fold != fit.left_out
-        if not kept.any():
-            continue
-        weight = n / len(y)
-        for _ in range(MAX_STEPS):
-            margin = z[kept] @ fit.beta
-            p = 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
-            loss = weight * float((np.logaddexp(0.0, margin) - y[kept] * margin).sum())
-            curved = (z[kept] * (p * (1.0 - p))[:, None]).T @ z[kept]
-            _advance(fit, loss, weight * (z[kept].T @ (y[kept] - p)), weight * curved, penalty, tol)
-            if fit.done or not np.isfinite(fit.beta).all():
-                break
-        start = fit.beta if np.isfinite(fit.beta).all() else np.zeros(width)
-        fit.beta, fit.step, fit.loss, fit.done = start, None, np.inf, False
-
-
 def _advance(fit: _Fit, loss: float, gradient: np.ndarray, hessian: np.ndarray, penalty: np.ndarray, tol: float):
     loss += 0.5 * float(penalty @ fit.beta**2)
     if fit.step is not None and loss > fit.loss + 1e-9 * abs(fit.loss):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import cross_entropy
+from ..functions.numeric import cross_entropy, number
 
 
 def residuals(df: DataFrame, y: str, prediction: str, keep: list[str]) -> DataFrame:
@@ -19,23 +19,25 @@ def regression_metrics(
 ) -> DataFrame:
     """MSE, residual sum of squares, R squared and residual standard error in one aggregate.
 
-    R squared of a constant target is 1 for a perfect fit and 0 otherwise; the standard error is
+    Pairs with a NULL or NaN on either side count nowhere. R squared of a constant target is 1 for a perfect fit and 0 otherwise; the standard error is
     NULL where no degree of freedom is left.
     """
-    a, b = F.col(y).cast("double"), F.col(prediction).cast("double")
+    a, b = number(y), number(prediction)
+    whole = a.isNotNull() & b.isNotNull()
+    a, b = F.when(whole, a), F.when(whole, b)
     sums = df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(a).alias("n"),
         F.sum((a - b) * (a - b)).alias("rss"),
         (F.var_pop(a) * F.count(a)).alias("tss"),
     )
     freedom = F.col("n") - F.lit(n_features + 1)
     r2 = F.when(F.col("tss") > 0, 1 - F.col("rss") / F.col("tss")).otherwise(
-        F.when(F.col("rss") == 0, 1.0).otherwise(0.0)
+        F.when(F.col("rss") == 0, 1.0).when(F.col("n") > 0, 0.0)
     )
     return sums.select(
         *group,
         "n",
-        (F.col("rss") / F.col("n")).alias("mse"),
+        F.when(F.col("n") > 0, F.col("rss") / F.col("n")).alias("mse"),
         "rss",
         r2.alias("r2"),
         F.when(freedom > 0, F.sqrt(F.col("rss") / freedom)).alias("rse"),

@@ -51,7 +51,8 @@ def sort_values(df: DataFrame, value: str, id_col: str) -> DataFrame:
 
 
 def best_row(df: DataFrame, key: str, metric: str) -> DataFrame:
-    """Key of the smallest metric; ties go to the smallest key."""
-    return df.agg(
+    """Key of the smallest metric; ties go to the smallest key. Rows without a metric (NULL or NaN) can't win."""
+    known = df.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
+    return known.agg(
         F.min_by(F.col(key), F.struct(metric, key)).alias(key), F.min(metric).alias(metric)
     )

@@ -22,11 +22,11 @@ SPLIT_SCHEMA = "seed int, degree int, n bigint, mse double"
 FOLD_SCHEMA = "degree int, fold int, n bigint, mse double"
 
 
-def _train_test_gram(df, id_col, features, y, fraction, seed, degree) -> tuple[Basis, Gram, Gram]:
+def _train_test_gram(df, id_col, features, y, fraction, seed, degree) -> tuple[Basis, Gram | None, Gram | None]:
     split = train_test_split(df, id_col, fraction, seed)
     basis, mean = chebyshev_basis(df, features, y, degree)
     grams = polynomial_gram(split, basis, centred(y, mean), ["is_test"])
-    return basis, grams[(False,)], grams[(True,)]
+    return basis, grams.get((False,)), grams.get((True,))
 
 
 def learning_curve(
@@ -36,6 +36,8 @@ def learning_curve(
     degrees = list(degrees)
     basis, train, test = _train_test_gram(df, id_col, features, y, fraction, seed, max(degrees))
     rows = []
+    if train is None or test is None:
+        return df.sparkSession.createDataFrame([(d, None, None) for d in degrees], CURVE_SCHEMA)
     for d in degrees:
         size = basis.size(d)
         beta = train.leading(size).solve()
@@ -44,8 +46,10 @@ def learning_curve(
 
 
 def holdout(df: DataFrame, id_col: str, features: list[str], y: str, degree=1, fraction=0.5, seed=42) -> DataFrame:
-    """Test error of a fit on the other part of the rows."""
+    """Test error of a fit on the other part of the rows; NULL if either part is empty."""
     basis, train, test = _train_test_gram(df, id_col, features, y, fraction, seed, degree)
+    if train is None or test is None:
+        return df.sparkSession.createDataFrame([(int(test.n) if test else 0, None)], "n bigint, mse double")
     mse = test.mse(train.solve())
     return df.sparkSession.createDataFrame([(int(test.n), mse)], "n bigint, mse double")
 
@@ -137,7 +141,7 @@ def loo_cv(df: DataFrame, features: list[str], y: str, degree: int = 1) -> DataF
 
 def tune_degree(df: DataFrame, id_col: str, features: list[str], y: str, degrees, k=10, seed=42) -> DataFrame:
     """Degree with the smallest cross-validated error; ties go to the lower degree."""
-    scores = k_fold_cv(df, id_col, features, y, degrees, k, seed)
+    scores = k_fold_cv(df, id_col, features, y, degrees, k, seed).where("mse IS NOT NULL AND NOT isnan(mse)")
     return scores.agg(
         F.min_by("degree", F.struct("mse", "degree")).alias("degree"), F.min("mse").alias("mse")
     )
