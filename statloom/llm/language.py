@@ -42,7 +42,7 @@ def _hash(text: str) -> int:
 
 
 class Lattice:
-    """All segmentations of words into pieces."""
+    """All segmentations of words into pieces. Built once on the driver and broadcast: a few MB, set by the vocabulary alone."""
 
     def __init__(self, pieces: list[str]):
         self.index = {p: i for i, p in enumerate(pieces)}
@@ -179,12 +179,12 @@ def fit(
 
     words = sample.mapInArrow(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = words.persist(StorageLevel.DISK_ONLY)
-    p = uniform
+    p, shared = uniform, words.sparkSession.sparkContext.broadcast(Lattice(pieces))
     for _ in range(rounds):
         current = words.sparkSession.sparkContext.broadcast(p)  # pieces by languages
 
         def expected(batches, current=current):
-            lattice, number = Lattice(pieces), {k: i for i, k in enumerate(languages)}
+            lattice, number = shared.value, {k: i for i, k in enumerate(languages)}
             total = np.zeros_like(current.value)
             for batch in batches:
                 which = np.array([number[k] for k in batch.column("lang").to_pylist()], dtype=np.int64)
@@ -208,10 +208,11 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     language in alphabetical order. Rows are scored one by one, so NULL or repeated ids get their rows; an empty table
     gives an empty one. At most about `kept` words are remembered per task.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model["p"])
+    shared = docs.sparkSession.sparkContext.broadcast((Lattice(model["pieces"]), model["p"]))
+    languages = model["languages"]
 
     def run(batches):
-        lattice, p, languages = Lattice(model["pieces"]), shared.value, model["languages"]
+        lattice, p = shared.value
         place: dict[str, int] = {}
         logs = np.zeros((0, p.shape[1]))
         for batch in batches:
