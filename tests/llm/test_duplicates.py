@@ -40,6 +40,10 @@ def test_components(spark):
     expected = smallest({x for p in whole for x in p}, whole)
     assert {r["node"]: r["component"] for r in rows if r["node"] != r["component"]} == {k: v for k, v in expected.items() if k != v}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    chain = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(7, 7), (None, 3)]
+    dealt = spark.createDataFrame(chain, "a long, b long").repartition(17)
+    found = {r["node"]: r["component"] for r in components(dealt).collect()}
+    assert found == {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1200)}
 
 
 def test_shingles_by_the_stated_rule():
