@@ -301,11 +301,12 @@ def _(spark, d):
 
 @query(
     "normalize_pixels",
-    f"""select vec_id, {', '.join(f"{o.rnd(f'(cast(embedding[{i}] as double) - 0.1307e0) / 0.3081e0')} as p{i}" for i in (1, 2, 63, 64))} from embeddings""",
+    f"""select vec_id, cast(pos - 1 as integer) as pos, {o.rnd('(cast(embedding[pos] as double) - 0.1307e0) / 0.3081e0')} as pixel
+        from (select vec_id, embedding, unnest(range(1, len(embedding) + 1)) as pos from embeddings)""",
 )
 def _(spark, d):
     rows = prepare.scale_pixels(load(spark, d, "embeddings"), "embedding", PIXEL_MEAN, PIXEL_SD)
-    return rounded(rows.select("vec_id", *[F.col("embedding")[i - 1].alias(f"p{i}") for i in (1, 2, 63, 64)]))
+    return rounded(rows.select("vec_id", F.posexplode("embedding").alias("pos", "pixel")))
 
 
 # Mean and standard deviation of image pixels.

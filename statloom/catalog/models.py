@@ -404,7 +404,7 @@ def _(spark, d):
     return rounded(metrics.classification_metrics(_length_rule(spark, d), "quality", "predicted"))
 
 
-SCORES = "list_transform(embedding[1:10], lambda s: cast(s as double))"
+SCORES = "list_transform(embedding, lambda s: cast(s as double))"
 
 
 @query(
@@ -413,7 +413,7 @@ SCORES = "list_transform(embedding[1:10], lambda s: cast(s as double))"
         select vec_id, {o.rnd('top + ln(list_sum(list_transform(e, lambda s: exp(s - top)))) - e[label + 1]')} as loss from m""",
 )
 def _(spark, d):
-    rows = load(spark, d, "embeddings").withColumn("scores", F.slice("embedding", 1, 10))
+    rows = load(spark, d, "embeddings").withColumn("scores", F.col("embedding"))
     return rounded(rows.select("vec_id", cross_entropy(F.col("scores"), F.col("label")).alias("loss")))
 
 
@@ -423,19 +423,17 @@ def _(spark, d):
         select {o.rnd('avg(ln(list_sum(list_transform(e, lambda s: exp(s)))) - e[label + 1])')} as loss from s""",
 )
 def _(spark, d):
-    rows = load(spark, d, "embeddings").withColumn("scores", F.slice("embedding", 1, 10))
+    rows = load(spark, d, "embeddings").withColumn("scores", F.col("embedding"))
     return rounded(metrics.mean_cross_entropy(rows, "scores", "label"))
 
 
 @query(
     "softmax_scores",
     f"""with s as (select vec_id, {SCORES} as e from embeddings), m as (select vec_id, e, list_sum(list_transform(e, lambda s: exp(s))) as z from s)
-        select vec_id, {o.rnd('exp(e[1]) / z')} as first, {o.rnd('exp(e[10]) / z')} as last from m""",
+        select vec_id, cast(pos - 1 as integer) as pos, {o.rnd('exp(e[pos]) / z')} as p from (select *, unnest(range(1, len(e) + 1)) as pos from m)""",
 )
 def _(spark, d):
-    scores = softmax(F.slice("embedding", 1, 10))
-    rows = load(spark, d, "embeddings").select("vec_id", scores.alias("p"))
-    return rounded(rows.select("vec_id", F.col("p")[0].alias("first"), F.col("p")[9].alias("last")))
+    return rounded(load(spark, d, "embeddings").select("vec_id", F.posexplode(softmax(F.col("embedding"))).alias("pos", "p")))
 
 
 @query(

@@ -170,8 +170,13 @@ def _partial_sums(rows: DataFrame, runs: list[KMeansRun], width: int) -> dict:
 
 
 def nearest_center(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest centre (lowest index on a tie) and the squared distance to it."""
-    scores = (centers**2).sum(axis=1) - 2.0 * (x @ centers.T)
+    """Index of the nearest centre (lowest index on a tie) and the squared distance to it.
+
+    Both are moved by the mean centre first: far from the origin the products would swallow the differences.
+    """
+    middle = centers.mean(axis=0)
+    near = centers - middle
+    scores = (near**2).sum(axis=1) - 2.0 * ((x - middle) @ near.T)
     label = scores.argmin(axis=1)
     return label, ((x - centers[label]) ** 2).sum(axis=1)
 

@@ -74,13 +74,18 @@ def repeated_holdout(
             test = _add([g for (p,), g in grams.items() if p >> i & 1])
             train = _add([g for (p,), g in grams.items() if not p >> i & 1])
             for d in degrees:
+                if train is None or test is None:
+                    rows.append((s, d, int(test.n) if test else 0, None))
+                    continue
                 size = basis.size(d)
                 beta = train.leading(size).solve()
                 rows.append((s, d, int(test.n), test.leading(size).mse(beta)))
     return df.sparkSession.createDataFrame(rows, SPLIT_SCHEMA)
 
 
-def _add(grams: list[Gram]) -> Gram:
+def _add(grams: list[Gram]) -> Gram | None:
+    if not grams:
+        return None
     result = grams[0]
     for g in grams[1:]:
         result = result + g

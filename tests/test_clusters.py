@@ -126,3 +126,10 @@ def test_inline_and_vector_assignment_agree(spark, blobs):
     b = kmeans.assign(as_array, "v", centers).orderBy("id").collect()
     assert [r["cluster"] for r in a] == [r["cluster"] for r in b]
     assert np.allclose([r["d2"] for r in a], [r["d2"] for r in b])
+
+
+def test_nearest_centre_far_from_the_origin():
+    centers = np.array([[1e9], [1e9 + 1]])
+    label, d2 = kmeans.nearest_center(np.array([[1e9], [1e9 + 1], [1e9 + 0.9]]), centers)
+    assert label.tolist() == [0, 1, 1]
+    assert np.allclose(d2, [0.0, 0.0, 0.01], atol=1e-6)
