@@ -49,19 +49,26 @@ def _all_stars(links: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 OR up > 0 AND down > 0").isEmpty()
 
 
+def _packed(links: DataFrame) -> DataFrame:
+    """A written table of links, contracted in tasks of about LINKS links each, so that a small table isn't spread over many tasks."""
+    tasks = max(1, -(-links.count() // LINKS))
+    return links.coalesce(tasks).mapInArrow(_contract, links.schema)
+
+
 def components(links: DataFrame, name: str = "links", rounds: int = 40) -> DataFrame:
     """`node, component`: the smallest node that each node of the links `a, b` reaches. Nodes without a link are absent.
 
     Links are contracted inside tasks, then joined to stars: larger neighbours of a node move to the smallest, then smaller ones, in
     turns, until only stars are left (some log n turns). Each turn is one aggregate and one join by node, written to
-    the shared folder; a node with very many links is a skewed join key, which Spark splits, and its minimum is summed before the shuffle.
+    the shared folder and contracted again in full tasks; a node with very many links is a skewed join key, which Spark splits, and its
+    minimum is summed before the shuffle.
     NULL ends, self links and repeated links change nothing; no links give an empty table.
     """
     links = links.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     kind = links.schema["a"].dataType.simpleString()
-    links = links.mapInArrow(_contract, f"a {kind}, b {kind}").distinct()
-    links = materialise(links, f"{name}-0")  # a > b in every link
+    links = materialise(links.mapInArrow(_contract, f"a {kind}, b {kind}"), f"{name}-0")  # a > b in every link
     for turn in range(1, rounds + 1):
+        links = materialise(_packed(links).distinct(), f"{name}-{turn}")
         if _all_stars(links):
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -71,5 +78,5 @@ def components(links: DataFrame, name: str = "links", rounds: int = 40) -> DataF
         smallest = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(smallest, "a")
         small = small.select(F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))).alias("l"))
-        links = materialise(small.select("l.a", "l.b").where("a <> b").distinct(), f"{name}-{turn}")
+        links = materialise(small.select("l.a", "l.b").where("a <> b").distinct(), f"{name}-{turn}-star")
     raise RuntimeError(f"components did not settle in {rounds} turns")

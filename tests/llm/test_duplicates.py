@@ -46,6 +46,14 @@ def test_components(spark):
     assert found == {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1200)}
 
 
+def test_components_over_many_full_tasks(spark, monkeypatch):
+    monkeypatch.setattr("statloom.llm.components.LINKS", 20)  # of the dealing alone: 15 tasks and several turns
+    chain = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)]
+    dealt = spark.createDataFrame(chain, "a long, b long").repartition(17)
+    found = {r["node"]: r["component"] for r in components(dealt).collect()}
+    assert found == {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1200)}
+
+
 def test_shingles_by_the_stated_rule():
     def count(text, words):
         return len(shingle_set(text, words, WordHashes()))
