@@ -24,6 +24,7 @@ from .units import UnitCache
 NONE = np.int32(2**31 - 1)
 WIDEST = 128  # leaves of a tree that is merged side by side with others
 ROWS = 8192  # pieces merged side by side
+ENCODED_BYTES = 4 << 20  # text encoded at a time; its units and ids take some 20 times as much
 _SIGNS = tuple(".,;:!?")
 
 
@@ -217,7 +218,7 @@ class ByteBPE:
 
 def _encoded(batches: Iterator[pa.RecordBatch], model: ByteBPE) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     for batch in batches:
-        for part in pieces_of(batch):
+        for part in pieces_of(batch, limit=ENCODED_BYTES):
             yield part.column("doc_id"), model.encode([t or "" for t in part.column("text").to_pylist()])
 
 
@@ -269,13 +270,16 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         model = ByteBPE(tables.value)
         names = {i: str(i) for i in model.tokens}
         for doc_id, encoded in _encoded(batches, model):
-            encoded = [ids.tolist() for ids in encoded]
+            ids_sha256, decoded_sha256 = [], []
+            for ids in map(np.ndarray.tolist, encoded):
+                ids_sha256.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                decoded_sha256.append(hashlib.sha256(model.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
                     doc_id,
                     pa.array([len(ids) for ids in encoded], pa.int64()),
-                    pa.array([hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest() for ids in encoded]),
-                    pa.array([hashlib.sha256(model.decode(ids)).hexdigest() for ids in encoded]),
+                    pa.array(ids_sha256, pa.string()),
+                    pa.array(decoded_sha256, pa.string()),
                 ],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
