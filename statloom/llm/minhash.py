@@ -1,13 +1,15 @@
 """Near-duplicate documents by an LSH forest of MinHash signatures.
 
 A signature's values are read in several cyclic orders, each starting elsewhere. Sorted by one order, sets with the longest common
-prefix stand side by side. A row's candidates in an order are the rows of its region: those that share its prefix
-down to the depth at which the region has at most REGION rows (WIDE_REGION in the last pass), so crowded regions go deeper. Candidates whose signatures
+prefix stand side by side. In the first passes a row's candidates in an order are the rows of its region: those that share its prefix
+down to the depth at which the region has at most REGION rows, so crowded regions go deeper. Candidates whose signatures
 differ too much are dropped, the others confirmed on full shingle sets.
 
 Sets that are equal are one node from the start. A first pass confirms one promising partner of every node, which
 joins dense groups without all their pairs; MERGES more do so between groups, with a longer sketch of the nodes that have
-candidates at all. A last pass over the same orders confirms every remaining pair whose nodes are still apart. So work follows the number of documents, not the squares of group sizes.
+candidates at all. The last pass takes all nodes and has no limit: whoever shares HEAD values at the start of an order is compared,
+unless both are of one group by then. Regions of one group drop out, crowded ones are compared in cells of bounded size.
+So work follows the number of documents and of pairs that are still apart, not the squares of group sizes.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ VALUES = ORDERS * STEP
 DEPTH = 12  # values of a sort key
 MERGES = 2  # passes that confirm the most similar partner in another group
 LONG = 512  # values of the later passes' sketch, 8 bits each
-REGION, WIDE_REGION = 64, 512  # rows of a region and in the last pass
+REGION = 64  # rows of a region of the first passes
+HEAD = 4  # values that rows compared in the last pass share
+CELL = 512  # rows of a crowded region's part
 BLOCK = 20_000  # rows compared at a time
 
 _random = np.random.default_rng(20)
@@ -204,28 +208,118 @@ def best_apart(nodes: DataFrame, least: float) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def pairs_apart(nodes: DataFrame, least: float) -> DataFrame:
+def cells(nodes: DataFrame) -> DataFrame:
+    """Rows of `nodes` by order and region of HEAD values, for regions of several groups, with the `cell` they are compared in.
+
+    A region of up to CELL rows is one cell. The rows of a larger one are dealt to parts, those of its largest group apart from the others, and
+    every two parts that may hold different groups make a cell: rows of different `side` are compared, or all (-1).
+    """
+    others = [c for c in nodes.columns if c != "signature"]
+    twice = F.concat("signature", "signature")
+    rows = nodes.select(*others, twice.alias("twice"), F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
+    rows = rows.select(*others, "tree", F.expr(f"substring(twice, tree * {2 * STEP} + 1, {2 * HEAD})").alias("head"))
+    regions = rows.groupBy("tree", "head", "group").agg(F.count("*").alias("n")).groupBy("tree", "head")
+    regions = regions.agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("major"), F.count("*").alias("groups")).where("groups > 1")
+    regions = regions.select("tree", "head", F.col("n").alias("n_region"), F.col("major.group").alias("major"), F.col("major.n").alias("n_major"))
+    rows = rows.join(regions, ["tree", "head"]).selectExpr(
+        "*", f"int(ceil(n_major / {CELL})) AS majors", f"int(ceil((n_region - n_major) / {CELL})) AS minors"
+    )
+    rows = rows.selectExpr("*", "int(pmod(xxhash64(node), IF(group = major, majors, minors))) AS part")
+    met = f"""CASE WHEN n_region <= {CELL} THEN array(struct(0 AS i, 0 AS j, -1 AS side))
+        WHEN group = major THEN transform(sequence(0, minors - 1), j -> struct(part AS i, j AS j, 0 AS side))
+        ELSE concat(transform(sequence(0, majors - 1), i -> struct(i AS i, part AS j, 1 AS side)),
+            transform(sequence(0, minors - 1), k -> struct(majors + least(part, k) AS i, greatest(part, k) AS j, CASE WHEN k = part THEN -1 WHEN part < k THEN 0 ELSE 1 END AS side))) END"""
+    rows = rows.select(*others, "tree", "head", F.explode(F.expr(met)).alias("met"))
+    rows = rows.select(*others, F.xxhash64("tree", "head", "met.i", "met.j").alias("cell"), F.col("met.side").alias("side"))
+    return rows.repartition("cell").sortWithinPartitions("cell")
+
+
+def _whole_cells(batches):
+    """Sorted rows of a task in blocks that end with a cell."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= BLOCK:
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            cell = table.column("cell").to_numpy()
+            end = int(np.searchsorted(cell, cell[-1]))  # cells are sorted as numbers
+            if end:
+                yield table.slice(0, end)
+            held = [table.slice(end)]
+            rows = held[0].num_rows
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _met(batch: pa.RecordBatch, least: float, long_least: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all pairs of a cell in different groups that may be similar enough, by the short sketch and then by the long one if asked."""
+    cell, side = batch.column("cell").to_numpy(), batch.column("side").to_numpy()
+    group = batch.column("group").dictionary_encode().indices.to_numpy()
+    few = _fixed(batch.column("few"), VALUES // 2, "u1")
+    sketch = None if long_least is None else _fixed(batch.column("sketch"), LONG, "u1")
+    end = np.searchsorted(cell, cell, side="right")
+    kept: list[list[np.ndarray]] = [[], []]
+
+    def weigh(i: np.ndarray, j: np.ndarray) -> None:
+        for at in range(0, len(i), 50_000):
+            a, b = i[at : at + 50_000], j[at : at + 50_000]
+            good = (_EQUAL[few[a] ^ few[b]].sum(1) / VALUES - 1 / 16) * 16 / 15 >= least
+            a, b = a[good], b[good]
+            if sketch is not None and len(a):
+                good = ((sketch[a] == sketch[b]).sum(1) / LONG - 1 / 256) * 256 / 255 >= long_least
+                a, b = a[good], b[good]
+            kept[0].append(a)
+            kept[1].append(b)
+
+    rows, step, waiting, first, second = np.arange(len(cell)), 0, 0, [], []
+    while len(rows):
+        step += 1
+        rows = rows[rows + step < end[rows]]
+        told = rows[(group[rows] != group[rows + step]) & ((side[rows] != side[rows + step]) | (side[rows] < 0))]
+        first.append(told)
+        second.append(told + step)
+        waiting += len(told)
+        if waiting >= 50_000 or not len(rows):
+            weigh(np.concatenate(first), np.concatenate(second))
+            waiting, first, second = 0, [], []
+    return tuple(np.concatenate(k) if k else np.zeros(0, np.int64) for k in kept)
+
+
+def nodes_apart(nodes: DataFrame, least: float) -> DataFrame:
+    """`node`: those with a candidate in another group (`group`), by the short sketch `few`."""
+
+    def run(batches):
+        for block in _whole_cells(batches):
+            i, j = _met(block, least)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([block.column("node").take(pa.array(np.unique(np.concatenate([i, j]))))], ["node"])
+
+    return cells(nodes).mapInArrow(run, "node binary").distinct()
+
+
+def pairs_apart(nodes: DataFrame, least: float, long_least: float) -> DataFrame:
     """`a, b`: every candidate pair whose nodes are in different groups (`group`, of `size` nodes); `a` is of the smaller group.
 
-    Tasks give one row per node and order with all its partners, so a pair found in many orders is put together before it is a row.
+    Tasks give one row per node and block with all its partners, so a pair found in many orders is put together before it is a row.
     """
 
     def run(batches):
-        for batch, old in _blocks(batches, WIDE_REGION):
-            group = batch.column("group").dictionary_encode().indices.to_numpy()
-            i, j, _ = _pairs(batch, old, least, WIDE_REGION, group)
+        for block in _whole_cells(batches):
+            i, j = _met(block, least, long_least)
             if not len(i):
                 continue
-            size, node = batch.column("size").to_numpy(), np.array(batch.column("node").to_pylist(), dtype=object)
+            size, node = block.column("size").to_numpy(), np.array(block.column("node").to_pylist(), dtype=object)
             swap = (size[i] > size[j]) | (size[i] == size[j]) & (node[i] > node[j])
             a, b = np.where(swap, j, i), np.where(swap, i, j)
             order = np.argsort(a, kind="stable")
             a, b = a[order], b[order]
             starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(a)), pa.int32()), batch.column("node").take(pa.array(b)))
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(a[starts])), lists], ["a", "partners"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(a)), pa.int32()), block.column("node").take(pa.array(b)))
+            yield pa.RecordBatch.from_arrays([block.column("node").take(pa.array(a[starts])), lists], ["a", "partners"])
 
-    found = forest(nodes).mapInArrow(run, "a binary, partners array<binary>")
+    found = cells(nodes).mapInArrow(run, "a binary, partners array<binary>")
     partners = F.array_distinct(F.flatten(F.collect_list("partners")))
     return found.groupBy("a").agg(partners.alias("partners")).select("a", F.explode("partners").alias("b"))
 
@@ -257,7 +351,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     Rows whose sets of `words`-word shingles have a similarity of `percent` hundredths or more are linked; `component_id` is the smallest id
     reachable, `kept` marks the row that has it. Each link is confirmed on full sets. A pair exactly at 0.8 shares four
-    values at the start of some order with a chance of 0.9998, a closer one with more.
+    values at the start of some order with a chance of 0.9998, a closer one with more; all pairs that do are compared or already of one
+    group, however many rows share the values.
 
     Empty or NULL texts are linked with nothing. Rows with a NULL id take no part: their component is NULL and they are kept. Rows
     that repeat an id belong to the same document only as far as their texts agree, and are kept or not together.
@@ -283,7 +378,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     for turn in range(MERGES):
         more = confirmed(best_apart(_grouped(members, groups), long_least), texts, words, percent)
         groups = components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))), f"groups-{turn}")
-    rest = confirmed(pairs_apart(_grouped(members, groups), long_least), texts, words, percent)
+    short = nodes.select("node", "signature", F.col("sketch").alias("few"))
+    apart = materialise(nodes_apart(_grouped(short, groups), least), "apart")
+    late = materialise(nodes.join(apart, "node").join(members, "node", "left_anti").select("doc_id", "node"), "late")
+    if not late.isEmpty():  # their likely partners were hidden in crowded regions
+        more_texts = texts_of(docs, id_col, text_col).join(late, "doc_id").select("node", "text")
+        texts = texts.unionByName(materialise(of_their_node(more_texts, words).dropDuplicates(["node"]), "late-texts"))
+    last = short.join(apart, "node").join(texts.select("node", "sketch"), "node")
+    rest = confirmed(pairs_apart(_grouped(last, groups), least, long_least), texts, words, percent)
     stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = components(rest.unionByName(stars), "groups")
 

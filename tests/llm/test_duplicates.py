@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from statloom.llm import catalog, minhash, pivots
@@ -81,6 +82,38 @@ def test_documents_against_all_pairs(spark, words):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_outsiders_of_a_crowded_group(spark):
+    """3,000 near copies of each other, and texts whose only link is one to a single copy."""
+    draw = random.Random(5)
+    base = [f"b{i}" for i in range(97)]
+    copies = [base + [f"u{i}x{k}" for k in range(3)] for i in range(3000)]
+    outsiders = []
+    for i in range(0, 3000, 150):
+        gone = set(draw.sample(base, 10))
+        outsiders.append([w for w in copies[i] if w not in gone] + [f"o{i}x{k}" for k in range(12)])
+    for i, o in enumerate(outsiders):
+        near = [k for k, c in enumerate(copies) if 100 * len(set(o) & set(c)) >= 80 * len(set(o) | set(c))]
+        assert near == [150 * i]
+    rows = [(i, " ".join(t)) for i, t in enumerate(copies + outsiders)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1).collect()
+    assert {r["component_id"] for r in found} == {0}
+
+
+def test_cells_hold_every_pair_of_different_groups(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CELL", 7)
+    draw = random.Random(6)
+    group = {i: draw.choice([0, 0, 0, 1, 2, 30 + i]) for i in range(60)}
+    signature = bytes(2 * minhash.VALUES)
+    rows = [(bytes([i]), bytes([g]), signature, bytes(minhash.VALUES // 2)) for i, g in group.items()]
+    dealt = minhash.cells(spark.createDataFrame(rows, "node binary, group binary, signature binary, few binary"))
+    frame = pa.Table.from_pandas(dealt.toPandas().sort_values("cell"), preserve_index=False).to_batches()[0]
+    i, j = minhash._met(frame, 0.8)
+    node = frame.column("node").to_pylist()
+    found = [frozenset((node[a][0], node[b][0])) for a, b in zip(i, j)]
+    expected = {frozenset((a, b)) for a in group for b in group if group[a] != group[b]}
+    assert set(found) == expected and len(found) == minhash.ORDERS * len(expected)
+
+
 def test_query_over_the_table(spark, data):
     documents = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
     rows = catalog.QUERIES["op5_minhash_forest"](spark, data).collect()
