@@ -150,6 +150,21 @@ def test_base_spans_against_plain_patterns(spark, odd, none):
     assert p[y == 1].mean() > 0.85 and p[y == 0].mean() < 0.05
 
 
+def test_keys_in_documents_that_the_fit_sees(spark):
+    keys = [r for r, y in secret_scan.public_formats(500, seed=91) if y and r.startswith(("ghp_", "sk_live_", "eyJ"))]
+    planted = spark.createDataFrame([(10_000_000 + i, f"see {k} and more") for i, k in enumerate(keys)], "doc_id long, text string")
+    model = secret_scan.fit(spark.read.parquet(f"{TABLE}/documents.parquet").select("doc_id", "text").unionByName(planted))
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.scan(planted, model).collect()}
+    for start in ("ghp_", "sk_live_", "eyJ"):
+        hit = [f"network:4:{4 + len(k)}" in found[10_000_000 + i] for i, k in enumerate(keys) if k.startswith(start)]
+        assert np.mean(hit) > 0.9, start
+
+
+def test_only_everyday_runs_are_harmless():
+    formats = secret_scan.public_formats(200, seed=92)
+    assert not any(secret_scan.everyday(r) for r, y in formats if y) and np.mean([secret_scan.everyday(r) for r, y in formats if not y]) > 0.95
+
+
 def test_network_gradient():
     network = secret_scan.Network(seed=5, size=3, filters=4)
     draw = np.random.default_rng(6)
