@@ -165,6 +165,33 @@ def test_only_everyday_runs_are_harmless():
     assert not any(secret_scan.everyday(r) for r, y in formats if y) and np.mean([secret_scan.everyday(r) for r, y in formats if not y]) > 0.95
 
 
+def test_rest_of_a_run_beside_a_base_span(spark):
+    access, hexes, key = "AKIA" + "IOSFODNN7EXAMPLE", "0123456789abcdef" * 2, "wJalrXUtnFEMIK7MDENGbPxRfiCY"
+    texts = [f"see {access}/{key} and", f"see {hexes}-{key} and", f"see {key}/token={key}x and", f"see {key}-{hexes}-{key} and", f"see {hexes}/short1 and"]
+    found = [[t[a:b] for a, b in secret_scan.candidates(t, secret_scan.base_spans(t))] for t in texts]
+    assert found == [[key], [key], [key], [key, key], []]
+    model = secret_scan.fit(spark.read.parquet(f"{TABLE}/documents.parquet"))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert not any(key in r["text"] for r in secret_scan.redact(rows, model).collect())
+
+
+def test_candidates_against_plain_search():
+    draw = random.Random(9)
+    parts = ["AKIA" + "A1B2C3D4" * 3, "0123456789abcdef" * 2, "token=", "wJalrXUtnFEMIK7MDENG", "abc", "12", "/", "-", ".", "=", " ", "_", "é"]
+    for _ in range(2000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 10)))
+        taken = secret_scan.base_spans(text)
+        masked = "".join(" " if any(a <= i < b for a, b, _ in taken) else c for i, c in enumerate(text))
+        # a rest of fewer than 16 characters may be part of a run of 16 or more, so all rests are looked at
+        expected = []
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", masked):
+            start, end = m.start() + len(m[0]) - len(m[0].lstrip("=.-/")), m.start() + len(m[0].rstrip(".-/"))
+            run = masked[start:end]
+            if end - start >= 16 and re.search("[0-9]", run) and re.search("[A-Za-z]", run):
+                expected.append((start, end))
+        assert secret_scan.candidates(text, taken) == expected
+
+
 def test_network_gradient():
     network = secret_scan.Network(seed=5, size=3, filters=4)
     draw = np.random.default_rng(6)
