@@ -17,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.session import materialise
@@ -35,6 +35,7 @@ REGION = 64  # rows of a region of the first passes
 HEAD = 4  # values that rows compared in the last pass share
 CELL = 512  # rows of a crowded region's part
 BLOCK = 20_000  # rows compared at a time
+_ID, _COPY = "__statloom_id", "__statloom_copy"
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 1 << 31, VALUES + LONG, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -61,7 +62,7 @@ def signature(shingles: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id, n_shingles, node, signature, sketch`; `node` is a 128-bit digest of the set, NULL for an empty one."""
+    """`doc_id, copy, n_shingles, node, signature, sketch`; `copy` is a digest of the text, `node` one of the set, NULL for an empty one."""
 
     def run(batches):
         hashes = WordHashes()
@@ -72,16 +73,22 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("copy"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.array([b[0] for b in both], pa.binary()),
                         pa.array([b[1] for b in both], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "node", "signature", "sketch"],
+                    ["doc_id", "copy", "n_shingles", "node", "signature", "sketch"],
                 )
 
-    schema = "doc_id long, n_shingles long, node binary, signature binary, sketch binary"
-    return texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+    schema = "doc_id long, copy binary, n_shingles long, node binary, signature binary, sketch binary"
+    return texts_of(docs, id_col, text_col).withColumn("copy", _copy(F.col("text"))).mapInArrow(run, schema)
+
+
+def _copy(text: Column) -> Column:
+    """Digest of a text."""
+    return F.unhex(F.md5(text.cast("string").cast("binary")))
 
 
 def region_pairs(tree: np.ndarray, key: np.ndarray, region: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -355,9 +362,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     group, however many rows share the values.
 
     Empty or NULL texts are linked with nothing. Rows with a NULL id take no part: their component is NULL and they are kept. Rows
-    that repeat an id belong to the same document only as far as their texts agree, and are kept or not together.
+    that repeat an id belong to the same document only as far as their texts agree, and such rows are kept or not together.
     Other columns are not looked at; an empty table gives an empty one.
     """
+    return _decided(docs, words, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _decided(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`near_duplicates` with the `copy` and `node` of every row and the `root`, a node that stands for its group."""
     threshold = percent / 100
     # 4.6 standard deviations of the estimate from VALUES half bytes, and from LONG bytes
     least, long_least = threshold - 0.24, threshold - 0.082
@@ -394,11 +406,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     # the smallest node of a component is not itself in `groups`
     roots = least_id.join(nodes.select(F.col("node").alias("component"), F.col("doc_id").alias("root_id")), "component")
     roots = roots.select("component", F.least("component_id", "root_id").alias("component_id"))
-    of_node = groups.join(roots, "component").select("node", "component_id").unionByName(roots.withColumnRenamed("component", "node"))
-    named = nodes.select("node", "doc_id").join(of_node, "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = table.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    of_node = groups.join(roots, "component").select("node", "component_id", F.col("component").alias("root"))
+    of_node = of_node.unionByName(roots.select(F.col("component").alias("node"), "component_id", F.col("component").alias("root")))
+    named = nodes.select("node", "doc_id").join(of_node, "node", "left")
+    named = named.select("node", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("root", "node").alias("root"))
+    out = table.select("doc_id", "copy", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "copy", "n_shingles", "node", "root", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -425,6 +439,20 @@ def of_their_node(texts: DataFrame, words: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that `near_duplicates` keeps, with all their columns."""
-    gone = near_duplicates(docs, words, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    """The rows of `docs` that `near_duplicates` keeps, with all their columns, and of a group just one.
+
+    Rows are told apart by id and text. Where several rows of a group have its smallest id, one of them stays. Empty or NULL
+    texts and rows with a NULL id all stay.
+    """
+    rows = _decided(docs, words, percent).where("doc_id IS NOT NULL AND node IS NOT NULL")
+    rows = materialise(rows.select("doc_id", "copy", "root", "kept"), "decided")
+    several = rows.where("kept").groupBy("root", "doc_id").agg(F.count("*").alias("n"), F.min("copy").alias("stays")).where("n > 1")
+    several = materialise(several, "several")
+    again = rows.where("kept").join(several.select("root", "doc_id"), ["root", "doc_id"])
+    gone = rows.where("NOT kept").unionByName(again).select(F.col("doc_id").alias(_ID), F.col("copy").alias(_COPY)).distinct()
+    keyed = docs.withColumns({_ID: F.col("doc_id").cast("long"), _COPY: _copy(F.col("text"))})
+    out = keyed.join(gone, [_ID, _COPY], "left_anti")
+    if not several.isEmpty():
+        stays = several.select(F.col("doc_id").alias(_ID), F.col("stays").alias(_COPY))
+        out = out.unionByName(keyed.join(stays, [_ID, _COPY], "left_semi").dropDuplicates([_ID, _COPY]))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))

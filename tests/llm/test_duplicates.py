@@ -114,6 +114,15 @@ def test_cells_hold_every_pair_of_different_groups(spark, monkeypatch):
     assert set(found) == expected and len(found) == minhash.ORDERS * len(expected)
 
 
+def test_repeated_ids_are_kept_row_by_row(spark):
+    draw = random.Random(8)
+    one, two, three, four = (" ".join(f"{k}w{draw.randrange(10**6)}" for _ in range(60)) for k in "abcd")
+    rows = [(1, one, 0), (2, one + " x", 1), (2, two, 2), (3, three, 3), (3, three, 4), (3, three + " x", 5), (4, four, 6), (4, "", 7), (4, None, 8), (4, "", 9), (None, one, 10), (5, four.upper(), 11)]
+    found = minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, row int")).collect()
+    kept = {r["row"] for r in found}
+    assert len(found) == len(kept) and kept - {3, 4, 5} == {0, 2, 6, 7, 8, 9, 10} and len(kept & {3, 4, 5}) == 1
+
+
 def test_query_over_the_table(spark, data):
     documents = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
     rows = catalog.QUERIES["op5_minhash_forest"](spark, data).collect()
