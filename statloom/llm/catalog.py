@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from statloom.session import new_shared_path
 from statloom.sources.tables import load
 
-from . import bpe, decontamination, language, minhash, pivots, quality, secret_scan, token_counts, token_tables, toxicity
+from . import bpe, decontamination, dialogue, language, minhash, pivots, quality, secret_scan, token_counts, token_tables, toxicity
 from .common import with_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,8 @@ def op5_minhash_forest(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op9_pivot_index(spark: SparkSession, directory: str) -> DataFrame:
     return pivots.near_vectors(load(spark, directory, "embeddings"), least=0.93)
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
+    return dialogue.repair_digests(dialogue.damaged(load(spark, directory, "conversations")))
