@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from statloom.session import new_shared_path
 from statloom.sources.tables import load
 
-from . import bpe, decontamination, dialogue, language, minhash, pivots, quality, secret_scan, spelling, token_counts, token_tables, toxicity
+from . import bpe, decontamination, dialogue, language, minhash, packing, pivots, quality, secret_scan, spelling, token_counts, token_tables, toxicity
 from .common import with_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,8 @@ def op13_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
 def op11_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
     words = spelling.vocabulary(spelling.runs_of(load(spark, directory, "documents"), modulus=97), least_letters=5, least_count=3)
     return spelling.spelling_groups(words, ratio=2)
+
+
+@query
+def op12_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.pack(load(spark, directory, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, window=1024)

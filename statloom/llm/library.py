@@ -12,9 +12,9 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .units import UnitCache
+from .units import SIGNS, UnitCache, units
 
-LONG = 1 << 16  # characters given to the library at once where a text may be cut
+REMEMBERED = 500_000
 
 
 def shared_vocabulary(df: DataFrame, path: str):
@@ -37,6 +37,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
 
 
+class Words(dict):
+    """Ids by unit; a unit that is asked for the first time is encoded then."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self[unit] = self.encode(unit)
+        return ids
+
+
 class Library:
     """Token ids and counts as the library of a vocabulary file gives them.
 
@@ -85,12 +97,6 @@ class Library:
             return self.model.encode(texts, num_threads=1)
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for start in range(0, len(texts), 20_000):
-            out += [_bytes(ids) for ids in self._whole(texts[start : start + 20_000])]
-        return out
-
     def _lengths(self, texts: list[str]) -> list[int]:
         out: list[int] = []
         for start in range(0, len(texts), 20_000):
@@ -108,9 +114,34 @@ class Library:
         cut, whole = iter(cut), iter(whole)
         return [next(whole) if s else join(next(cut)) for s in special]
 
+    def _one(self, unit: str) -> bytes:
+        tokens = self._tokens(unit)
+        return _bytes(self.model.encode(unit, add_special_tokens=False).ids if tokens is None else [t.id for t in tokens])
+
+    def _tail(self, unit: str) -> bytes:
+        """Ids of a unit behind a space. Signs after letters are a match of their own."""
+        letters = unit.rstrip(SIGNS)
+        if letters != unit and letters.isalpha():
+            return self.kept["tails"][letters] + self.kept["heads"][unit[len(letters) :]]
+        return self._one(f" {unit}")
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        return self._by_units(texts, self._ids, lambda found: _bytes([t.id for t in found]), "ids", b"".join)
+        """Ids of each text, as little-endian unsigned 32-bit integers.
+
+        Units are remembered by worker until there are REMEMBERED of them, then forgotten, so memory stays bounded on any text.
+        """
+        if not self.cuts:
+            return [_bytes(ids) for i in range(0, len(texts), 1000) for ids in self._whole(texts[i : i + 1000])]
+        if "tails" not in self.kept or len(self.kept["tails"]) + len(self.kept["heads"]) > REMEMBERED:
+            self.kept["tails"], self.kept["heads"] = Words(self._tail), Words(self._one)
+        tail, head, out = self.kept["tails"].__getitem__, self.kept["heads"], []
+        for text in texts:
+            if any(s in text for s in self.special):
+                out += map(_bytes, self._whole([text]))
+            else:
+                first, *rest = units(text)
+                out.append(head[first] + b"".join(map(tail, rest)))
+        return out
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Number of ids of each text; the ids are never put together."""

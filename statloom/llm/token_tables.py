@@ -12,14 +12,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import pieces_of, texts_of
-from .library import Library, shared_vocabulary
+from .common import pieces_of
+from .ordered import encoded, flat_ids, id_width
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
@@ -41,36 +40,36 @@ def write_tokens(
 ) -> None:
     """Encode every whole text with the vocabulary file `path`, append `end_id`, and write the files to the folder `target`.
 
-    Documents go to files by ranges of their id, a NULL id first; rows that share an id keep one file and are ordered by
-    their text. A NULL or empty text has only the end id. Other columns are not read. An empty table gives a readable folder
-    without rows. Each task keeps one batch in memory.
+    Documents go to files by ranges of their id, a NULL id first; rows that share an id are ordered by their ids. A NULL or empty
+    text has only the end id. Other columns are not read. An empty table gives a readable folder without rows. Texts are encoded where
+    they are read; ids, not texts, are shuffled, and each task keeps one batch in memory.
     """
-    shared = shared_vocabulary(df, path)
+    width = id_width(path)
 
     def run(batches):
-        library, part, start = Library(shared.value), TaskContext.get().partitionId(), 0
-        tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+        part, start = None, 0
         for batch in batches:
-            for rows in pieces_of(batch):
-                encoded = [ids + tail for ids in library.ids([t or "" for t in rows.column("text").to_pylist()])]
-                sizes = np.array([len(ids) // 4 for ids in encoded], dtype=np.int64)
-                ends = np.cumsum(sizes)
-                flat = pa.array(np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int32))
+            for rows in pieces_of(batch, "ids"):
+                flat, sizes = flat_ids(rows.column("ids"), width)
+                ends, parts = np.cumsum(sizes), rows.column("part").to_numpy(zero_copy_only=False)
+                before = ends - sizes + start
+                for at in np.flatnonzero(np.diff(parts, prepend=-1 if part is None else part)):
+                    before[at:] -= before[at]  # a file starts
+                part, start = parts[-1], int(before[-1] + sizes[-1])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(sizes), part, dtype=np.int32)),
+                        rows.column("part"),
                         rows.column("doc_id"),
-                        pa.array(start + ends - sizes),
+                        pa.array(before),
                         pa.array(sizes),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), flat),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat.astype(np.int32))),
                     ],
                     SCHEMA.names,
                 )
-                start += int(ends[-1])
 
-    ordered = texts_of(df, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     (
-        ordered.mapInArrow(run, SCHEMA)
+        encoded(df, path, end_id, id_col, text_col)
+        .mapInArrow(run, SCHEMA)
         .write.option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.block.size", ROW_GROUP_BYTES)
         .option("parquet.page.size", PAGE_BYTES)

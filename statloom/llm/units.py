@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 _CUT = re.compile(r" (?=\S)")
 _UNSAFE = re.compile(r" (?:\s|\Z)")
-_SIGNS = string.punctuation
+SIGNS = string.punctuation
 
 
 def units(text: str) -> list[str]:
@@ -49,7 +49,7 @@ class UnitCache:
         tails.update(zip(known, map(older.__getitem__, known)))
         first, rest, whole = {parts[0] for parts in cut} - heads.keys(), set(), []
         for unit in asked - known:
-            letters = unit.rstrip(_SIGNS)
+            letters = unit.rstrip(SIGNS)
             if letters != unit and letters.isalpha():
                 whole.append((unit, letters))
                 if unit[len(letters) :] not in heads:

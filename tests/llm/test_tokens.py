@@ -114,5 +114,37 @@ def test_token_files(spark, odd, none):
 
 def test_query_over_the_table(spark, data, reference):
     documents = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
-    rows = catalog.QUERIES["op7_byte_bpe"](spark, data).collect()
+    rows = catalog.catalog.QUERIES["op7_byte_bpe"](spark, data).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(reference.encode_ordinary(t)) for i, t in documents.items()}
+
+
+def whole_table(spark, data):
+    rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encoded = library.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False)
+    return [(r["doc_id"], r["text"] or "", e.ids) for r, e in zip(rows, encoded)]
+
+
+def test_token_files_query_over_the_whole_table(spark, data):
+    expected, start = [], 0
+    for doc, _, ids in whole_table(spark, data):
+        ids = [*ids, 2]
+        expected.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    found = catalog.QUERIES["op8_token_files"](spark, data).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_token_counts_query_over_the_whole_table(spark, data):
+    expected = [(doc, len(text.encode()), len(ids), len(ids) > 512) for doc, text, ids in whole_table(spark, data)]
+    found = catalog.QUERIES["op10_token_counts"](spark, data).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_byte_bpe_query_over_the_whole_table(spark, data, reference):
+    expected = []
+    for doc, text, _ in whole_table(spark, data):
+        ids = reference.encode_ordinary(text)
+        expected.append((doc, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    found = catalog.QUERIES["op7_byte_bpe"](spark, data).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert sorted(map(tuple, found)) == expected
