@@ -1,23 +1,21 @@
 """Regression tree whose splits are exact: every gap between two values is a candidate.
 
-The estimators of Spark ML look at a limited number of bins per feature. Here each level counts
-the values of every (node, feature), adds them up in value order, and takes the split with the
-largest drop in squared error. The running sums are taken inside slices of the value range, with
-the totals of earlier slices added as an offset, so no task sorts a whole node.
+The search is `split_search`: bins of sums, a bound on what a cut inside a bin could gain, and a closer look only where the bound
+reaches the best known gain. Each level is a few passes over the rows with a small aggregate; nothing is sorted or shuffled by value.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_ROWS = 500_000
-DRIVER_ROWS = 400_000  # slices of all (node, feature) pairs of a level
-TIE_DIGITS = 10
+from . import split_search
+from .split_search import TIE_DIGITS  # noqa: F401  (the rounding that decides ties)
+
 NODE_SCHEMA = "node bigint, depth int, feature string, threshold double, prediction double, n bigint"
 
 
@@ -59,160 +57,42 @@ class RegressionTree:
         return spark.createDataFrame(rows, NODE_SCHEMA)
 
 
-def fit_regression_tree(df: DataFrame, features: list[str], y: str, max_depth: int = 5) -> RegressionTree:
-    columns = [F.col(f"`{f}`").cast("double").alias(f) for f in features]
-    rows = df.select(*columns, F.col(f"`{y}`").cast("double").alias("__y")).na.drop()
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tree = RegressionTree({1: Node(0, 0.0)})
-        level = [1]
-        for depth in range(max_depth + 1):
-            summary = _summary(rows, tree, features)
-            for i in level:
-                tree.nodes[i].n, tree.nodes[i].mean = summary[i]["n"], summary[i]["mean"]
-            open_nodes = {i: summary[i] for i in level if summary[i]["spread"] > 0}
-            if depth == max_depth or not open_nodes:
-                break
-            level = []
-            for r in _best_splits(rows, tree, features, open_nodes):
-                node = tree.nodes[r["node"]]
-                node.feature, node.threshold = features[r["feature"]], r["threshold"]
-                level += [2 * r["node"], 2 * r["node"] + 1]
-            for i in level:
-                tree.nodes[i] = Node(0, 0.0)
-        return tree
-    finally:
-        rows.unpersist()
+def training_rows(df: DataFrame, features: list[str], y: Column, weights: Column | None = None) -> DataFrame:
+    """`x, y, w` of the rows without a missing value, as the split search takes them."""
+    x = [F.col(f"`{f}`").cast("double") for f in features]
+    rows = df.select(F.array(*x).alias("x"), y.cast("double").alias("y"), (F.array(F.lit(1)) if weights is None else weights).alias("w"))
+    return rows.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)) & F.col("y").isNotNull() & ~F.isnan("y"))
+
+
+def feature_ranges(rows: DataFrame, width: int, *extra: Column) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Other aggregates and the range of every feature, in one pass."""
+    ends = [f(F.col("x")[i]).alias(f"{n}{i}") for i in range(width) for n, f in (("lo", F.min), ("hi", F.max))]
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), *extra, *ends).first().asDict()
+    if not found["rows"]:
+        raise ValueError("no rows to grow a tree from")
+    return found, np.array([found[f"lo{i}"] for i in range(width)]), np.array([found[f"hi{i}"] for i in range(width)])
 
 
-def _summary(rows: DataFrame, tree: RegressionTree, features: list[str]) -> dict:
-    """Size, mean and squared spread of every node, and the range of its features."""
-    ranges = [f(F.col(f"`{c}`")).alias(f"{n}_{i}") for i, c in enumerate(features) for n, f in (("lo", F.min), ("hi", F.max))]
-    grouped = rows.groupBy(tree.leaf().alias("node")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("__y").alias("mean"),
-        (F.var_pop("__y") * F.count(F.lit(1))).alias("spread"),
-        *ranges,
-    )
-    return {r["node"]: r for r in grouped.collect()}  # at most 2 ** depth rows
-
-
-def _best_splits(rows: DataFrame, tree: RegressionTree, features: list[str], open_nodes: dict) -> list:
-    """Per node the (feature, threshold) with the largest gain.
-
-    Ties go to the first feature and its lowest threshold.
-    """
-    spark = rows.sparkSession
-    most = max(1, DRIVER_ROWS // (len(open_nodes) * len(features)))
-    frame = []
-    for i, s in open_nodes.items():
-        slices = min(most, math.ceil(s["n"] / SLICE_ROWS))
-        for f in range(len(features)):
-            lo, hi = s[f"lo_{f}"], s[f"hi_{f}"]
-            if hi > lo:
-                frame.append((i, f, lo, hi, slices, s["n"], s["mean"], s["spread"]))
-    if not frame:
-        return []
-    bounds = spark.createDataFrame(
-        frame,
-        "node bigint, feature int, lo double, hi double, slices int, all_n bigint, mean double, spread double",
-    )
-    pairs = [F.struct(F.lit(f).alias("feature"), F.col(f"`{c}`").alias("x")) for f, c in enumerate(features)]
-    long = rows.select(tree.leaf().alias("node"), "__y", F.inline(F.array(*pairs)))
-    # one row per node and feature, and at most 2 ** depth nodes
-    long = long.join(F.broadcast(bounds), ["node", "feature"])
-    at = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("slices"))
-    values = long.groupBy("node", "feature", F.least(at, F.col("slices") - 1).alias("slice"), "x", "all_n", "spread").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("__y") - F.col("mean")).alias("s")
-    )
-    if all(f[4] == 1 for f in frame):  # small nodes: one slice each, nothing comes before it
-        nothing = {"before_n": F.lit(0), "before_s": F.lit(0.0), "following": F.lit(None).cast("double")}
-        whole = F.sum("s").over(Window.partitionBy("node", "feature", "slice"))
-        return _largest_gain(values.withColumns({**nothing, "all_s": whole}))
-    counted = values.persist(StorageLevel.MEMORY_AND_DISK)
+def sums_root(found: dict, low: np.ndarray, high: np.ndarray) -> split_search.Node:
+    """Root over all rows with weight one, from the aggregates `mean, spread, least, most` of the target."""
+    totals = np.array([found["rows"], found["rows"], 0.0, found["spread"], 0.0], dtype=np.float64)
+    return split_search.Node(totals, low, high, found["least"], found["most"], found["mean"])
+
+
+def target_moments(y: str = "y") -> list[Column]:
+    spread = F.var_pop(y) * F.count(F.lit(1))
+    return [F.avg(y).alias("mean"), spread.alias("spread"), F.min(y).alias("least"), F.max(y).alias("most")]
+
+
+def fit_regression_tree(df: DataFrame, features: list[str], y: str, max_depth: int = 5) -> RegressionTree:
+    rows = training_rows(df, features, F.col(f"`{y}`")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        values, totals = _even_slices(counted)
-        offsets = spark.createDataFrame(
-            _offsets(totals),
-            "node bigint, feature int, slice bigint, before_n bigint, before_s double, all_s double, following double",
-        )
-        # at most DRIVER_ROWS rows
-        return _largest_gain(values.join(F.broadcast(offsets), ["node", "feature", "slice"]))
+        found, low, high = feature_ranges(rows, len(features), *target_moments())
+        (tree,) = split_search.grow(rows, len(features), split_search.Sums(), max_depth, [sums_root(found, low, high)])
     finally:
-        counted.unpersist()
-
-
-def _even_slices(values: DataFrame) -> tuple[DataFrame, list]:
-    """Divide slices that hold too many distinct values, until none does; with the slice totals.
-
-    Equal widths suit even data only. A crowded slice is cut again between its own smallest and
-    largest value, and slices are renumbered in value order.
-    """
-    spark = values.sparkSession
-    while True:
-        totals = values.groupBy("node", "feature", "slice").agg(
-            F.count(F.lit(1)).alias("values"),
-            F.sum("n").alias("n"),
-            F.sum("s").alias("s"),
-            F.min("x").alias("first"),
-            F.max("x").alias("last"),
-        )
-        found = totals.orderBy("node", "feature", "slice").collect()
-        if all(r["values"] <= 2 * SLICE_ROWS for r in found):
-            return values, found
-        table, start = [], 0
-        for r in found:
-            parts = -(-r["values"] // SLICE_ROWS) if r["values"] > 2 * SLICE_ROWS else 1
-            width = r["last"] - r["first"] or 1.0
-            table.append((r["node"], r["feature"], r["slice"], start, parts, r["first"], width))
-            start += parts
-        finer = spark.createDataFrame(
-            table, "node bigint, feature int, slice bigint, start bigint, parts bigint, first double, width double"
-        )
-        part = F.least(F.floor((F.col("x") - F.col("first")) / F.col("width") * F.col("parts")), F.col("parts") - 1)
-        # one row per slice of about SLICE_ROWS values
-        values = (
-            values.join(F.broadcast(finer), ["node", "feature", "slice"])
-            .withColumn("slice", F.col("start") + part)
-            .drop("start", "parts", "first", "width")
-        )
-
-
-def _largest_gain(values: DataFrame) -> list:
-    """Running sums in value order, the gain of the cut after each value, and the best per node."""
-    in_order = Window.partitionBy("node", "feature", "slice").orderBy("x")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = values.select(
-        "node", "feature", "x", "all_n", "all_s", "spread",
-        F.coalesce(F.lead("x").over(in_order), F.col("following")).alias("next_x"),
-        (F.col("before_n") + F.sum("n").over(so_far)).alias("n"),
-        (F.col("before_s") + F.sum("s").over(so_far)).alias("s"),
-    )
-    right_n, right_s = F.col("all_n") - F.col("n"), F.col("all_s") - F.col("s")
-    gain = F.col("s") * F.col("s") / F.col("n") + right_s * right_s / right_n
-    # as a share of the node's spread, so that equal splits tie in spite of rounding
-    share = F.round(gain / F.col("spread"), TIE_DIGITS)
-    middle = (F.col("x") + F.col("next_x")) / 2
-    cut = F.when(middle < F.col("next_x"), middle).otherwise(F.col("x"))
-    order = F.struct(share.alias("share"), (-F.col("feature")).alias("f"), (-F.col("x")).alias("x"))
-    best = (
-        sums.where(F.col("next_x").isNotNull())
-        .groupBy("node")
-        .agg(F.max_by(F.struct("feature", cut.alias("threshold")), order).alias("best"))
-    )
-    return best.select("node", "best.*").collect()
-
-
-def _offsets(totals: list) -> list[tuple]:
-    """Sums before each slice of a (node, feature), its whole sum, and the next slice's first value."""
-    groups: dict[tuple, list] = {}
-    for r in totals:
-        groups.setdefault((r["node"], r["feature"]), []).append(r)
-    result = []
-    for (node, feature), found in groups.items():
-        found.sort(key=lambda r: r["slice"])
-        all_s, n, s = sum(r["s"] for r in found), 0, 0.0
-        for r, following in zip(found, [*found[1:], None]):
-            result.append((node, feature, r["slice"], n, s, all_s, following["first"] if following else None))
-            n, s = n + r["n"], s + r["s"]
-    return result
+        rows.unpersist()
+    named = {}
+    for i, node in tree.nodes.items():
+        inner = node.feature >= 0
+        named[i] = Node(int(node.totals[split_search.COUNT]), float(node.centre), features[node.feature] if inner else None, node.threshold if inner else None)
+    return RegressionTree(named)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.hashing import normal, uniform
 from statloom.functions.polynomial import exponents
-from statloom.operators import exact_tree, kmeans, logistic, metrics, prepare, regression, validation
+from statloom.operators import exact_tree, kmeans, logistic, metrics, prepare, regression, split_search, validation
 from statloom.operators.split import k_fold, split_columns, train_test_split
 from statloom.plans.gram import column_gram
 from statloom.sources import generate, grid, models
@@ -210,12 +210,14 @@ def _grow(x, y, depth):
     return result
 
 
-@pytest.mark.parametrize("slice_rows", [500_000, 7])
-def test_exact_tree_equals_brute_force(spark, monkeypatch, slice_rows):
-    monkeypatch.setattr(exact_tree, "SLICE_ROWS", slice_rows)
+@pytest.mark.parametrize("values, slots", [(100_000, 32_768), (20, 64), (0, 16)])
+def test_exact_tree_equals_brute_force(spark, monkeypatch, values, slots):
+    """Few slots and few single values make the search open bins again and again."""
+    monkeypatch.setattr(split_search, "VALUE_ROWS", values)
+    monkeypatch.setattr(split_search, "BIN_SLOTS", slots)
     df = generate.sample_data(spark.range(200), "id", "education_2d")
     df = df.withColumn("x2", F.floor("x2").cast("double"))  # repeated values
-    df = df.withColumn("x1", F.exp("x1"))  # crowded at the low end
+    df = df.withColumn("x1", F.exp(F.col("x1") * 30 - 300))  # crowded at the low end
     tree = exact_tree.fit_regression_tree(df, ["x1", "x2"], "y", 4)
     rows = tree.predict(df).orderBy("id").collect()
     expected = _grow(np.array([[r["x1"], r["x2"]] for r in rows]), np.array([r["y"] for r in rows]), 4)
@@ -224,18 +226,43 @@ def test_exact_tree_equals_brute_force(spark, monkeypatch, slice_rows):
     assert leaves.agg(F.sum("n")).first()[0] == 200 and leaves.agg(F.max("depth")).first()[0] == 4
 
 
+def test_edges_always_separate_the_ends():
+    for low, high in ((0.0, 5e-324), (-1e308, 1e308), (-5e-324, 1.0), (1.0, np.nextafter(1.0, 2.0)), (-2.0, -1.0), (1e-300, 1e300)):
+        found = split_search.edges(low, high, 8)
+        assert found[0] == low and found[-1] == high and (np.diff(found) > 0).all()
+
+
+@pytest.mark.parametrize("kind", ["sums", "counts"])
+def test_bound_is_never_below_a_cut_inside(kind):
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        n = int(rng.integers(3, 12))
+        statistic = split_search.Counts(3) if kind == "counts" else split_search.Sums(float(rng.integers(0, 2)))
+        target = rng.integers(0, 3, n).astype(float) if kind == "counts" else rng.normal(size=n)
+        values = statistic.of_rows(rng.integers(1, 4, n).astype(float), target, np.ones(n))
+        a, b = sorted(rng.choice(n + 1, 2, replace=False))
+        before, inside, totals = values[:a].sum(axis=0), values[a:b], values.sum(axis=0)
+        if not len(inside):
+            continue
+        ends = np.zeros(1), np.ones(1)
+        bins = split_search.Bins(*ends, inside.sum(axis=0)[None], target[a:b].min()[None], target[a:b].max()[None])
+        bound = statistic.bound(before[None], bins, totals, 0.0)[0]
+        for j in range(b - a + 1):
+            left = before + inside[:j].sum(axis=0)
+            assert statistic.gain(left) + statistic.gain(totals - left) <= bound + 1e-9
+
+
 def test_tree_of_constant_target_or_features(spark):
     df = spark.range(20).select("id", F.lit(2.0).alias("x"), F.col("id").cast("double").alias("z"), F.lit(7.0).alias("y"))
     assert len(exact_tree.fit_regression_tree(df, ["x", "z"], "y").nodes) == 1
     assert len(exact_tree.fit_regression_tree(df, ["x"], "z").nodes) == 1
 
 
-def test_logistic_start_on_a_sample_changes_nothing(spark, monkeypatch):
+def test_logistic_fit_is_the_same_on_any_partitioning(spark):
     df = generate.credit_data(spark.range(2000), "id").cache()
     whole = logistic.fit_logistic(df, ["income", "balance"], "defaulted")
-    monkeypatch.setattr(logistic, "START_ROWS", 150)
-    sampled = logistic.fit_logistic(df, ["income", "balance"], "defaulted")
-    assert np.allclose([whole.intercept, *whole.coefficients], [sampled.intercept, *sampled.coefficients], rtol=1e-8)
+    dealt = logistic.fit_logistic(df.repartition(7), ["income", "balance"], "defaulted")
+    assert np.allclose([whole.intercept, *whole.coefficients], [dealt.intercept, *dealt.coefficients], rtol=1e-8)
 
 
 def test_logistic_on_separable_rows_is_held_by_the_penalty(spark):
