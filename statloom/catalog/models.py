@@ -255,14 +255,53 @@ def _(spark, d):
     return tree.predict(surface).select("id", F.round("prediction", 4).alias("prediction"))
 
 
-@query("regression_tree_ensembles")
+FOREST = {"depth": 4, "trees": 5, "seed": 42}
+BOOSTING = {"depth": 3, "rounds": 4, "rate": 0.3, "ridge": 1.0}
+DIGITS = exact_tree.TIE_DIGITS
+
+
+def _forest_points(points: str) -> str:
+    copies = o.poisson_copies("id", f"'{FOREST['seed']}/' || cast(tree as varchar)", trees.MOST_COPIES)
+    return f"""select cast(t.tree as integer) as tree, id, x1, x2, y, case when trained then {copies} else 0 end as w, cast(y as double) as a, 1e0 as h
+      from ({points}) p, range({FOREST['trees']}) t(tree)"""
+
+
+def _one_tree(points: str) -> str:
+    return f"select 0 as tree, id, x1, x2, y, case when trained then 1 else 0 end as w, cast(y as double) as a, 1e0 as h from ({points})"
+
+
+def _ensemble_ctes(points: str, mode: str, depth: int) -> str:
+    """CTEs tree_, forest_ and boosted_ with id, y, trained and the predicted number or share of class 1."""
+    tree, tree_last = o.grown("t", _one_tree(points), depth, mode, DIGITS)
+    forest, forest_last = o.grown("f", _forest_points(points), FOREST["depth"], mode, DIGITS)
+    boosted, boosted_last = o.boosted(
+        "g", f"select id, x1, x2, cast(y as double) as y, case when trained then 1 else 0 end as w from ({points})",
+        BOOSTING["depth"], BOOSTING["rounds"], BOOSTING["rate"], "newton" if mode == "gini" else "squares", DIGITS,
+    )
+    margin = "1e0 / (1e0 + exp(-margin))" if mode == "gini" else "margin"
+    leaf = "sum(w * a) over (partition by tree, node) / sum(w) over (partition by tree, node)"
+    return f"""{tree}, {forest}, {boosted},
+      tree_ as (select id, y, w > 0 as trained, {leaf} as p from {tree_last}),
+      forest_ as (select id, any_value(y) as y, avg(p) as p from (select id, y, {leaf} as p from {forest_last}) group by id),
+      boosted_ as (select id, y, w > 0 as trained, {margin} as p from {boosted_last})"""
+
+
+REGRESSION_POINTS = f"select id, x1, x2, y, true as trained from ({sample_sql('education_2d')})"
+
+
+def _regression_scores(table: str, name: str) -> str:
+    return f"""select '{name}' as model, count(*) as n, {o.rnd('avg((y - p) * (y - p))', 4)} as mse,
+      {o.rnd('1e0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))', 4)} as r2 from {table}"""
+
+
+@query(
+    "regression_tree_ensembles",
+    f"with {_ensemble_ctes(REGRESSION_POINTS, 'squares', 5)} "
+    + " union all ".join(_regression_scores(t, n) for t, n in (("tree_", "tree"), ("forest_", "forest"), ("boosted_", "boosting"))),
+)
 def _(spark, d):
     data = sample_table(spark, d, "education_2d").select("id", "x1", "x2", "y")
-    kinds = {
-        "tree": {"maxDepth": 5, "maxBins": 256, "seed": 42},
-        "forest": {"maxDepth": 5, "numTrees": 10, "maxBins": 64, "seed": 42},
-        "boosting": {"maxDepth": 3, "maxIter": 10, "maxBins": 64, "seed": 42},
-    }
+    kinds = {"tree": {"depth": 5}, "forest": FOREST, "boosting": BOOSTING}
     parts = []
     for kind, options in kinds.items():
         scored = trees.fit_trees(data, ["x1", "x2"], "y", kind, "regression", **options).transform(data)
@@ -270,15 +309,31 @@ def _(spark, d):
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 4)
 
 
-@query("classification_tree_ensembles")
-def _(spark, d):
+def _credit_split(spark, d):
     ids = load(spark, d, "customer").select(F.col("c_custkey").alias("id"))
-    data = train_test_split(generate.credit_data(ids, "id"), "id", 0.2, 42)
-    kinds = {
-        "tree": {"maxDepth": 5, "seed": 42},
-        "forest": {"maxDepth": 5, "numTrees": 10, "seed": 42},
-        "boosting": {"maxDepth": 3, "maxIter": 10, "seed": 42},
-    }
+    return train_test_split(generate.credit_data(ids, "id"), "id", 0.2, 42)
+
+
+CREDIT_POINTS = f"""select id, income as x1, balance as x2, defaulted as y, not is_test as trained
+  from ({o.split(o.credit('customer', 'c_custkey'), 'id', 0.2, 42)})"""
+CREDIT_ENSEMBLES = _ensemble_ctes(CREDIT_POINTS, "gini", 5)
+
+
+def _class_scores(table: str, name: str) -> str:
+    return f"""select '{name}' as model, count(*) as n, {o.rnd('avg(case when y = c then 1e0 else 0e0 end)', 4)} as accuracy,
+      {o.rnd('coalesce(sum(y * c) / nullif(sum(c), 0), 0)', 4)} as precision, {o.rnd('coalesce(sum(y * c) / nullif(sum(y), 0), 0)', 4)} as recall,
+      {o.rnd('coalesce(2e0 * sum(y * c) / nullif(sum(c) + sum(y), 0), 0)', 4)} as f1
+      from (select {table}.*, case when p > 0.5e0 then 1 else 0 end as c from {table} join ({CREDIT_POINTS}) s using (id) where not s.trained)"""
+
+
+@query(
+    "classification_tree_ensembles",
+    f"with {CREDIT_ENSEMBLES} "
+    + " union all ".join(_class_scores(t, n) for t, n in (("tree_", "tree"), ("forest_", "forest"), ("boosted_", "boosting"))),
+)
+def _(spark, d):
+    data = _credit_split(spark, d)
+    kinds = {"tree": {"depth": 5}, "forest": FOREST, "boosting": BOOSTING}
     parts = []
     for kind, options in kinds.items():
         model = trees.fit_trees(data.where("not is_test"), ["income", "balance"], "defaulted", kind, "classification", **options)
@@ -287,6 +342,22 @@ def _(spark, d):
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 4)
 
 
+def _share_query(name: str, kind: str, table: str, options: dict) -> None:
+    sql = f"with {CREDIT_ENSEMBLES} select id, {o.rnd('p', 6)} as share, case when p > 0.5e0 then 1 else 0 end as predicted from {table}"
+
+    @query(name, sql)
+    def _(spark, d):
+        data = _credit_split(spark, d)
+        model = trees.fit_trees(data.where("not is_test"), ["income", "balance"], "defaulted", kind, "classification", **options)
+        scored = model.transform(data, "predicted")
+        return scored.select("id", F.round(F.col("predicted_shares")[1], 6).alias("share"), "predicted")
+
+
+_share_query("classification_tree", "tree", "tree_", {"depth": 5})
+_share_query("random_forest_classes", "forest", "forest_", FOREST)
+_share_query("boosted_classes", "boosting", "boosted_", BOOSTING)
+
+
 # ---- logistic regression -------------------------------------------------------------------
 
 CREDIT = o.credit("customer", "c_custkey")

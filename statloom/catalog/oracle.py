@@ -144,3 +144,60 @@ def _det(m: list[list[str]]) -> str:
         minor = [[v for j, v in enumerate(row) if j != c] for row in m[1:]]
         parts.append(f"{'-' if c % 2 else '+'} {m[0][c]} * ({_det(minor)})")
     return " ".join(parts).lstrip("+ ")
+
+
+GAINS = {  # of the rows up to x, with their sums nl and sl, in a node with sums nt and st
+    "squares": "sl * sl / nl + (st - sl) * (st - sl) / (nt - nl)",
+    "newton": "sl * sl / (nl + 1e0) + (st - sl) * (st - sl) / (nt - nl + 1e0)",
+    "gini": "(sl * sl + (nl - sl) * (nl - sl)) / nl + ((st - sl) * (st - sl) + (nt - nl - st + sl) * (nt - nl - st + sl)) / (nt - nl)",
+}
+
+
+def grown(name: str, source: str, depth: int, mode: str, digits: int) -> tuple[str, str]:
+    """CTEs that grow one tree per value of `tree`, every gap of x1 and x2 a candidate, and the name of the last one.
+
+    `source` yields tree, id, x1, x2, w (whole weight; 0 for rows that take no part), a (target) and h (curvature). The last CTE has `node`.
+    """
+    part = "partition by tree, node"
+    ctes = [f"{name}0 as materialized (select *, 1 as node from ({source}))"]
+    mean = f"sum(w * a) over ({part}) / sum(w) over ({part})" if mode == "squares" else "0e0"
+    weight = "w * h" if mode == "newton" else "w"
+    for k in range(depth):
+        ctes.append(f"""{name}c{k} as materialized (select *, a - {mean} as e, min(a / h) over ({part}) < max(a / h) over ({part}) as live
+          from {name}{k} where w > 0)""")
+        ctes.append(f"{name}t{k} as materialized (select tree, node, {'sum(w)' if mode == 'gini' else 'sum(w * e * e)'} as t from {name}c{k} where live group by all)")
+        sides = [
+            f"""select tree, node, {f} as f, x, lead(x) over o as nx, sum(s) over o as sl, sum(n) over o as nl, sum(s) over ({part}) as st, sum(n) over ({part}) as nt
+            from (select tree, node, x{f} as x, sum({weight}) as n, sum(w * e) as s from {name}c{k} where live group by tree, node, x{f})
+            window o as ({part} order by x)"""
+            for f in (1, 2)
+        ]
+        share = f"(round(({GAINS[mode]}) / t, {digits}), -f, -x)"
+        ctes.append(f"""{name}b{k} as materialized (select tree, node, arg_max(f, {share}) as f, arg_max((x + nx) / 2, {share}) as cut
+          from ({' union all '.join(sides)}) join {name}t{k} using (tree, node) where nx is not null group by tree, node)""")
+        ctes.append(f"""{name}{k + 1} as materialized (select {name}{k}.* replace (case when f is null then {name}{k}.node else 2 * {name}{k}.node + case when (case f when 1 then x1 else x2 end) > cut then 1 else 0 end end as node)
+          from {name}{k} left join {name}b{k} using (tree, node))""")
+    return ", ".join(ctes), f"{name}{depth}"
+
+
+def poisson_copies(id_col: str, seed: str, most: int) -> str:
+    """Number of times that a sample with replacement takes a row; `seed` is an SQL text."""
+    u = f"({h52_col(id_col, seed)} / 4503599627370496e0)"
+    below = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(most)]
+    return " + ".join(f"case when {u} >= {num(b)} then 1 else 0 end" for b in below)
+
+
+def boosted(name: str, source: str, depth: int, rounds: int, rate: float, mode: str, digits: int) -> tuple[str, str]:
+    """CTEs of boosted trees; the last one adds `margin` to the columns id, x1, x2, y, w of `source`."""
+    start = "sum(w * y) / sum(w)"
+    start = f"ln(({start}) / (1e0 - {start}))" if mode == "newton" else start
+    ctes = [f"{name}m0 as materialized (select *, (select {start} from ({source})) as margin from ({source}))"]
+    for r in range(rounds):
+        p = "1e0 / (1e0 + exp(-margin))"
+        target, curvature = (f"y - {p}", f"{p} * (1e0 - {p})") if mode == "newton" else ("y - margin", "1e0")
+        text, last = grown(f"{name}r{r}_", f"select 0 as tree, *, {target} as a, {curvature} as h from {name}m{r}", depth, mode, digits)
+        weight = "sum(w * h) over (partition by node) + 1e0" if mode == "newton" else "sum(w) over (partition by node)"
+        leaf = f"sum(w * a) over (partition by node) / ({weight})"
+        ctes.append(text)
+        ctes.append(f"{name}m{r + 1} as materialized (select id, x1, x2, y, w, margin + {num(rate)} * {leaf} as margin from {last})")
+    return ", ".join(ctes), f"{name}m{rounds}"
