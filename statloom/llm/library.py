@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from .units import SIGNS, UnitCache, units
 
 REMEMBERED = 500_000
+LITTLE = sys.byteorder == "little"
 
 
 def shared_vocabulary(df: DataFrame, path: str):
@@ -38,14 +39,16 @@ def byte_letters() -> dict[int, str]:
 
 
 class Words(dict):
-    """Ids by unit; a unit that is asked for the first time is encoded then."""
+    """Ids by unit; a unit that is asked for the first time is encoded then. Units with a line break are seldom asked for again."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self[unit] = self.encode(unit)
+        ids = self.encode(unit)
+        if "\n" not in unit:
+            self[unit] = ids
         return ids
 
 
@@ -114,16 +117,40 @@ class Library:
         cut, whole = iter(cut), iter(whole)
         return [next(whole) if s else join(next(cut)) for s in special]
 
-    def _one(self, unit: str) -> bytes:
-        tokens = self._tokens(unit)
-        return _bytes(self.model.encode(unit, add_special_tokens=False).ids if tokens is None else [t.id for t in tokens])
+    def _word(self, word: str, space: str = "") -> bytes:
+        """Ids of a word of common letters, one match with the space before it."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.word(space + word)]).tobytes() if LITTLE else _bytes([t.id for t in self.word(space + word)])
+
+    def _head(self, unit: str) -> bytes:
+        """Ids of a unit as it stands."""
+        if unit.isalpha() and max(unit) < "\u0530":
+            return self._word(unit)
+        lines = self._lines(unit)
+        if lines:
+            head = self.kept["heads"]
+            return head["\n"].join(map(head.__getitem__, lines))
+        return _bytes(self.model.encode(unit, add_special_tokens=False).ids)
 
     def _tail(self, unit: str) -> bytes:
         """Ids of a unit behind a space. Signs after letters are a match of their own."""
+        if unit.isalpha() and max(unit) < "\u0530":
+            return self._word(unit, self.letters[32])
         letters = unit.rstrip(SIGNS)
         if letters != unit and letters.isalpha():
             return self.kept["tails"][letters] + self.kept["heads"][unit[len(letters) :]]
-        return self._one(f" {unit}")
+        lines = self._lines(unit)
+        if lines:
+            head = self.kept["heads"]
+            return head["\n"].join([self.kept["tails"][lines[0]], *map(head.__getitem__, lines[1:])])
+        return _bytes(self.model.encode(f" {unit}", add_special_tokens=False).ids)
+
+    @staticmethod
+    def _lines(unit: str) -> list[str] | None:
+        """The lines of a unit if each break stands alone between other characters: then it is a match of its own, and so are they."""
+        lines = unit.split("\n")
+        return lines if len(lines) > 1 and all(lines) and len(unit.split()) == len(lines) else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers.
@@ -133,7 +160,7 @@ class Library:
         if not self.cuts:
             return [_bytes(ids) for i in range(0, len(texts), 1000) for ids in self._whole(texts[i : i + 1000])]
         if "tails" not in self.kept or len(self.kept["tails"]) + len(self.kept["heads"]) > REMEMBERED:
-            self.kept["tails"], self.kept["heads"] = Words(self._tail), Words(self._one)
+            self.kept["tails"], self.kept["heads"] = Words(self._tail), Words(self._head)
         tail, head, out = self.kept["tails"].__getitem__, self.kept["heads"], []
         for text in texts:
             if any(s in text for s in self.special):

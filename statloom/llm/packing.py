@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections import deque
 from pathlib import Path
 
 import numpy as np
@@ -33,6 +32,7 @@ from .ordered import encoded, flat_ids, id_width
 WINDOW = 1024
 SENTENCE, ANYWHERE, EACH = 1, 8, 1  # penalties of cuts inside documents, and the cost of a window, in ids of padding
 STRETCH = 1 << 20  # ids whose cuts are chosen together
+SHORTEST = 16  # a window may be as short as this part of the full one, if its length is a power of two
 GAP = 32  # where candidates are farther apart, cuts anywhere are offered at this distance
 CLOSING, ENDING = "\"')]}»”’", (".", "!", "?", "…", "。", "！", "？")
 PIECES = "part int, local_sequence long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, offset long"
@@ -72,33 +72,38 @@ def candidates(flat: np.ndarray, doc_ends: np.ndarray, marks: tuple[np.ndarray,
 
 def best_cuts(position: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Least cost of cutting the stream up to each candidate, and the candidate where its last window starts."""
-    n = len(position)
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k < window]
-    exact: list[list[int]] = [[] for _ in range(n)]
-    for p in powers:
-        at = np.searchsorted(position, position - p)
-        hit = np.flatnonzero(position[at] == position - p)
-        for j, i in zip(hit.tolist(), at[hit].tolist()):
-            exact[j].append(i)
-    where, extra = position.tolist(), (penalty + EACH).tolist()
-    cost, before, reach = [0] * n, [0] * n, [0] * n
-    queue: deque[int] = deque([0])  # candidates in reach, cost + position rising
-    reach[0] = where[0]
-    for j in range(1, n):
-        here = where[j]
-        first = here - window
-        while where[queue[0]] < first:
-            queue.popleft()
-        i = queue[0]
-        best = reach[i] + window - here
-        for k in exact[j]:
-            if cost[k] < best:
-                best, i = cost[k], k
+    n, pairs = len(position), []
+    for p in (1 << k for k in range(window.bit_length() - 1)):
+        if p >= window // SHORTEST:
+            at = np.searchsorted(position, position - p)
+            hit = np.flatnonzero(position[at] == position - p)
+            pairs.append(np.stack([hit, at[hit]]))
+    exact = np.concatenate([*pairs, [[n], [0]]], axis=1)
+    exact = exact[:, np.argsort(exact[0], kind="stable")]
+    ends, starts, k = exact[0].tolist(), exact[1].tolist(), 0
+    extra = (penalty + EACH).tolist()
+    cost, before = [0] * n, [0] * n
+    where, reach, who, first = [0], [0], [0], 0  # candidates in reach: their positions, cost + position rising, and numbers
+    for j, here in enumerate(position.tolist()):
+        if not j:
+            continue
+        while where[first] < here - window:
+            first += 1
+        best, i = reach[first] + window - here, who[first]
+        while ends[k] == j:
+            if cost[starts[k]] < best:
+                i = starts[k]
+                best = cost[i]
+            k += 1
         cost[j], before[j] = best + extra[j], i
-        value = reach[j] = cost[j] + here
-        while queue and reach[queue[-1]] > value:
-            queue.pop()
-        queue.append(j)
+        value = cost[j] + here
+        while len(reach) > first and reach[-1] > value:
+            reach.pop()
+            where.pop()
+            who.pop()
+        reach.append(value)
+        where.append(here)
+        who.append(j)
     return np.array(cost), np.array(before)
 
 
