@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from .units import SIGNS, UnitCache, units
 
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 LITTLE = sys.byteorder == "little"
 
 
@@ -150,7 +150,7 @@ class Library:
     def _lines(unit: str) -> list[str] | None:
         """The lines of a unit if each break stands alone between other characters: then it is a match of its own, and so are they."""
         lines = unit.split("\n")
-        return lines if len(lines) > 1 and all(lines) and len(unit.split()) == len(lines) else None
+        return lines if len(lines) > 1 and unit.split() == lines else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers.
