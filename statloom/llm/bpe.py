@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from .common import pieces_of, texts_of
 from .tables import IntTable
-from .units import UnitCache
+from .units import UnitCache, remembered
 
 NONE = np.int32(2**31 - 1)
 WIDEST = 128  # leaves of a tree that is merged side by side with others
@@ -34,10 +35,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_tables(path: str, pattern: str) -> dict:
-    """What encoding needs, in plain types: ranks, the pairs that merge, also as arrays.
-
-    `kept` is a place for the encodings that a worker process remembers.
-    """
+    """What encoding needs, in plain types: ranks, the pairs that merge, also as arrays. `digest` names the vocabulary."""
     ranks = read_ranks(path)
     if len(ranks) > 1 << 16 or max(ranks.values()) >= 1 << 16:
         raise ValueError("at most 65,536 ranks")
@@ -48,14 +46,15 @@ def merge_tables(path: str, pattern: str) -> dict:
             if left is not None and right is not None:
                 pairs[left << 16 | right] = rank
     table = np.fromiter(pairs.keys(), dtype=np.int64, count=len(pairs)), np.fromiter(pairs.values(), dtype=np.int32, count=len(pairs))
-    return {"ranks": ranks, "pattern": pattern, "pairs": pairs, "table": table, "kept": {}}
+    return {"ranks": ranks, "pattern": pattern, "pairs": pairs, "table": table, "digest": hashlib.sha256(Path(path).read_bytes() + pattern.encode()).hexdigest()}
 
 
 class ByteBPE:
     """Encoder and decoder over `merge_tables`: a token's id is its rank."""
 
     def __init__(self, tables: dict):
-        self.ranks, self.pattern, self.pairs, self.kept = tables["ranks"], tables["pattern"], tables["pairs"], tables["kept"]
+        self.ranks, self.pattern, self.pairs = tables["ranks"], tables["pattern"], tables["pairs"]
+        self.kept = remembered(tables["digest"])
         self.matches = regex.compile(self.pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)

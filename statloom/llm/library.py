@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import sys
@@ -12,15 +13,27 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .units import SIGNS, UnitCache, units
+from .units import SIGNS, UnitCache, remembered
 
-REMEMBERED = 300_000
 LITTLE = sys.byteorder == "little"
 
 
+def vocabulary_file(path: str) -> dict:
+    """The vocabulary file and what `Library` must know of it, a few MB whatever the data."""
+    data = Path(path).read_bytes()
+    found = {"file": data, "digest": hashlib.sha256(data).hexdigest(), "piece": path.endswith(".model"), "cuts": False, "special": []}
+    if not found["piece"]:
+        stated = json.loads(data)
+        split, added = stated.get("pre_tokenizer") or {}, stated.get("added_tokens", [])
+        found["special"] = [t["content"] for t in added]
+        plain = stated.get("normalizer") is None and stated.get("post_processor") is None
+        plain = plain and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        found["cuts"] = plain and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in added)
+    return found
+
+
 def shared_vocabulary(df: DataFrame, path: str):
-    """The vocabulary file as the driver reads it, a few MB whatever the data, and a place for what a worker remembers."""
-    return df.sparkSession.sparkContext.broadcast({"name": path, "file": Path(path).read_bytes(), "kept": {}})
+    return df.sparkSession.sparkContext.broadcast(vocabulary_file(path))
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -38,20 +51,6 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
 
 
-class Words(dict):
-    """Ids by unit; a unit that is asked for the first time is encoded then. Units with a line break are seldom asked for again."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = self.encode(unit)
-        if "\n" not in unit:
-            self[unit] = ids
-        return ids
-
-
 class Library:
     """Token ids and counts as the library of a vocabulary file gives them.
 
@@ -62,8 +61,8 @@ class Library:
 
     def __init__(self, shared: dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.kept = shared["kept"]
-        self.piece = shared["name"].endswith(".model")
+        self.piece, self.cuts, self.special = shared["piece"], shared["cuts"], shared["special"]
+        self.kept = remembered(shared["digest"])
         if "model" not in self.kept:
             if self.piece:
                 self.kept["model"] = sentencepiece.SentencePieceProcessor(model_proto=shared["file"])
@@ -72,16 +71,10 @@ class Library:
                 self.kept["model"].no_truncation()
                 self.kept["model"].no_padding()
         self.model = self.kept["model"]
-        stated = {} if self.piece else json.loads(shared["file"])
-        split = stated.get("pre_tokenizer") or {}
-        plain = stated.get("normalizer") is None and stated.get("post_processor") is None
-        self.cuts = plain and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
-        self.special = [t["content"] for t in stated.get("added_tokens", [])]
-        self.cuts = self.cuts and not any(" " in s for s in self.special)
-        self.cuts = self.cuts and not any(t["lstrip"] or t["rstrip"] for t in stated.get("added_tokens", []))
-
         self.word = self.model.model.tokenize if self.cuts else None
         self.letters = byte_letters()
+        self.signs = self.kept.setdefault("signs", {})
+        self.break_ = self.whole("\n") if self.cuts else b""
 
     def _tokens(self, unit: str):
         """The model's tokens of a unit that is one match of common letters; None if it isn't."""
@@ -123,28 +116,33 @@ class Library:
             word = word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.word(space + word)]).tobytes() if LITTLE else _bytes([t.id for t in self.word(space + word)])
 
-    def _head(self, unit: str) -> bytes:
-        """Ids of a unit as it stands."""
+    def whole(self, text: str) -> bytes:
+        """Ids of a text through all the library's steps, as little-endian unsigned 32-bit integers."""
+        return _bytes(self._whole([text])[0])
+
+    def head(self, unit: str) -> bytes:
+        """Ids of a text's first unit."""
         if unit.isalpha() and max(unit) < "\u0530":
             return self._word(unit)
         lines = self._lines(unit)
-        if lines:
-            head = self.kept["heads"]
-            return head["\n"].join(map(head.__getitem__, lines))
-        return _bytes(self.model.encode(unit, add_special_tokens=False).ids)
+        return self.break_.join(map(self.head, lines)) if lines else self.whole(unit)
 
-    def _tail(self, unit: str) -> bytes:
+    def tail(self, unit: str) -> bytes:
         """Ids of a unit behind a space. Signs after letters are a match of their own."""
         if unit.isalpha() and max(unit) < "\u0530":
             return self._word(unit, self.letters[32])
         letters = unit.rstrip(SIGNS)
-        if letters != unit and letters.isalpha():
-            return self.kept["tails"][letters] + self.kept["heads"][unit[len(letters) :]]
+        if letters != unit and letters.isalpha() and max(letters) < "\u0530":
+            return self._word(letters, self.letters[32]) + self._sign(unit[len(letters) :])
         lines = self._lines(unit)
-        if lines:
-            head = self.kept["heads"]
-            return head["\n"].join([self.kept["tails"][lines[0]], *map(head.__getitem__, lines[1:])])
-        return _bytes(self.model.encode(f" {unit}", add_special_tokens=False).ids)
+        return self.break_.join([self.tail(lines[0]), *map(self.head, lines[1:])]) if lines else self.whole(f" {unit}")
+
+    def _sign(self, signs: str) -> bytes:
+        if signs not in self.signs:
+            if len(self.signs) > 10_000:
+                self.signs.clear()
+            self.signs[signs] = self.whole(signs)
+        return self.signs[signs]
 
     @staticmethod
     def _lines(unit: str) -> list[str] | None:
@@ -152,24 +150,6 @@ class Library:
         lines = unit.split("\n")
         return lines if len(lines) > 1 and unit.split() == lines else None
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers.
-
-        Units are remembered by worker until there are REMEMBERED of them, then forgotten, so memory stays bounded on any text.
-        """
-        if not self.cuts:
-            return [_bytes(ids) for i in range(0, len(texts), 1000) for ids in self._whole(texts[i : i + 1000])]
-        if "tails" not in self.kept or len(self.kept["tails"]) + len(self.kept["heads"]) > REMEMBERED:
-            self.kept["tails"], self.kept["heads"] = Words(self._tail), Words(self._head)
-        tail, head, out = self.kept["tails"].__getitem__, self.kept["heads"], []
-        for text in texts:
-            if any(s in text for s in self.special):
-                out += map(_bytes, self._whole([text]))
-            else:
-                first, *rest = units(text)
-                out.append(head[first] + b"".join(map(tail, rest)))
-        return out
-
     def lengths(self, texts: list[str]) -> list[int]:
         """Number of ids of each text; the ids are never put together."""
         return self._by_units(texts, self._lengths, len, "lengths", sum)

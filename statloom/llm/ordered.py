@@ -16,9 +16,11 @@ from tokenizers import Tokenizer
 from statloom.plans.order_stats import order_statistics
 
 from .common import pieces_of, texts_of
-from .library import Library, shared_vocabulary
+from .library import shared_vocabulary
+from .unit_ids import UnitIds
 
 ROWS = 4096  # documents of a part
+ENCODED_BYTES = 4 << 20  # text encoded at a time
 MOST = 20_000  # parts at most; beyond, they hold more documents, which are streamed
 SCHEMA = "part int, doc_id long, ids binary"
 
@@ -74,17 +76,20 @@ def encoded(df: DataFrame, path: str, end_id: int | None, id_col: str = "doc_id"
     parts, width, shared = parts_of(texts, rows), id_width(path), shared_vocabulary(df, path)
 
     def run(batches):
-        library = Library(shared.value)
-        tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+        dtype = np.dtype(f"<u{width}")
+        encoder = UnitIds(shared.value, dtype)
+        tail = np.zeros(0, dtype) if end_id is None else np.array([end_id], dtype)
         for batch in batches:
-            for piece in pieces_of(batch):
-                found = [ids + tail for ids in library.ids([t or "" for t in piece.column("text").to_pylist()])]
-                if width == 2:
-                    found = [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in found]
+            for piece in pieces_of(batch, limit=ENCODED_BYTES):
+                flat, counts = encoder.encode(piece.column("text"))
+                flat = np.insert(flat, np.repeat(np.cumsum(counts), len(tail)), np.tile(tail, len(counts)))
+                ends = np.cumsum(counts + len(tail)) * width
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
+                found = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
                 ids = piece.column("doc_id")
                 missing = ids.is_null().to_numpy(zero_copy_only=False)
-                part = parts.of(ids.fill_null(0).to_numpy(zero_copy_only=False), missing, lambda i, found=found: zlib.crc32(found[i]))
-                yield pa.RecordBatch.from_arrays([pa.array(part), ids, pa.array(found, pa.binary())], ["part", "doc_id", "ids"])
+                part = parts.of(ids.fill_null(0).to_numpy(zero_copy_only=False), missing, lambda i, found=found: zlib.crc32(found[i].as_buffer()))
+                yield pa.RecordBatch.from_arrays([pa.array(part), ids, found], ["part", "doc_id", "ids"])
 
     dealt = texts.mapInArrow(run, SCHEMA).repartitionById(parts.number, "part")
     return dealt.sortWithinPartitions("part", "doc_id", "ids")

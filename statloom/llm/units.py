@@ -17,6 +17,17 @@ _UNSAFE = re.compile(r" (?:\s|\Z)")
 SIGNS = string.punctuation
 
 
+_REMEMBERED: dict[str, dict] = {}
+
+
+def remembered(vocabulary: str) -> dict:
+    """What this worker process remembers of a vocabulary, named by a digest. Only the one it used last is kept, also over many queries."""
+    if vocabulary not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[vocabulary] = {}
+    return _REMEMBERED[vocabulary]
+
+
 def units(text: str) -> list[str]:
     """First unit as it stands; each further one without the space that precedes it."""
     return _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")

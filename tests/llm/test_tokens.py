@@ -9,12 +9,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from statloom.llm import bpe, catalog, token_counts, token_tables
-from statloom.llm.library import Library
+from statloom.llm import bpe, catalog, token_counts, token_tables, unit_ids
+from statloom.llm.library import Library, vocabulary_file
+from statloom.llm.unit_ids import UnitIds
 from statloom.llm.units import units
 from statloom.session import new_shared_path
 
@@ -58,15 +60,38 @@ def test_units_put_together_give_the_text():
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_library_ids_and_lengths(name):
     path = P.path(name)
-    library = Library({"name": path, "file": open(path, "rb").read(), "kept": {}})
+    library = Library(vocabulary_file(path))
     if name.endswith(".json"):
         expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts(), add_special_tokens=False)]
     else:
         import sentencepiece
 
         expected = sentencepiece.SentencePieceProcessor(model_file=path).encode(texts())
-    assert [np.frombuffer(b, dtype="<u4").tolist() for b in library.ids(texts())] == expected
     assert library.lengths(texts()) == list(map(len, expected))
+    for dtype in ("<u2", "<u4"):
+        flat, counts = UnitIds(vocabulary_file(path), np.dtype(dtype)).encode(pa.array([None, *texts()]).slice(1))
+        assert [part.tolist() for part in np.split(flat, np.cumsum(counts)[:-1])] == expected
+
+
+def test_units_are_forgotten_and_found_again(monkeypatch):
+    monkeypatch.setattr(unit_ids, "UNITS", 50)
+    library, encoder = Tokenizer.from_file(JSON), UnitIds(vocabulary_file(JSON), np.dtype("<u2"))
+    draw = random.Random(9)
+    for _ in range(30):
+        some = [" ".join("".join(draw.choice("abcé ") for _ in range(draw.randint(0, 7))) for _ in range(draw.randint(0, 30))) for _ in range(9)] + ["", None]
+        flat, counts = encoder.encode(pa.array(some, pa.string()))
+        assert flat.tolist() == [i for t in some for i in library.encode(t or "", add_special_tokens=False).ids]
+        assert counts.sum() == len(flat) and len(counts) == len(some) and not counts[-2:].any()
+
+
+def test_units_of_bytes_equal_units_of_text():
+    some = [*texts(), "", " a", "a ", "  ", " ", "a　b", "a  b", "é ü"]
+    column = pa.array(some)
+    data, offsets = np.frombuffer(column.buffers()[2], np.uint8), np.frombuffer(column.buffers()[1], np.int32).astype(np.int64)
+    start, end, heads = unit_ids.unit_bounds(data, offsets)
+    found = [data[a:b].tobytes().decode() for a, b in zip(start, end)]
+    assert found == [u for t in some for u in units(t)]
+    assert heads.tolist() == np.cumsum([0, *(len(units(t)) for t in some)])[:-1].tolist()
 
 
 def test_odd_rows_round_trip(odd, none, reference):
