@@ -23,7 +23,8 @@ from .tables import IntTable
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 UNKNOWN = 1e-7  # probability of a character that is no piece
-LONGEST = 40  # letters of a word that is summed side by side with others
+RESCALED = 8  # positions between two scalings of the running sums, which else leave the range of floating-point numbers
+SIDE_BY_SIDE, CELLS = 8192, 1 << 18  # words of one length that are summed together, and their letters
 STEP = np.uint64(0x100000001B3)
 
 
@@ -86,67 +87,69 @@ class Lattice:
         flat = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le"), dtype=np.uint32)
         return flat.reshape(len(words), -1).astype(np.uint64)
 
+    @classmethod
+    def parts(cls, words: list[str]):
+        """(length, numbers of words of that length) in parts of bounded size."""
+        for length, which in cls.by_length(words).items():
+            step = max(1, min(SIDE_BY_SIDE, CELLS // length))
+            for at in range(0, len(which), step):
+                yield length, which[at : at + step]
+
     def log_probabilities(self, words: list[str], p: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language; `p` has a row per piece, and a last row for unknown characters."""
         out = np.zeros((len(words), p.shape[1]))
-        for length, which in self.by_length(words).items():
-            for at in range(0, len(which), 8192):
-                part = which[at : at + 8192]
-                if length > LONGEST:
-                    out[part] = [self._long(words[i], p) for i in part]
-                    continue
-                total = [np.zeros((len(part), p.shape[1])) for _ in range(length + 2)]
-                total[0] += 1.0
-                for start, size, rows, piece in self.arcs(self.codes([words[i] for i in part])):
-                    if len(rows) == len(part):
-                        total[start + size] += total[start] * p[piece]
-                    else:
-                        total[start + size][rows] += total[start][rows] * p[piece]
-                out[part] = np.log(total[-1])
+        for length, part in self.parts(words):
+            total = {0: np.ones((len(part), p.shape[1]))}
+            scale, scaled = np.zeros_like(total[0]), 0
+            for start, size, rows, piece in self.arcs(self.codes([words[i] for i in part])):
+                if start >= scaled + RESCALED:
+                    scaled = start
+                    total = {at: t for at, t in total.items() if at >= start}
+                    top = np.maximum.reduce(list(total.values()))
+                    scale += np.log(top)
+                    for t in total.values():
+                        t /= top
+                if start + size not in total:
+                    total[start + size] = np.zeros_like(scale)
+                if len(rows) == len(part):
+                    total[start + size] += total[start] * p[piece]
+                else:
+                    total[start + size][rows] += total[start][rows] * p[piece]
+            out[part] = np.log(total[length + 1]) + scale
         return out
 
-    def _long(self, word: str, p: np.ndarray) -> np.ndarray:
-        """The same sum for one word of any length, scaled as it goes."""
-        marked = MARK + word
-        n = len(marked)
-        total = {0: np.ones(p.shape[1])}
-        scale = np.zeros(p.shape[1])
-        for start in range(n):
-            here = total.pop(start)
-            top = np.maximum(here, 1e-300)
-            scale += np.log(top)
-            here = here / top
-            for later in total.values():
-                later /= top
-            for size in range(1, min(self.longest, n - start) + 1):
-                piece = self.index.get(marked[start : start + size], -1)
-                if piece >= 0 or size == 1:
-                    end = start + size
-                    total[end] = total.get(end, 0.0) + here * p[piece]
-        return scale + np.log(total[n])
-
     def expected(self, words: list[str], weights: np.ndarray, which: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected counts of (piece, language) over all segmentations; word i counts `weights[i]` times in language `which[i]`."""
         counts = np.zeros(p.size)
-        for length, group in self.by_length(words).items():
-            if length > LONGEST:
-                continue
-            for at in range(0, len(group), 8192):
-                part = np.array(group[at : at + 8192])
-                lang, weight = which[part], weights[part]
-                arcs = [(s, k, r, q, p[q, lang[r]]) for s, k, r, q in self.arcs(self.codes([words[i] for i in part]))]
-                ahead = np.zeros((length + 2, len(part)))
-                ahead[0] = 1.0
-                for s, k, r, _, v in arcs:
-                    ahead[s + k, r] += ahead[s, r] * v
-                back = np.zeros_like(ahead)
-                back[-1] = 1.0
-                for s, k, r, _, v in reversed(arcs):
-                    back[s, r] += back[s + k, r] * v
-                for s, k, r, q, v in arcs:
-                    share = ahead[s, r] * v * back[s + k, r] / ahead[-1, r] * weight[r]
-                    known = q >= 0
-                    counts += np.bincount(q[known] * p.shape[1] + lang[r[known]], share[known], p.size)
+        for length, part in self.parts(words):
+            part = np.array(part)
+            lang, weight = which[part], weights[part]
+            arcs = [(s, k, r, q, p[q, lang[r]]) for s, k, r, q in self.arcs(self.codes([words[i] for i in part]))]
+            # sums over the beginnings and over the ends of words, each with the log of what it was divided by
+            ahead, back = np.zeros((length + 2, len(part))), np.zeros((length + 2, len(part)))
+            ahead_log, back_log = np.zeros_like(ahead), np.zeros_like(back)
+            ahead[0] = back[-1] = 1.0
+            scaled = 0
+            for s, k, r, _, v in arcs:
+                if s >= scaled + RESCALED:
+                    scaled, open_ = s, slice(s, s + self.longest)
+                    top = ahead[open_].max(0)
+                    ahead[open_] /= top
+                    ahead_log[s:] += np.log(top)
+                ahead[s + k, r] += ahead[s, r] * v
+            scaled = length + 1
+            for s, k, r, _, v in reversed(arcs):
+                if s <= scaled - RESCALED:
+                    scaled, open_ = s, slice(s + 1, s + 1 + self.longest)
+                    top = back[open_].max(0)
+                    back[open_] /= top
+                    back_log[: s + 1 + self.longest] += np.log(top)
+                back[s, r] += back[s + k, r] * v
+            for s, k, r, q, v in arcs:
+                scale = np.exp(ahead_log[s, r] + back_log[s + k, r] - ahead_log[-1, r])
+                share = ahead[s, r] * v * back[s + k, r] / ahead[-1, r] * scale * weight[r]
+                known = q >= 0
+                counts += np.bincount(q[known] * p.shape[1] + lang[r[known]], share[known], p.size)
         return counts.reshape(p.shape)
 
 

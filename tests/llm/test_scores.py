@@ -48,12 +48,44 @@ def test_segmentations_are_all_summed():
     words = ["a", "ab", "abba", "bab", "abab"]
     expected = np.log([total("▁" + w) for w in words])
     assert np.allclose(lattice.log_probabilities(words, p), expected)
-    assert np.allclose([lattice._long(w, p) for w in words], expected)
     q = p[:, [0]]
     counts = lattice.expected(["abba"], np.array([1.0]), np.array([0]), q)
     assert np.isclose(sum(n * len(w) for w, n in zip(lattice.index, counts[:, 0])), 5)  # each character is in one piece
 
 
+def test_lattice_sums_words_of_any_length():
+    """Forward sums and expected counts against the plain recursions in log space."""
+    lattice = language.Lattice(["▁", "a", "b", "ab", "▁a", "bab", "ba", "aaaa"])
+    p = np.vstack([np.random.default_rng(1).uniform(1e-9, 1e-3, (8, 2)), np.full((1, 2), 1e-7)])
+    draw = random.Random(2)
+    words = ["".join(draw.choice("abz") for _ in range(n)) for n in (*range(1, 61), 100, 199, 200)] + ["界" * n for n in (38, 40, 41)]
+
+    def arcs(text):
+        for start in range(len(text)):
+            for size in range(1, min(4, len(text) - start) + 1):
+                piece = lattice.index.get(text[start : start + size], -1)
+                if piece >= 0 or size == 1:
+                    yield start, start + size, piece
+
+    found = lattice.log_probabilities(words, p)
+    for number, word in enumerate(words):
+        text = "▁" + word
+        ahead, back = np.full((len(text) + 1, 2), -np.inf), np.full((len(text) + 1, 2), -np.inf)
+        ahead[0] = back[-1] = 0.0
+        for s, e, q in arcs(text):
+            ahead[e] = np.logaddexp(ahead[e], ahead[s] + np.log(p[q]))
+        for s, e, q in reversed(list(arcs(text))):
+            back[s] = np.logaddexp(back[s], back[e] + np.log(p[q]))
+        assert np.allclose(found[number], ahead[-1], rtol=1e-12)
+        counts = np.zeros_like(p)
+        for s, e, q in arcs(text):
+            if q >= 0:
+                counts[q] += np.exp(ahead[s] + np.log(p[q]) + back[e] - ahead[-1])
+        for lang in (0, 1):
+            learned = lattice.expected([word], np.array([1.0]), np.array([lang]), p)
+            assert np.allclose(learned[:, lang], counts[:, lang], atol=1e-9) and not learned[:, 1 - lang].any()
+
+
 def test_isotonic_rises():
     draw = np.random.default_rng(2)
     raw = draw.normal(size=500)
