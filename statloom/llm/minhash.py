@@ -7,9 +7,10 @@ differ too much are dropped, the others confirmed on full shingle sets.
 
 Sets that are equal are one node from the start. A first pass confirms one promising partner of every node, which
 joins dense groups without all their pairs; MERGES more do so between groups, with a longer sketch of the nodes that have
-candidates at all. The last pass takes all nodes and has no limit: whoever shares HEAD values at the start of an order is compared,
-unless both are of one group by then. Regions of one group drop out, crowded ones are compared in cells of bounded size.
-So work follows the number of documents and of pairs that are still apart, not the squares of group sizes.
+candidates at all. The last pass takes all nodes and has no limit: regions that still hold several groups are followed up to a depth of
+HEAD values, in cells of bounded size. A cell marks the rows that have a candidate there, each pair in the order where its common prefix is
+longest; their texts then meet in the cell, neighbours by longest common prefix come first, and pairs that earlier links of the cell have
+joined are left out. A cell gives links between groups, fewer than it has rows, and never pairs.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ MERGES = 2  # passes that confirm the most similar partner in another group
 LONG = 512  # values of the later passes' sketch, 8 bits each
 REGION = 64  # rows of a region of the first passes
 HEAD = 4  # values that rows compared in the last pass share
-CELL = 512  # rows of a crowded region's part
-BLOCK = 20_000  # rows compared at a time
+CELL, CELL_SHINGLES = 512, 1 << 21  # rows of a crowded region's part, and shingles of their sets
+BLOCK, BLOCK_BYTES = 20_000, 32 << 20  # rows held at a time, and their bytes
+COMPARED = 8_192  # pairs compared at a time
 _ID, _COPY = "__statloom_id", "__statloom_copy"
 
 _random = np.random.default_rng(20)
@@ -148,8 +150,8 @@ def _pairs(batch: pa.RecordBatch, old: int, least: float, region: int, group: np
     fresh = second >= old
     first, second = first[fresh], second[fresh]
     kept = [], [], []
-    for at in range(0, len(first), 50_000):
-        i, j = first[at : at + 50_000], second[at : at + 50_000]
+    for at in range(0, len(first), COMPARED):
+        i, j = first[at : at + COMPARED], second[at : at + COMPARED]
         if group is None:
             estimate = (_EQUAL[sketch[i] ^ sketch[j]].sum(1) / VALUES - 1 / 16) * 16 / 15
         else:
@@ -216,69 +218,90 @@ def best_apart(nodes: DataFrame, least: float) -> DataFrame:
 
 
 def cells(nodes: DataFrame) -> DataFrame:
-    """Rows of `nodes` by order and region of HEAD values, for regions of several groups, with the `cell` they are compared in.
+    """Rows of `nodes` by order (`tree`) and region of HEAD values, for regions of several groups, with the `cell` they are compared in.
 
-    A region of up to CELL rows is one cell. The rows of a larger one are dealt to parts, those of its largest group apart from the others, and
-    every two parts that may hold different groups make a cell: rows of different `side` are compared, or all (-1).
+    A region of up to CELL rows and CELL_SHINGLES shingles (`length`) is one cell. The rows of a larger one are dealt to parts, those of its
+    largest group apart from the others, and every two parts that may hold different groups make a cell: rows of different `side` are
+    compared, or all (-1).
     """
-    others = [c for c in nodes.columns if c != "signature"]
+    others = nodes.columns
     twice = F.concat("signature", "signature")
     rows = nodes.select(*others, twice.alias("twice"), F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
     rows = rows.select(*others, "tree", F.expr(f"substring(twice, tree * {2 * STEP} + 1, {2 * HEAD})").alias("head"))
-    regions = rows.groupBy("tree", "head", "group").agg(F.count("*").alias("n")).groupBy("tree", "head")
-    regions = regions.agg(F.sum("n").alias("n"), F.max(F.struct("n", "group")).alias("major"), F.count("*").alias("groups")).where("groups > 1")
-    regions = regions.select("tree", "head", F.col("n").alias("n_region"), F.col("major.group").alias("major"), F.col("major.n").alias("n_major"))
-    rows = rows.join(regions, ["tree", "head"]).selectExpr(
-        "*", f"int(ceil(n_major / {CELL})) AS majors", f"int(ceil((n_region - n_major) / {CELL})) AS minors"
-    )
+    regions = rows.groupBy("tree", "head", "group").agg(F.count("*").alias("n"), F.sum("length").alias("shingles")).groupBy("tree", "head")
+    major = F.max(F.struct("n", "shingles", "group")).alias("major")
+    regions = regions.agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), major, F.count("*").alias("groups")).where("groups > 1")
+
+    def parts(n: str, shingles: str) -> Column:
+        return F.expr(f"int(greatest(ceil(({n}) / {CELL}), ceil(({shingles}) / {CELL_SHINGLES})))")
+
+    regions = regions.select(
+        "tree", "head", F.col("major.group").alias("major"), parts("n", "shingles").alias("n_parts"),
+        parts("major.n", "major.shingles").alias("majors"), parts("n - major.n", "shingles - major.shingles").alias("minors"),
+    )
+    rows = rows.join(regions, ["tree", "head"])
     rows = rows.selectExpr("*", "int(pmod(xxhash64(node), IF(group = major, majors, minors))) AS part")
-    met = f"""CASE WHEN n_region <= {CELL} THEN array(struct(0 AS i, 0 AS j, -1 AS side))
+    met = """CASE WHEN n_parts <= 1 THEN array(struct(0 AS i, 0 AS j, -1 AS side))
         WHEN group = major THEN transform(sequence(0, minors - 1), j -> struct(part AS i, j AS j, 0 AS side))
         ELSE concat(transform(sequence(0, majors - 1), i -> struct(i AS i, part AS j, 1 AS side)),
             transform(sequence(0, minors - 1), k -> struct(majors + least(part, k) AS i, greatest(part, k) AS j, CASE WHEN k = part THEN -1 WHEN part < k THEN 0 ELSE 1 END AS side))) END"""
     rows = rows.select(*others, "tree", "head", F.explode(F.expr(met)).alias("met"))
-    rows = rows.select(*others, F.xxhash64("tree", "head", "met.i", "met.j").alias("cell"), F.col("met.side").alias("side"))
+    rows = rows.select(*others, "tree", F.xxhash64("tree", "head", "met.i", "met.j").alias("cell"), F.col("met.side").alias("side"))
     return rows.repartition("cell").sortWithinPartitions("cell")
 
 
 def _whole_cells(batches):
     """Sorted rows of a task in blocks that end with a cell."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(batch)
-        rows += batch.num_rows
-        if rows >= BLOCK:
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= BLOCK or size >= BLOCK_BYTES:
             table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             cell = table.column("cell").to_numpy()
             end = int(np.searchsorted(cell, cell[-1]))  # cells are sorted as numbers
             if end:
                 yield table.slice(0, end)
             held = [table.slice(end)]
-            rows = held[0].num_rows
+            rows, size = held[0].num_rows, held[0].nbytes
     if rows:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _met(batch: pa.RecordBatch, least: float, long_least: float | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(i, j) of all pairs of a cell in different groups that may be similar enough, by the short sketch and then by the long one if asked."""
+def prefixes(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Values that signatures a and b share from the start of each order, up to DEPTH."""
+    equal = values[a] == values[b]
+    starts = (np.arange(ORDERS)[:, None] * STEP + np.arange(DEPTH)) % VALUES
+    return np.cumprod(equal[:, starts], axis=2, dtype=np.int8).sum(axis=2)
+
+
+def _hits(batch: pa.RecordBatch, least: float, long_least: float | None = None, percent: int = 0):
+    """(i, j, common prefix, estimate) of pairs of a cell in different groups that may be similar enough, a few thousand at a time.
+
+    By sizes and the short sketch; with `long_least` also by the long sketch, and only in the order where the two share most values.
+    """
     cell, side = batch.column("cell").to_numpy(), batch.column("side").to_numpy()
     group = batch.column("group").dictionary_encode().indices.to_numpy()
-    few = _fixed(batch.column("few"), VALUES // 2, "u1")
-    sketch = None if long_least is None else _fixed(batch.column("sketch"), LONG, "u1")
+    few, length = _fixed(batch.column("few"), VALUES // 2, "u1"), batch.column("length").to_numpy()
+    if long_least is not None:
+        sketch, tree = _fixed(batch.column("sketch"), LONG, "u1"), batch.column("tree").to_numpy()
+        values = _fixed(batch.column("signature"), VALUES, ">u2").astype(np.uint16)
     end = np.searchsorted(cell, cell, side="right")
-    kept: list[list[np.ndarray]] = [[], []]
-
-    def weigh(i: np.ndarray, j: np.ndarray) -> None:
-        for at in range(0, len(i), 50_000):
-            a, b = i[at : at + 50_000], j[at : at + 50_000]
-            good = (_EQUAL[few[a] ^ few[b]].sum(1) / VALUES - 1 / 16) * 16 / 15 >= least
-            a, b = a[good], b[good]
-            if sketch is not None and len(a):
-                good = ((sketch[a] == sketch[b]).sum(1) / LONG - 1 / 256) * 256 / 255 >= long_least
-                a, b = a[good], b[good]
-            kept[0].append(a)
-            kept[1].append(b)
+
+    def weighed(a: np.ndarray, b: np.ndarray):
+        small, large = np.minimum(length[a], length[b]), np.maximum(length[a], length[b])
+        estimate = (_EQUAL[few[a] ^ few[b]].sum(1) / VALUES - 1 / 16) * 16 / 15
+        good = (estimate >= least) & (100 * small >= percent * large)
+        a, b, estimate = a[good], b[good], estimate[good]
+        if long_least is None:
+            return a, b, estimate, estimate
+        estimate = ((sketch[a] == sketch[b]).sum(1) / LONG - 1 / 256) * 256 / 255
+        good = estimate >= long_least
+        a, b, estimate = a[good], b[good], estimate[good]
+        shared = prefixes(values, a, b)
+        good = shared.argmax(axis=1) == tree[a]
+        return a[good], b[good], shared[good].max(axis=1, initial=0), estimate[good]
 
     rows, step, waiting, first, second = np.arange(len(cell)), 0, 0, [], []
     while len(rows):
@@ -288,47 +311,100 @@ def _met(batch: pa.RecordBatch, least: float, long_least: float | None = None) -
         first.append(told)
         second.append(told + step)
         waiting += len(told)
-        if waiting >= 50_000 or not len(rows):
-            weigh(np.concatenate(first), np.concatenate(second))
+        if waiting >= COMPARED or not len(rows):
+            i, j = np.concatenate(first), np.concatenate(second)
+            for at in range(0, len(i), COMPARED):
+                found = weighed(i[at : at + COMPARED], j[at : at + COMPARED])
+                if len(found[0]):
+                    yield found
             waiting, first, second = 0, [], []
-    return tuple(np.concatenate(k) if k else np.zeros(0, np.int64) for k in kept)
 
 
-def nodes_apart(nodes: DataFrame, least: float) -> DataFrame:
+def _marked(batch: pa.RecordBatch, *limits) -> pa.RecordBatch:
+    """The rows of a block that have a hit in their cell."""
+    mark = np.zeros(batch.num_rows, dtype=bool)
+    for i, j, *_ in _hits(batch, *limits):
+        mark[i] = mark[j] = True
+    return batch.filter(pa.array(mark))
+
+
+def nodes_apart(nodes: DataFrame, least: float, percent: int) -> DataFrame:
     """`node`: those with a candidate in another group (`group`), by the short sketch `few`."""
 
     def run(batches):
         for block in _whole_cells(batches):
-            i, j = _met(block, least)
-            if len(i):
-                yield pa.RecordBatch.from_arrays([block.column("node").take(pa.array(np.unique(np.concatenate([i, j]))))], ["node"])
+            found = _marked(block, least, None, percent).column("node").unique()
+            yield pa.RecordBatch.from_arrays([found], ["node"])
 
-    return cells(nodes).mapInArrow(run, "node binary").distinct()
+    return cells(nodes.select("node", "group", "signature", "few", "length")).mapInArrow(run, "node binary").distinct()
 
 
-def pairs_apart(nodes: DataFrame, least: float, long_least: float) -> DataFrame:
-    """`a, b`: every candidate pair whose nodes are in different groups (`group`, of `size` nodes); `a` is of the smaller group.
+def links_apart(nodes: DataFrame, texts: DataFrame, least: float, long_least: float, words: int, percent: int) -> DataFrame:
+    """`a, b`: confirmed links that join all groups which a confirmed pair of `nodes` joins.
 
-    Tasks give one row per node and block with all its partners, so a pair found in many orders is put together before it is a row.
+    Rows that have a candidate by the long sketch get their text, one row for each cell with such a candidate, and the cell confirms: pairs by
+    longest common prefix, then by estimate, unless they are joined by then. It gives at most one link fewer than it has rows.
     """
+    columns = ["node", "group", "signature", "few", "sketch", "length", "tree", "cell", "side"]
 
-    def run(batches):
+    def mark(batches):
         for block in _whole_cells(batches):
-            i, j = _met(block, least, long_least)
-            if not len(i):
-                continue
-            size, node = block.column("size").to_numpy(), np.array(block.column("node").to_pylist(), dtype=object)
-            swap = (size[i] > size[j]) | (size[i] == size[j]) & (node[i] > node[j])
-            a, b = np.where(swap, j, i), np.where(swap, i, j)
-            order = np.argsort(a, kind="stable")
-            a, b = a[order], b[order]
-            starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(a)), pa.int32()), block.column("node").take(pa.array(b)))
-            yield pa.RecordBatch.from_arrays([block.column("node").take(pa.array(a[starts])), lists], ["a", "partners"])
+            yield _marked(block, least, long_least, percent).select(columns)
 
-    found = cells(nodes).mapInArrow(run, "a binary, partners array<binary>")
-    partners = F.array_distinct(F.flatten(F.collect_list("partners")))
-    return found.groupBy("a").agg(partners.alias("partners")).select("a", F.explode("partners").alias("b"))
+    def confirm(batches):
+        hashes = WordHashes()
+        for block in _whole_cells(batches):
+            cell = block.column("cell").to_numpy()
+            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            for start, end in zip(starts, [*starts[1:], len(cell)]):
+                links = _links(block.slice(start, end - start), hashes, least, long_least, words, percent)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*links)], ["a", "b"])
+
+    rows = cells(nodes.select(*columns[:6]))
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
+    marked = materialise(rows.mapInArrow(mark, schema), "marked")
+    whole = marked.join(texts.select("node", "text"), "node").repartition("cell").sortWithinPartitions("cell")
+    return whole.mapInArrow(confirm, "a binary, b binary").distinct()
+
+
+def _links(block: pa.RecordBatch, hashes: WordHashes, least: float, long_least: float, words: int, percent: int) -> list[tuple]:
+    """Links of one cell: a tree over the groups that its confirmed pairs join."""
+    hits = list(_hits(block, least, long_least, percent))
+    if not hits:
+        return []
+    i, j, shared, estimate = (np.concatenate(c) for c in zip(*hits))
+    order = np.lexsort((-estimate, -shared))
+    group, node, text = block.column("group").dictionary_encode().indices.to_pylist(), block.column("node"), block.column("text")
+    root = list(range(max(group) + 1))
+    sets: dict[int, np.ndarray] = {}
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def of(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = shingle_set(text[k].as_py() or "", words, hashes)
+        return sets[k]
+
+    links = []
+    for a, b in zip(i[order].tolist(), j[order].tolist()):
+        x, y = top(group[a]), top(group[b])
+        if x != y:
+            both = len(np.intersect1d(of(a), of(b), assume_unique=True))
+            if 100 * both >= percent * (len(of(a)) + len(of(b)) - both):
+                root[max(x, y)] = min(x, y)
+                links.append((node[a].as_py(), node[b].as_py()))
+    return links
+
+
+def _both_texts(batch: pa.RecordBatch):
+    """Pieces bounded by both texts of their rows."""
+    for part in pieces_of(batch, "text_a"):
+        yield from pieces_of(part, "text_b")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -337,7 +413,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            for part in pieces_of(batch, "text_b"):
+            for part in _both_texts(batch):
                 sets: dict[bytes, np.ndarray] = {}
                 good = []
                 for a, b, s, t in zip(*(part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
@@ -375,7 +451,7 @@ def _decided(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id",
     least, long_least = threshold - 0.24, threshold - 0.082
     table = materialise(signatures(docs, words, id_col, text_col), "signatures")
     nodes = table.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
-    nodes = materialise(nodes.agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "nodes")
+    nodes = materialise(nodes.agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("length")), "nodes")
 
     partners = materialise(best_partners(nodes.drop("doc_id"), threshold, least), "partners")
     members = nodes.join(partners.select(F.col("a").alias("node")), "node", "left_semi")
@@ -390,14 +466,14 @@ def _decided(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id",
     for turn in range(MERGES):
         more = confirmed(best_apart(_grouped(members, groups), long_least), texts, words, percent)
         groups = components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))), f"groups-{turn}")
-    short = nodes.select("node", "signature", F.col("sketch").alias("few"))
-    apart = materialise(nodes_apart(_grouped(short, groups), least), "apart")
+    short = nodes.select("node", "signature", F.col("sketch").alias("few"), "length")
+    apart = materialise(nodes_apart(_grouped(short, groups), least, percent), "apart")
     late = materialise(nodes.join(apart, "node").join(members, "node", "left_anti").select("doc_id", "node"), "late")
     if not late.isEmpty():  # their likely partners were hidden in crowded regions
         more_texts = texts_of(docs, id_col, text_col).join(late, "doc_id").select("node", "text")
         texts = texts.unionByName(materialise(of_their_node(more_texts, words).dropDuplicates(["node"]), "late-texts"))
     last = short.join(apart, "node").join(texts.select("node", "sketch"), "node")
-    rest = confirmed(pairs_apart(_grouped(last, groups), least, long_least), texts, words, percent)
+    rest = links_apart(_grouped(last, groups), texts, least, long_least, words, percent)
     stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = components(rest.unionByName(stars), "groups")
 
@@ -417,9 +493,8 @@ def _decided(docs: DataFrame, words: int, percent: int, id_col: str = "doc_id",
 
 
 def _grouped(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """The nodes with their group so far and its size; a node without a link is a group."""
-    grouped = members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    return grouped.join(grouped.groupBy("group").agg(F.count("*").alias("size")), "group")
+    """The nodes with their group so far; a node without a link is a group."""
+    return members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
 
 
 def of_their_node(texts: DataFrame, words: int) -> DataFrame:

@@ -104,16 +104,38 @@ def test_cells_hold_every_pair_of_different_groups(spark, monkeypatch):
     draw = random.Random(6)
     group = {i: draw.choice([0, 0, 0, 1, 2, 30 + i]) for i in range(60)}
     signature = bytes(2 * minhash.VALUES)
-    rows = [(bytes([i]), bytes([g]), signature, bytes(minhash.VALUES // 2)) for i, g in group.items()]
-    dealt = minhash.cells(spark.createDataFrame(rows, "node binary, group binary, signature binary, few binary"))
+    rows = [(bytes([i]), bytes([g]), signature, bytes(minhash.VALUES // 2), 9) for i, g in group.items()]
+    dealt = minhash.cells(spark.createDataFrame(rows, "node binary, group binary, signature binary, few binary, length long"))
     frame = pa.Table.from_pandas(dealt.toPandas().sort_values("cell"), preserve_index=False).to_batches()[0]
-    i, j = minhash._met(frame, 0.8)
     node = frame.column("node").to_pylist()
-    found = [frozenset((node[a][0], node[b][0])) for a, b in zip(i, j)]
+    found = [frozenset((node[a][0], node[b][0])) for i, j, *_ in minhash._hits(frame, 0.8) for a, b in zip(i, j)]
     expected = {frozenset((a, b)) for a in group for b in group if group[a] != group[b]}
     assert set(found) == expected and len(found) == minhash.ORDERS * len(expected)
 
 
+def test_pairs_belong_to_the_order_of_their_longest_prefix():
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 2, (40, minhash.VALUES)).astype(np.uint16)
+    a, b = np.triu_indices(40, 1)
+    shared = minhash.prefixes(values, a, b)
+    for k in range(0, len(a), 37):
+        for t in range(minhash.ORDERS):
+            n = 0
+            while n < minhash.DEPTH and values[a[k], (t * minhash.STEP + n) % minhash.VALUES] == values[b[k], (t * minhash.STEP + n) % minhash.VALUES]:
+                n += 1
+            assert shared[k, t] == n
+
+
+def test_texts_of_one_template_make_no_pairs(spark):
+    """Many texts of similarity 0.75 to each other: all are candidates, none are linked, and a true copy among them is found."""
+    base = [f"b{i}" for i in range(120)]
+    texts = [base + [f"u{i}x{k}" for k in range(20)] for i in range(400)]
+    texts += [texts[7][:-4] + ["z"] * 1]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: 7 if i == 400 else i for i in range(401)}
+
+
 def test_repeated_ids_are_kept_row_by_row(spark):
     draw = random.Random(8)
     one, two, three, four = (" ".join(f"{k}w{draw.randrange(10**6)}" for _ in range(60)) for k in "abcd")
