@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,14 @@ def pieces_of(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BY
         yield batch.slice(int(start), int(end - start))
 
 
+def text_slices(texts: pd.Series, limit: int = SLICE_BYTES) -> Iterator[list[str | None]]:
+    """The texts of a pandas function's batch in lists of about `limit` characters, at least one text each."""
+    ends = texts.str.len().fillna(0).cumsum().to_numpy() // limit
+    cuts = np.flatnonzero(np.diff(ends)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(texts)]):
+        yield texts.iloc[start:end].tolist()
+
+
 def held_out(id_col: str, modulus: int, remainder: int):
     """Rows that learning must not see: crc32 of the id as text, modulo `modulus`, is `remainder`. A NULL id is held out."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus == remainder, F.lit(True))

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, texts_of
+from .common import pieces_of, text_slices, texts_of
 from .labelled import calibrated, fit_isotonic, labelled_sample
 
 # Insults and second-person words that need no labels to be known.
@@ -236,11 +236,17 @@ def score(docs: DataFrame, model: dict, threshold: float = 0.3, id_col: str = "d
 
 
 def keep_clean(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, with all their columns. Scored in place: no join, no shuffle."""
+    """The rows of `docs` that are not predicted toxic, with all their columns. Scored in place: no join, no shuffle.
+
+    Every row is decided by its own text: a NULL or empty one scores as one without words, repeated rows stay or go together, and an
+    empty table gives an empty one.
+    """
 
     def predicted(texts: pd.Series) -> pd.Series:
-        weights = Weights(model["weights"])
-        x = np.array([features(t or "", weights) for t in texts], dtype=float).reshape(-1, FEATURES)
-        return pd.Series(calibrated(model["trees"].raw(x), model["knots"]) >= threshold)
+        weights, found = Weights(model["weights"]), []
+        for part in text_slices(texts) if len(texts) else ():
+            x = np.array([features(t or "", weights) for t in part], dtype=float).reshape(-1, FEATURES)
+            found.append(calibrated(model["trees"].raw(x), model["knots"]) >= threshold)
+        return pd.Series(np.concatenate(found) if found else np.zeros(0, dtype=bool))
 
     return docs.where(~F.pandas_udf(predicted, "boolean")(F.col("text")))
