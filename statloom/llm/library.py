@@ -9,13 +9,14 @@ import sys
 from array import array
 from pathlib import Path
 
+import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .units import SIGNS, UnitCache, remembered
+from .units import UnitCache, remembered
 
-LITTLE = sys.byteorder == "little"
+WORDS = 10_000  # words given to the model at once
 
 
 def vocabulary_file(path: str) -> dict:
@@ -28,6 +29,10 @@ def vocabulary_file(path: str) -> dict:
         found["special"] = [t["content"] for t in added]
         plain = stated.get("normalizer") is None and stated.get("post_processor") is None
         plain = plain and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        vocabulary = stated["model"]["vocab"]
+        opens = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        opens[[i for t, i in vocabulary.items() if t.startswith(byte_letters()[32])]] = True
+        found["opens"] = opens
         found["cuts"] = plain and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in added)
     return found
 
@@ -73,8 +78,8 @@ class Library:
         self.model = self.kept["model"]
         self.word = self.model.model.tokenize if self.cuts else None
         self.letters = byte_letters()
-        self.signs = self.kept.setdefault("signs", {})
-        self.break_ = self.whole("\n") if self.cuts else b""
+        self.opens = shared.get("opens")
+        self.words = Tokenizer(self.model.model) if self.cuts else None  # the same model without the steps before it
 
     def _tokens(self, unit: str):
         """The model's tokens of a unit that is one match of common letters; None if it isn't."""
@@ -110,45 +115,43 @@ class Library:
         cut, whole = iter(cut), iter(whole)
         return [next(whole) if s else join(next(cut)) for s in special]
 
-    def _word(self, word: str, space: str = "") -> bytes:
-        """Ids of a word of common letters, one match with the space before it."""
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.word(space + word)]).tobytes() if LITTLE else _bytes([t.id for t in self.word(space + word)])
-
     def whole(self, text: str) -> bytes:
         """Ids of a text through all the library's steps, as little-endian unsigned 32-bit integers."""
         return _bytes(self._whole([text])[0])
 
-    def head(self, unit: str) -> bytes:
-        """Ids of a text's first unit."""
-        if unit.isalpha() and max(unit) < "\u0530":
-            return self._word(unit)
-        lines = self._lines(unit)
-        return self.break_.join(map(self.head, lines)) if lines else self.whole(unit)
-
-    def tail(self, unit: str) -> bytes:
-        """Ids of a unit behind a space. Signs after letters are a match of their own."""
-        if unit.isalpha() and max(unit) < "\u0530":
-            return self._word(unit, self.letters[32])
-        letters = unit.rstrip(SIGNS)
-        if letters != unit and letters.isalpha() and max(letters) < "\u0530":
-            return self._word(letters, self.letters[32]) + self._sign(unit[len(letters) :])
-        lines = self._lines(unit)
-        return self.break_.join([self.tail(lines[0]), *map(self.head, lines[1:])]) if lines else self.whole(f" {unit}")
-
-    def _sign(self, signs: str) -> bytes:
-        if signs not in self.signs:
-            if len(self.signs) > 10_000:
-                self.signs.clear()
-            self.signs[signs] = self.whole(signs)
-        return self.signs[signs]
-
-    @staticmethod
-    def _lines(unit: str) -> list[str] | None:
-        """The lines of a unit if each break stands alone between other characters: then it is a match of its own, and so are they."""
-        lines = unit.split("\n")
-        return lines if len(lines) > 1 and unit.split() == lines else None
+    def unit_ids(self, units: list[bytes], spaced: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after another, and the number of each. Words of common letters are one match each and go to
+        the library's model together, written in its letters; anything else goes through all its steps."""
+        words, places, parts, owners = [], [], [], []
+
+        def put(i: int, ids: np.ndarray) -> None:
+            parts.append(ids)
+            owners.append(np.full(len(ids), i))
+
+        for i, (unit, after) in enumerate(zip(units, spaced)):
+            if unit.isalpha():  # bytes: ASCII letters
+                word = unit.decode()
+            else:
+                text = unit.decode()
+                if not text.isalpha() or max(text) >= "\u0530":
+                    put(i, np.frombuffer(self.whole(f" {text}" if after else text), "<u4"))
+                    continue
+                word = unit.decode("latin-1").translate(self.letters)
+            if after:
+                words.append(self.letters[32] + word)
+                places.append(i)
+            else:
+                put(i, np.array([t.id for t in self.word(word)], np.uint32))
+        for at in range(0, len(words), WORDS):
+            found = self.words.encode_batch_fast([words[at : at + WORDS]], is_pretokenized=True, add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype=np.uint32)
+            parts.append(ids)  # a word's first token, and no other, begins with the space
+            owners.append(np.array(places[at : at + WORDS])[np.cumsum(self.opens[ids]) - 1])
+        if not parts:
+            return np.zeros(0, np.uint32), np.zeros(len(units), np.int64)
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(parts)[order], np.bincount(owner, minlength=len(units))
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Number of ids of each text; the ids are never put together."""

@@ -1,18 +1,22 @@
 """Ids of whole columns of text by remembered units, on arrays.
 
-Texts are cut as in `units`, but on their bytes: unit starts, hashes and look-ups are array operations, and a unit's ids are copied from a
-pool. Only a unit not met before becomes a string and goes to the library. Two units share a 64-bit hash with a chance of 2 ** -64 a pair.
+Texts are cut on their bytes: unit starts, hashes and look-ups are array operations, and a unit's ids are copied from a pool. Only units not
+met before become strings and go to the library, words of one batch together. Cuts lie where the tokenizer certainly starts a new match: at a
+space before anything but white space, around a line break between other characters, and between a letter or digit and signs
+that end a unit. Two units share a 64-bit hash with a chance of 2 ** -64 a pair.
 """
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 
 from .library import Library
 
-UNITS, POOL = 1 << 21, 1 << 24  # remembered units, and their ids; beyond either, all are forgotten
+UNITS, POOL = 1 << 20, 1 << 24  # remembered units, and their ids; beyond either, all are forgotten
 LONG = 256  # bytes of a unit that is hashed as a whole
 _FACTOR, _HEAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
@@ -20,6 +24,10 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 _LEADS = np.zeros(256, dtype=bool)  # first bytes of white space beyond ASCII
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_SIGN = np.zeros(256, dtype=bool)
+_SIGN[[ord(c) for c in string.punctuation]] = True
+_WORD = np.zeros(256, dtype=bool)
+_WORD[[ord(c) for c in string.ascii_letters + string.digits]] = True
 _WIDE = np.array(sorted(int.from_bytes(c.encode(), "big") for c in "                　"))
 
 
@@ -53,10 +61,9 @@ class UnitTable:
             self.keys[at[placed]] = keys[placed]
             keys, entries, at = keys[~placed], entries[~placed], (at[~placed] + 1) & (len(self.keys) - 1)
 
-    def add(self, keys: np.ndarray, found: list[bytes]) -> np.ndarray:
-        """Remember distinct new keys with their ids (little-endian, 32 bits); returns their entries."""
-        counts = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
-        ids, first, n = np.frombuffer(b"".join(found), "<u4"), self.size, len(keys)
+    def add(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Remember distinct new keys with their ids, one after another; returns their entries."""
+        first, n = self.size, len(keys)
         while self.size + n > len(self.start):
             self.start, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.count))
         while self.used + len(ids) > len(self.pool):
@@ -78,40 +85,67 @@ class UnitTable:
         return entries
 
 
-def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every unit of the texts `data[offsets[i]:offsets[i + 1]]`, in order, and the place of each text's first unit.
-
-    A space that is followed by a character other than white space ends a unit and belongs to the next one.
-    """
+def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every unit of the texts `data[offsets[i]:offsets[i + 1]]`, in order, whether a space precedes it that belongs to it,
+    and the place of each text's first unit."""
     n = len(data)
     first = np.zeros(n + 1, dtype=bool)
     first[offsets[:-1]] = True
     space = np.flatnonzero(data[:-1] == 32) if n else np.zeros(0, np.int64)
-    after = data[space + 1]
-    ends = ~_BLANK[after] & ~first[space + 1]
-    wide = np.flatnonzero(ends & _LEADS[after])
+    tails = space[_solid(data, space + 1) & ~first[space + 1]] + 1
+    breaks = np.flatnonzero(data[1:-1] == 10) + 1 if n > 2 else np.zeros(0, np.int64)
+    breaks = breaks[~_BLANK[data[breaks - 1]] & ~first[breaks] & ~first[breaks + 1]]
+    breaks = breaks[_solid(data, breaks + 1) & _plain_end(data, breaks)]
+    start = np.concatenate([offsets[:-1], tails, breaks, breaks + 1])
+    kind = np.repeat(np.array([0, 1, 2, 2], np.int8), [len(offsets) - 1, len(tails), len(breaks), len(breaks)])
+    order = np.argsort(start, kind="stable")
+    start, kind = start[order], kind[order]
+    end = np.append(start[1:] - (kind[1:] == 1), n)
+
+    # signs at the end of a unit
+    cut, live = end.copy(), np.flatnonzero(end > start)
+    while len(live):
+        live = live[(cut[live] > start[live]) & _SIGN[data[cut[live] - 1]]]
+        cut[live] -= 1
+    split = np.flatnonzero((cut < end) & (cut > start))
+    split = split[_ends_word(data, start[split], cut[split])]
+    start, end = np.insert(start, split + 1, cut[split]), np.insert(end, split, cut[split])
+    kind = np.insert(kind, split + 1, np.int8(2))
+    return start, end, kind == 1, np.flatnonzero(kind == 0)
+
+
+def _solid(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character at each place is certainly no white space."""
+    out = ~_BLANK[data[at]]
+    wide = np.flatnonzero(out & _LEADS[data[at]])
     if len(wide):
-        at = space[wide] + 1
+        n, at = len(data), at[wide]
         one, two, three = data[at].astype(np.int64), data[np.minimum(at + 1, n - 1)].astype(np.int64), data[np.minimum(at + 2, n - 1)].astype(np.int64)
         blank = (one == 0xC2) & ((two == 0x85) | (two == 0xA0))
-        ends[wide] = ~(blank | np.isin(one << 16 | two << 8 | three, _WIDE))
-    tails = space[ends] + 1
-    heads = np.arange(len(offsets) - 1) + np.searchsorted(tails, offsets[:-1], "left")
-    start = np.empty(len(heads) + len(tails), dtype=np.int64)
-    is_tail = np.ones(len(start), dtype=bool)
-    is_tail[heads] = False
-    start[heads], start[is_tail] = offsets[:-1], tails
-    end = np.append(start[1:] - is_tail[1:], n)
-    return start, end, heads
-
-
-def unit_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """64-bit hashes of units, those of first units apart from those of others."""
+        out[wide] = ~(blank | np.isin(one << 16 | two << 8 | three, _WIDE))
+    return out
+
+
+def _plain_end(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each place is ASCII or a Latin letter of two bytes, so certainly no white space beyond ASCII."""
+    before, lead = data[at - 1], data[np.maximum(at - 2, 0)]
+    return (before < 128) | (lead >= 0xC3) & (lead <= 0xC5)
+
+
+def _ends_word(data: np.ndarray, start: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each place is a letter or digit of ASCII or a Latin letter of two bytes."""
+    before, lead = data[at - 1], data[np.maximum(at - 2, 0)]
+    latin = (at - 2 >= start) & (before >= 128) & (((lead == 0xC3) & (before != 0x97) & (before != 0xB7)) | (lead == 0xC4) | (lead == 0xC5))
+    return _WORD[before] | latin
+
+
+def unit_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> np.ndarray:
+    """64-bit hashes of units, those with a space before them apart from those without."""
     size = end - start
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     words = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))  # eight bytes from any place
     out = size.astype(np.uint64) * _FACTOR
-    out[heads] ^= _HEAD
+    out[~spaced] ^= _HEAD
     live, done = np.flatnonzero(size <= LONG), 0
     while len(live):
         rest = size[live] - done
@@ -163,21 +197,15 @@ class UnitIds:
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         bytes_ = texts.buffers()[2]
         data = np.frombuffer(bytes_, np.uint8)[offsets[0] : offsets[-1]] if bytes_ is not None else np.zeros(0, np.uint8)
-        start, end, heads = unit_bounds(data, offsets - offsets[0])
-        keys, table = unit_hashes(data, start, end, heads), self._table()
+        start, end, spaced, heads = unit_bounds(data, offsets - offsets[0])
+        keys, table = unit_hashes(data, start, end, spaced), self._table()
         entry = table.find(keys)
         new = np.flatnonzero(entry < 0)
         if len(new):
             distinct, at, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
-            at = new[at]
-            is_head = np.zeros(len(start), dtype=bool)
-            is_head[heads] = True
-            raw = data.tobytes()
-            found = [
-                (self.library.head if h else self.library.tail)(raw[a:b].decode())
-                for a, b, h in zip(start[at].tolist(), end[at].tolist(), is_head[at].tolist())
-            ]
-            entry[new] = table.add(distinct, found)[inverse]
+            at, raw = new[at], data.tobytes()
+            found = self.library.unit_ids([raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())], spaced[at].tolist())
+            entry[new] = table.add(distinct, *found)[inverse]
         counts = table.count[entry].astype(np.int64)
         ends = np.cumsum(counts)
         places = np.repeat(table.start[entry] - (ends - counts), counts) + np.arange(ends[-1])

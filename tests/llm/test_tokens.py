@@ -84,14 +84,15 @@ def test_units_are_forgotten_and_found_again(monkeypatch):
         assert counts.sum() == len(flat) and len(counts) == len(some) and not counts[-2:].any()
 
 
-def test_units_of_bytes_equal_units_of_text():
-    some = [*texts(), "", " a", "a ", "  ", " ", "a　b", "a  b", "é ü"]
+def test_units_of_bytes_put_together_give_the_text():
+    some = [*texts(), "", " a", "a ", "  ", " ", "a　b", "a  b", "é ü", "one.\nTwo", "a\n\nb", "a\n", "\nb", "x,.", "...", "é, ×, 7."]
     column = pa.array(some)
     data, offsets = np.frombuffer(column.buffers()[2], np.uint8), np.frombuffer(column.buffers()[1], np.int32).astype(np.int64)
-    start, end, heads = unit_ids.unit_bounds(data, offsets)
-    found = [data[a:b].tobytes().decode() for a, b in zip(start, end)]
-    assert found == [u for t in some for u in units(t)]
-    assert heads.tolist() == np.cumsum([0, *(len(units(t)) for t in some)])[:-1].tolist()
+    start, end, spaced, heads = unit_ids.unit_bounds(data, offsets)
+    pieces = [(" " if s else "") + data[a:b].tobytes().decode() for a, b, s in zip(start, end, spaced)]
+    assert ["".join(pieces[a:b]) for a, b in zip(heads, [*heads[1:], len(pieces)])] == some
+    last = pieces[heads[some.index("one.\nTwo")] : heads[some.index("a\n\nb")]]
+    assert last == ["one", ".", "\n", "Two"]
 
 
 def test_odd_rows_round_trip(odd, none, reference):
