@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import explore, regression
 from ..sources import grid
 from ..sources.tables import load
@@ -44,6 +46,30 @@ def _(spark, d):
     return explore.scatter_points(rows, "c_custkey", "c_mktsegment", 50)
 
 
+MANY_CATEGORIES = """select case when l_linenumber <= 4 then 'most'
+  else cast(l_orderkey as varchar) || '/' || cast(l_linenumber as varchar) || '/' || cast(l_suppkey as varchar) end as c, l_extendedprice from lineitem"""
+
+
+@query("box_plot_many_categories", box_sql(MANY_CATEGORIES, "c", "l_extendedprice"))
+def _(spark, d):
+    """Tens of thousands of categories, one of which holds most rows."""
+    rows = load(spark, d, "lineitem").select("l_linenumber", "l_orderkey", "l_suppkey", "l_extendedprice")
+    own = F.concat_ws("/", "l_orderkey", "l_linenumber", "l_suppkey")
+    return rounded(explore.box_plot(rows.withColumn("c", F.when(F.col("l_linenumber") <= 4, "most").otherwise(own)), "c", "l_extendedprice"))
+
+
+@query(
+    "scatter_points_many_categories",
+    f"""select event_id, c, value from (select event_id, value, case when event_id % 3 = 0 then 'most' when event_id % 20011 <> 1 then cast(event_id % 20011 as varchar) end as c from events)
+        qualify row_number() over (partition by c order by {o.h52('event_id', 42)}) <= 2""",
+)
+def _(spark, d):
+    key = F.col("event_id")
+    c = F.when(key % 3 == 0, "most").when(key % 20011 != 1, (key % 20011).cast("string"))
+    rows = load(spark, d, "events").select("event_id", c.alias("c"), "value")
+    return explore.scatter_points(rows, "event_id", "c", 2)
+
+
 @query(
     "axis_range",
     f"select {o.rnd('min(y) - 500e0')} as low, {o.rnd('max(y) + 1000e0')} as high from ({sample_sql('education_1d')})",

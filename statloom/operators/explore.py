@@ -6,25 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash52
-from ..plans.order_stats import TooManyGroups, order_statistics, quantiles
+from ..plans.group_order import group_order_statistics, group_quantiles
+from ..plans.order_stats import quantiles
 
 PROFILE_SCHEMA = (
     "column string, n bigint, missing bigint, mean double, sd double, low double, high double, "
     "q1 double, median double, q3 double"
 )
-BOX_SCHEMA = "category string, q1 double, median double, q3 double"
 
 
 def quartiles(df: DataFrame, category: str, value: str) -> DataFrame:
-    """Exact quartiles per category."""
-    probabilities = [0.25, 0.5, 0.75]
-    try:
-        _, found = quantiles(df, F.col(value), probabilities, F.col(category).cast("string"))
-    except TooManyGroups:  # then each is small enough for the exact aggregate
-        p = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(x) for x in probabilities]))
-        q = df.groupBy(F.col(category).cast("string").alias("category")).agg(p.alias("p"))
-        return q.select("category", *[F.col("p")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
-    return df.sparkSession.createDataFrame([(g, *q) for g, q in found.items()], BOX_SCHEMA)
+    """Exact quartiles per category, however many there are and however large one of them is."""
+    found = group_quantiles(df, F.col(value), F.col(category).cast("string"), [0.25, 0.5, 0.75])
+    return found.select(F.col("g").alias("category"), *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
 
 
 def box_plot(df: DataFrame, category: str, value: str) -> DataFrame:
@@ -47,19 +41,14 @@ def box_plot(df: DataFrame, category: str, value: str) -> DataFrame:
 def scatter_points(df: DataFrame, id_col: str, category: str, n: int, seed=42) -> DataFrame:
     """The n rows of smallest hash per category.
 
-    The n-th hash of each category is found first; picking the rows is then a filter, so a
+    The n-th hash of each category is found first; picking the rows is then a join with one row per category and a filter, so a
     category that holds most rows is not gathered or sorted.
     """
     hashed = df.withColumn("__hash", hash52(id_col, seed))
-    sizes, found = order_statistics(
-        hashed, F.col("__hash"), lambda _g, size: [min(n, size)], F.col(category)
-    )
-    cuts = [(g, found[g][min(n, size)].value) for g, size in sizes.items()]
-    kind = df.schema[category].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(cuts, f"__category {kind}, __cut bigint")
-    # at most MAX_GROUPS rows
-    joined = hashed.join(F.broadcast(table), F.col(category).eqNullSafe(F.col("__category")))
-    return joined.where(F.col("__hash") <= F.col("__cut")).drop("__hash", "__category", "__cut")
+    last = group_order_statistics(hashed, F.col("__hash"), F.col(f"`{category}`"), lambda size: F.array(F.least(F.lit(n), size)))
+    cuts = last.select(F.col("g").alias("__category"), F.col("v").alias("__cut"))
+    joined = hashed.join(cuts, F.col(f"`{category}`").eqNullSafe(F.col("__category")) & (F.col("__hash") <= F.col("__cut")))
+    return joined.drop("__hash", "__category", "__cut")
 
 
 def axis_range(df: DataFrame, value: str, below: float, above: float) -> DataFrame:

@@ -11,10 +11,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import HASH_SPAN, hash52
 from ..plans.order_stats import order_statistics
-from ..session import materialise
 
 BUCKET_ROWS = 500_000
 
@@ -145,34 +145,71 @@ def mini_batches(df: DataFrame, id_col: str, size: int, seed, shuffle: bool = Tr
 
 
 def id_rank(df: DataFrame, id_col: str, name: str = "rank") -> DataFrame:
-    """Exact 1-based position in id order.
+    """Exact 1-based position in id order, a NULL id first.
 
-    Range partitions come from sampling, so they are written once before they are counted; a
-    repeated task can then not place a row elsewhere.
+    Cuts between buckets are exact order statistics of the id, so a row's bucket is a function of its id and nothing need be written.
     """
-    buckets = max(1, math.ceil(df.count() / BUCKET_ROWS))
-    ranged = df.repartitionByRange(buckets, id_col).withColumn("__bucket", F.spark_partition_id().cast("bigint"))
-    return _rank_in_buckets(materialise(ranged, "ranged"), [id_col], name)
-
-
-def _rank_in_buckets(df: DataFrame, order: list, name: str) -> DataFrame:
-    """Offset of the bucket plus the place inside it, for buckets that follow each other."""
-    offsets, running = [], 0
-    for b, n in sorted(df.groupBy("__bucket").count().collect()):
-        offsets.append((b, running))
-        running += n
-    table = df.sparkSession.createDataFrame(offsets, "__bucket bigint, __offset bigint")
-    # one row per half million input rows
-    side = F.broadcast(table) if len(offsets) <= 1_000_000 else table
-    place = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
+    if not isinstance(df.schema[id_col].dataType, T.NumericType):
+        raise TypeError(f"{id_col} is not a number")
+    rows = df.select(id_col)
+    n = rows.where(F.col(f"`{id_col}`").isNotNull()).count()
+    buckets = max(1, math.ceil(n / BUCKET_ROWS))
+    ranks = sorted({i * n // buckets for i in range(1, buckets)} - {0})
+    cuts = []
+    if ranks:
+        _, found = order_statistics(rows, F.col(f"`{id_col}`"), lambda _g, _n: ranks)
+        cuts = sorted({found[0][r].value for r in ranks})
+    return _rank_in_buckets(df.withColumn("__bucket", _bucket_of(F.col(f"`{id_col}`"), cuts)), [id_col], name)
+
+
+def _bucket_of(value: Column, cuts: list) -> Column:
+    """Number of cuts below a value, by bisection of a sorted array: few steps also for very many cuts."""
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    table, low, high = F.array(*[F.lit(c) for c in cuts]), F.lit(0), F.lit(len(cuts))
+    bounds = F.struct(low.alias("low"), high.alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
+
+    def halved(acc: Column, _step: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        above = (acc["low"] < acc["high"]) & (F.get(table, middle) < value)
+        return F.struct(
+            F.when(above, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when((acc["low"] < acc["high"]) & ~above, middle).otherwise(acc["high"]).alias("high"),
+        )
+
+    return F.coalesce(F.aggregate(steps, bounds, halved)["low"].cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def _rank_in_buckets(df: DataFrame, order: list, name: str, groups: tuple[str, ...] = ()) -> DataFrame:
+    """Rows before the bucket plus the place inside it, for buckets that follow each other, in each group for itself."""
+    keys = [*groups, "__bucket"]
+    earlier = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = df.groupBy(*keys).count()  # one row per half million input rows
+    offsets = sizes.select(*keys, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__offset"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
         df.withColumn("__place", place)
-        .join(side, "__bucket")
+        .join(offsets, keys)
         .withColumn(name, (F.col("__offset") + F.col("__place")).cast("bigint"))
         .drop("__bucket", "__offset", "__place")
     )
 
 
+def shuffle_positions(df: DataFrame, id_col: str, seed, epochs: list[int]) -> DataFrame:
+    """Every row once per epoch with its `epoch` and its 0-based `position` in that epoch's order, all epochs in one pass.
+
+    The order is that of a hash, whose leading bits name buckets of bounded size: the counts of earlier buckets and the place inside the own
+    one give the position, whatever the partitioning.
+    """
+    buckets = max(1, math.ceil(df.count() / BUCKET_ROWS))
+    each = df.withColumn("epoch", F.explode(F.array(*[F.lit(int(e)) for e in epochs])))
+    hashed = each.withColumn("__hash", hash52(id_col, F.concat(F.lit(f"{seed}/"), F.col("epoch").cast("string"))))
+    hashed = hashed.withColumn("__bucket", F.floor(F.col("__hash") / F.lit(HASH_SPAN / buckets)))
+    ranked = _rank_in_buckets(hashed, ["__hash", id_col], "position", ("epoch",))
+    return ranked.withColumn("position", F.col("position") - 1).drop("__hash")
+
+
 def shuffle_in_partitions(df: DataFrame, id_col: str, seed, epoch: int) -> DataFrame:
     """Another row order per epoch inside every partition, without moving rows."""
     return df.sortWithinPartitions(hash52(id_col, f"{seed}/{epoch}"), id_col)
