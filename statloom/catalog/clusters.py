@@ -66,9 +66,20 @@ def _(spark, d):
     return rounded(kmeans.elbow(scaled_blobs(spark, d), "id", ["x1", "x2"], [1]), 4)
 
 
-@query("elbow_table")
+STEPS = 60
+
+
+def _kmeans_sql(points: str, width: int, ks: list[int], starts: int) -> str:
+    return o.kmeans(points, width, ks, starts, 42, STEPS, kmeans.ROUNDS, kmeans.DRAWN)
+
+
+@query(
+    "elbow_table",
+    f"""with {_kmeans_sql(f"select id, x1, x2 from ({SCALED_SQL})", 2, list(range(1, 11)), 10)}
+        select k, {o.rnd('inertia')} as wcss, not moved as converged from best_ join moved_ using (k, s)""",
+)
 def _(spark, d):
-    return rounded(kmeans.elbow(scaled_blobs(spark, d), "id", ["x1", "x2"], list(range(1, 11))))
+    return rounded(kmeans.elbow(scaled_blobs(spark, d), "id", ["x1", "x2"], list(range(1, 11)), max_iter=STEPS, tol=0.0))
 
 
 LABEL_MEANS = "select label as c, pos, avg(embedding[pos]) as m from embeddings, range(1, 65) t(pos) group by all"
@@ -111,14 +122,41 @@ def _(spark, d):
     return rounded(kmeans.update_centers(assigned, ["x1", "x2"]))
 
 
-@query("kmeans_embeddings")
+EMBEDDING_COLUMNS = ", ".join(f"cast(embedding[{i}] as double) as x{i}" for i in range(1, 65))
+
+
+@query(
+    "kmeans_embeddings",
+    f"""with {_kmeans_sql(f"select vec_id as id, {EMBEDDING_COLUMNS} from embeddings", 64, [10], 3)},
+        named as (select c, cast(row_number() over (order by {', '.join(f'x{i}' for i in range(1, 65))}) - 1 as integer) as cluster from fit_ join best_ using (s, k))
+        select cluster, label, count(*) as n from near_ join named using (c) join embeddings on vec_id = id group by all""",
+)
 def _(spark, d):
     rows = load(spark, d, "embeddings")
-    fit = kmeans.fit_kmeans(rows, "vec_id", "embedding", 10, n_init=3, seed=42)
+    fit = kmeans.fit_kmeans(rows, "vec_id", "embedding", 10, n_init=3, seed=42, max_iter=STEPS, tol=0.0)
     assigned = kmeans.assign(rows.select("vec_id", "label", "embedding"), "embedding", fit.centers)
     return assigned.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+WITH_GAPS = "case when c_custkey % 7 = 0 then null else c_acctbal end as a, case when c_custkey % 11 = 0 then 'nan'::double else cast(c_nationkey as double) end as b"
+
+
+@query(
+    "nearest_centroid_with_gaps",
+    f"""select c_custkey, case when whole then cast(if(d0 <= d1, 0, 1) as integer) end as cluster, case when whole then {o.rnd('least(d0, d1)')} end as d2
+        from (select c_custkey, a is not null and not isnan(b) as whole, pow(a - 1000e0, 2) + pow(b - 5e0, 2) as d0, pow(a - 7000e0, 2) + pow(b - 15e0, 2) as d1
+              from (select c_custkey, {WITH_GAPS} from customer))""",
+)
+def _(spark, d):
+    rows = load(spark, d, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("a"),
+        F.when(F.col("c_custkey") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("c_nationkey").cast("double")).alias("b"),
+    )
+    found = kmeans.assign(rows, ["a", "b"], np.array([[1000.0, 5.0], [7000.0, 15.0]]))
+    return rounded(found.select("c_custkey", "cluster", "d2"))
+
+
 # ---- agglomerative -------------------------------------------------------------------------
 
 CONDENSE = 500  # leaves kept when a table has more distinct points than an exact tree allows

@@ -227,6 +227,16 @@ def _(spark, d):
     return load(spark, d, "embeddings").select("vec_id", argmax(F.col("embedding")).alias("best"))
 
 
+@query(
+    "argmax_class_with_gaps",
+    """select vec_id, case when vec_id % 5 > 1 then cast(list_position(embedding, list_max(embedding)) - 1 as integer) end as best from embeddings""",
+)
+def _(spark, d):
+    """A vector with a NaN and one with a NULL component have no class."""
+    scores = F.transform("embedding", lambda v, i: F.when((F.col("vec_id") % 5 == 0) & (i == 3), F.lit(float("nan"))).when((F.col("vec_id") % 5 != 1) | (i != 60), v))
+    return load(spark, d, "embeddings").select("vec_id", argmax(scores).alias("best"))
+
+
 @query("threshold_class", "select event_id, case when value >= 0.5e0 then 1 else 0 end as predicted from events")
 def _(spark, d):
     return load(spark, d, "events").select("event_id", threshold(F.col("value")).alias("predicted"))
@@ -251,6 +261,15 @@ def _(spark, d):
     return reshape.stack_rows(epochs)
 
 
+@query(
+    "shuffle_positions",
+    f"""select c_custkey, cast(e as integer) as epoch, row_number() over (partition by e order by {o.h52_col('c_custkey', "'42/' || cast(e as varchar)")}, c_custkey) - 1 as position
+        from customer, range(1, 4) t(e)""",
+)
+def _(spark, d):
+    return split.shuffle_positions(load(spark, d, "customer").select("c_custkey"), "c_custkey", 42, [1, 2, 3])
+
+
 @query("shuffle_in_partitions", "select c_custkey from customer")
 def _(spark, d):
     rows = load(spark, d, "customer").select("c_custkey").repartition(8, "c_custkey")

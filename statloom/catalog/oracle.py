@@ -201,3 +201,49 @@ def boosted(name: str, source: str, depth: int, rounds: int, rate: float, mode:
         ctes.append(text)
         ctes.append(f"{name}m{r + 1} as materialized (select id, x1, x2, y, w, margin + {num(rate)} * {leaf} as margin from {last})")
     return ", ".join(ctes), f"{name}m{rounds}"
+
+
+def kmeans(points: str, width: int, ks: list[int], starts: int, seed: int, steps: int, rounds: int, drawn: int) -> str:
+    """CTEs of K-means fits of every k from every start over rows `id, x1, .., x<width>`.
+
+    `fit_` holds s, k, c and the centres after `steps` Lloyd steps, `moved_` whether the last step moved them, `best_` the start of
+    least inertia per k, and `near_` the cluster c and squared distance d2 of every row in the best fit.
+    """
+    names = [f"x{i}" for i in range(1, width + 1)]
+    cols = ", ".join(names)
+
+    def distance(a: str, b: str) -> str:
+        return " + ".join(f"({a}.{n} - {b}.{n}) * ({a}.{n} - {b}.{n})" for n in names)
+
+    hashed = h52_col("id", f"'{seed}/' || cast(s as varchar) || '/0'")
+    ctes = [
+        f"p_ as materialized ({points})",
+        f"""d0_ as materialized (select s, 0 as turn, 1 as r, {cols} from (select *, row_number() over (partition by s order by {hashed}, id) as n_
+          from p_, range({starts}) t(s)) where n_ = 1)""",
+    ]
+    for t in range(1, rounds + 1):
+        u = f"({h52_col('id', f"'{seed}/' || cast(s as varchar) || '/{t}'")} / 4503599627370496e0)"
+        ctes.append(f"""a{t}_ as materialized (select s, id, d2 from (select q.s, p_.id, min({distance('p_', 'q')}) as d2 from p_, d{t - 1}_ q group by q.s, p_.id) where d2 > 0)""")
+        ctes.append(f"""d{t}_ as materialized (select * from d{t - 1}_ union all select s, {t}, r, {cols}
+          from (select s, id, row_number() over (partition by s order by -ln({u}) / d2, id) as r from a{t}_) join p_ using (id) where r <= {drawn * max(ks)})""")
+    ctes.append(f"""w_ as materialized (select s, turn, r, count(*) as w from
+      (select q.s, p_.id, unnest(arg_min({{'turn': q.turn, 'r': q.r}}, ({distance('p_', 'q')}, q.turn, q.r))) from p_, d{rounds}_ q group by q.s, p_.id) group by all)""")
+    ctes.append(f"""v0_ as materialized (select s, 0 as c, turn, r, {cols} from (select *, row_number() over (partition by s order by w desc, turn, r) as n_
+      from w_ join d{rounds}_ using (s, turn, r)) where n_ = 1)""")
+    for i in range(1, max(ks)):
+        ctes.append(f"""v{i}_ as materialized (select * from v{i - 1}_ union all select s, {i}, turn, r, {cols} from (select *, row_number() over (partition by s order by w * d2 desc, turn, r) as n_
+          from (select q.*, w_.w, (select min({distance('q', 'v')}) from v{i - 1}_ v where v.s = q.s) as d2 from d{rounds}_ q join w_ using (s, turn, r))) where n_ = 1 and w * d2 > 0)""")
+    means = ", ".join(f"avg(p_.{n}) as {n}" for n in names)
+    kept = ", ".join(f"coalesce(m.{n}, l_.{n}) as {n}" for n in names)
+    ctes.append(f"""l_(step, s, k, c, {cols}) as (
+      select 0, s, k, c, {cols} from v{max(ks) - 1}_, (values {', '.join(f'({k})' for k in ks)}) t(k) where c < k
+      union all select l_.step + 1, l_.s, l_.k, l_.c, {kept} from l_ left join
+        (select s, k, c, {means} from (select l_.s, l_.k, p_.id, arg_min(l_.c, ({distance('p_', 'l_')}, l_.c)) as c from p_, l_ group by l_.s, l_.k, p_.id)
+         join p_ using (id) group by s, k, c) m using (s, k, c) where l_.step < {steps})""")
+    ctes.append(f"fit_ as materialized (select s, k, c, {cols} from l_ where step = {steps})")
+    ctes.append(f"""moved_ as (select a.s, a.k, sum({distance('a', 'b')}) > 1e-20 as moved from l_ a join l_ b using (s, k, c) where a.step = {steps} and b.step = {steps - 1} group by a.s, a.k)""")
+    ctes.append(f"""i_ as materialized (select s, k, sum(d2) as inertia from (select l.s, l.k, p_.id, min({distance('p_', 'l')}) as d2 from p_, fit_ l group by all) group by s, k)""")
+    ctes.append("best_ as materialized (select k, arg_min(s, (inertia, s)) as s, min(inertia) as inertia from i_ group by k)")
+    ctes.append(f"""near_ as (select l.k, p_.id, arg_min(l.c, ({distance('p_', 'l')}, l.c)) as c, min({distance('p_', 'l')}) as d2
+      from p_, (select fit_.* from fit_ join best_ using (s, k)) l group by l.k, p_.id)""")
+    return "recursive " + ", ".join(ctes)

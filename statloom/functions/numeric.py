@@ -30,8 +30,9 @@ def threshold(value: Column, cut: float = 0.5) -> Column:
 
 
 def argmax(scores: Column) -> Column:
-    """Zero-based position of the largest score; the first one wins a tie."""
-    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+    """Zero-based position of the largest score; the first one wins a tie. A missing score, NULL or NaN, gives NULL, as no scores do."""
+    whole = F.forall(scores, lambda s: s.isNotNull() & ~F.isnan(s.cast("double")))
+    return F.when(whole & (F.size(scores) > 0), F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
 def log_sum_exp(scores: Column) -> Column:

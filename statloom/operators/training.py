@@ -32,6 +32,7 @@ CHUNK = 4096  # weights travel in pieces of this length, averaged in parallel
 ROWS_PER_WORKER = 100_000
 MAX_WORKERS = 20_000
 SCORE_ROWS = 256
+WEIGHT_SCHEMA = "layer int, kind string, row int, col int, value double"
 HISTORY_SCHEMA = "epoch int, batches bigint, loss double"
 
 
@@ -51,7 +52,7 @@ class Network:
             rows, cols = np.indices(p.reshape(p.shape[0], -1).shape).reshape(2, -1)
             kind = "weight" if p.ndim == 2 else "bias"
             parts.append(pd.DataFrame({"layer": layer // 2, "kind": kind, "row": rows, "col": cols, "value": p.reshape(-1)}))
-        return spark.createDataFrame(pd.concat(parts), "layer int, kind string, row int, col int, value double")
+        return spark.createDataFrame(pd.concat(parts), WEIGHT_SCHEMA)
 
     def scores(self, spark: SparkSession, features: Column) -> Column:
         """Output array per row, without dropout."""
@@ -61,12 +62,15 @@ class Network:
         def score(x: pa.Array) -> pa.Array:
             layers, params = shared.value
             rows = matrix(x)
+            if not rows.size:
+                return list_column(np.zeros((len(x), 1)))
             parts = [  # bounded memory for unfolded images
                 forward(layers, params, rows[i : i + SCORE_ROWS])[0] for i in range(0, len(rows), SCORE_ROWS)
             ]
-            return list_column(np.concatenate(parts) if parts else np.zeros((0, 1)))
+            return list_column(np.concatenate(parts))
 
-        return score(features)
+        whole = features.isNotNull() & F.forall(features, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")))
+        return F.when(whole, score(features))
 
 
 def from_weight_table(table: DataFrame, layers: Layers) -> Network:
@@ -97,8 +101,9 @@ def train(
     """
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), features_column(features).alias("x"), F.col(label).cast("double").alias("y"))
+    rows = rows.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)) & F.col("y").isNotNull() & ~F.isnan("y"))
     if workers is None:
-        workers = max(1, min(MAX_WORKERS, -(-df.count() // ROWS_PER_WORKER)))
+        workers = max(1, min(MAX_WORKERS, -(-rows.count() // ROWS_PER_WORKER)))
     worker = F.pmod(hash52("id", f"{seed}/worker"), F.lit(workers)).cast("int")
     rows = rows.repartitionById(workers, worker).persist(StorageLevel.MEMORY_AND_DISK)
     params = flat(start if start is not None else initial(layers, seed))

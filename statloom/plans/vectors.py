@@ -24,13 +24,14 @@ def collect_vectors(partials: DataFrame, keys: list[str], values: str, length: i
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """Arrow column of equally long lists as a two-dimensional float array; a NULL list is a row of NaN."""
+    """Arrow column of equally long lists as a two-dimensional float array; a NULL list is a row of NaN, and NULL lists alone have no width."""
     whole = column.is_valid().to_numpy(zero_copy_only=False)
     lengths = np.unique(column.value_lengths().drop_null().to_numpy(zero_copy_only=False))
     if len(lengths) > 1:
         raise ValueError(f"vectors of different lengths: {lengths.tolist()}")
     out = np.full((len(column), int(lengths[0]) if len(lengths) else 0), np.nan)
-    out[whole] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, out.shape[1])
+    if out.shape[1]:
+        out[whole] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, out.shape[1])
     return out
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from statloom.functions.hashing import normal, uniform
+from statloom.functions.hashing import hash52, normal, uniform
 from statloom.operators import kmeans, linkage, prepare
 from statloom.sources import generate
 
@@ -113,6 +113,47 @@ def test_more_clusters_than_points(spark):
     assert fit.inertia == pytest.approx(0.0) and len(fit.centers) == 2
 
 
+def test_runs_in_blocks_equal_runs_together(spark, blobs, monkeypatch):
+    together = kmeans.fit_kmeans_runs(blobs, "id", ["x1", "x2"], [2, 5], n_init=3, tol=0.0)
+    monkeypatch.setattr(kmeans, "BLOCK_VALUES", 12)
+    apart = kmeans.fit_kmeans_runs(blobs, "id", ["x1", "x2"], [2, 5], n_init=3, tol=0.0)
+    for a, b in zip(together, apart):
+        assert np.allclose(a.centers, b.centers) and a.inertia == pytest.approx(b.inertia) and a.iterations == b.iterations and a.converged
+
+
+def test_unsettled_runs_say_so(spark, blobs):
+    runs = kmeans.fit_kmeans_runs(blobs, "id", ["x1", "x2"], [7], n_init=4, tol=0.0, max_iter=1)
+    assert not all(r.converged for r in runs)
+    assert kmeans.centers_table(spark, runs).where("not converged").count() > 0
+
+
+def test_drawn_rows_follow_the_recursion(spark):
+    """Starts against plain numpy, with the same hashed numbers."""
+    df = spark.range(200).select("id", uniform("id", "p", 0, 9).alias("a"), uniform("id", "q", 0, 9).alias("b"))
+    u = {(s, t): uniform("id", f"7/{s}/{t}").alias(f"u{s}_{t}") for s in range(2) for t in range(1, kmeans.ROUNDS + 1)}
+    first = [hash52("id", f"7/{s}/0").alias(f"h{s}") for s in range(2)]
+    rows = df.select("*", *u.values(), *first).orderBy("id").collect()
+    x = np.array([[r["a"], r["b"]] for r in rows])
+    found = kmeans._drawn_rows(kmeans.complete_points(df.repartition(3), "id", ["a", "b"]), 2, 6, 7)
+    for s in range(2):
+        drawn = [int(np.argmin([r[f"h{s}"] for r in rows]))]
+        for t in range(1, kmeans.ROUNDS + 1):
+            d2 = ((x[:, None] - x[drawn][None]) ** 2).sum(axis=2).min(axis=1)
+            chance = [-np.log(r[f"u{s}_{t}"]) / d if d > 0 else np.inf for r, d in zip(rows, d2)]
+            drawn += np.argsort(chance, kind="stable")[:6].tolist()
+        assert np.allclose(found[s], x[drawn])
+
+
+def test_rows_with_missing_values_have_no_cluster(spark):
+    rows = [(0, 1.0, 2.0), (1, None, 2.0), (2, 1.0, float("nan")), (3, 8.0, 9.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    centers = np.array([[1.0, 2.0], [8.0, 9.0]])
+    vectors = df.select("id", F.when(F.col("id") != 3, F.array("a", "b")).alias("v"))
+    for table, features, last in ((df, ["a", "b"], (1, 0.0)), (vectors, "v", (None, None))):
+        found = {r["id"]: (r["cluster"], r["d2"]) for r in kmeans.assign(table, features, centers).collect()}
+        assert found == {0: (0, 0.0), 1: (None, None), 2: (None, None), 3: last}
+
+
 def test_empty_cluster_keeps_its_centre():
     run = kmeans.KMeansRun(0, 2, np.array([[0.0], [9.0]]), np.zeros(2), 0.0, 0)
     kmeans._update(run, {(0, 0): np.array([2.0, 0.0, 4.0]), (0, 1): np.array([0.0, 0.0, 0.0])})

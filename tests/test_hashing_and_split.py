@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from statloom.functions.hashing import hash52, normal, uniform
 from statloom.operators import split
+from statloom.plans import group_order
 from statloom.plans.order_stats import order_statistics, quantiles
 
 
@@ -90,6 +92,21 @@ def test_repeated_split_sides_differ_by_seed(spark):
     assert sizes == {0: 50, 1: 50, 2: 50}
 
 
+@pytest.mark.parametrize("bucket_rows", [7, 500_000])
+def test_positions_on_any_partitioning(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(split, "BUCKET_ROWS", bucket_rows)
+    ids = spark.range(3, 200, 3)
+    results = []
+    for parts in (1, 4, 17):
+        rows = split.shuffle_positions(ids.repartition(parts), "id", 9, [1, 2]).collect()
+        results.append(sorted((r["epoch"], r["position"], r["id"]) for r in rows))
+        ranked = split.id_rank(ids.unionByName(spark.sql("select cast(null as bigint) as id")).repartition(parts), "id").collect()
+        assert sorted((r["rank"], r["id"] or 0) for r in ranked) == [(k + 1, 3 * k) for k in range(67)]
+    assert results[0] == results[1] == results[2]
+    assert [r[:2] for r in results[0]] == [(e, k) for e in (1, 2) for k in range(66)]
+    assert [r[2] for r in results[0][:66]] != [r[2] for r in results[0][66:]]
+
+
 def test_shuffle_changes_with_epoch_but_not_partitioning(spark):
     def order(epoch, parts):
         return [r["id"] for r in split.shuffle_rows(spark.range(50).repartition(parts), "id", 1, epoch).collect()]
@@ -98,16 +115,31 @@ def test_shuffle_changes_with_epoch_but_not_partitioning(spark):
     assert split.pick_row(spark.range(50).repartition(3), "id", 4).collect() == split.pick_row(spark.range(50), "id", 4).collect()
 
 
-def test_box_plot_with_many_categories(spark, monkeypatch):
-    from statloom.operators import explore
+@pytest.mark.parametrize("leaf_rows", [1, 40, 10**6])
+def test_group_quantiles_narrow_brackets_down(spark, leaf_rows):
+    """One group holds most rows, some hold one, one is NULL; values repeat, crowd at one end, or are all alike."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 10 < 7, "most").when(F.col("id") % 10 == 7, F.concat(F.lit("g"), F.floor(F.col("id") / 100))).when(F.col("id") % 10 == 8, "same").alias("g"),
+        F.when(F.col("id") % 10 == 8, 3.0).when(F.col("id") % 10 == 9, F.exp(uniform("id", 3, -300, 300))).otherwise(F.round(uniform("id", 8), 2)).alias("v"),
+    )
+    gaps = spark.createDataFrame([("most", None), ("most", float("nan")), ("empty", None)], "g string, v double")
+    df = df.unionByName(gaps).cache()
+    values = {}
+    for r in df.collect():
+        if r["v"] is not None and r["v"] == r["v"]:
+            values.setdefault(r["g"], []).append(r["v"])
+    probabilities = [0.0, 0.25, 0.5, 0.99, 1.0]
+    found = {r["g"]: (r["n"], r["q"]) for r in group_order.group_quantiles(df, F.col("v"), F.col("g"), probabilities, leaf_rows).collect()}
+    assert set(found) == set(values) and len(found) > 40
+    for g, v in values.items():
+        assert found[g][0] == len(v)
+        assert np.allclose(found[g][1], np.quantile(v, probabilities), rtol=1e-9)
+
+
+def test_order_statistics_of_the_driver_take_few_groups(spark, monkeypatch):
     from statloom.plans import order_stats
 
     df = spark.range(600).select((F.col("id") % 6).cast("string").alias("g"), uniform("id", 8).alias("v"))
-    few = explore.box_plot(df, "g", "v").orderBy("category").collect()
     monkeypatch.setattr(order_stats, "MAX_GROUPS", 3)
-    many = explore.box_plot(df, "g", "v").orderBy("category").collect()
-    assert [r["n"] for r in few] == [100] * 6
-    for a, b in zip(few, many):
-        assert tuple(a)[1:6] == pytest.approx(tuple(b)[1:6])
     with pytest.raises(order_stats.TooManyGroups):
         order_stats.quantiles(df, F.col("v"), [0.5], F.col("g"))
