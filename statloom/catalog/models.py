@@ -533,4 +533,6 @@ def _(spark, d):
     data, model = _tv_radio(spark, d)
     path = new_shared_path(spark, "model")
     models.save_linear(spark, model, path)
-    return rounded(models.load_linear(spark, path).predict(data).select("id", "prediction"))
+    reloaded = models.load_linear(spark, path)
+    models.remove(spark, path)
+    return rounded(reloaded.predict(data).select("id", "prediction"))

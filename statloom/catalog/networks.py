@@ -11,8 +11,8 @@ from ..operators import kmeans, layers, metrics, network, training
 from ..operators.prepare import scale_pixels
 from ..operators.split import mini_batches, train_test_split
 from ..session import new_shared_path
-from ..sources import grid
-from ..sources.tables import load, save
+from ..sources import grid, models
+from ..sources.tables import load
 from . import oracle as o
 from .clusters import EMBEDDING_DISTANCES, LABEL_MEANS, label_means
 from .data import PIXEL_MEAN, PIXEL_SD, sample_sql, sample_table
@@ -205,8 +205,9 @@ def _(spark, d):
     spec = _classifiers(spark, d)["fully_connected"]
     fitted = training.train(train_rows, "vec_id", "embedding", "label", spec, epochs=2, batch_size=128, seed=42)
     path = new_shared_path(spark, "network")
-    save(fitted.weight_table(spark), path)
-    reloaded = training.from_weight_table(spark.read.parquet(path), spec)
+    models.save_table(fitted.weight_table(spark), path, "network")
+    reloaded = training.from_weight_table(models.load_table(spark, path, "network", training.WEIGHT_SCHEMA), spec)
+    models.remove(spark, path)
     before = training.predict_class(fitted, test_rows, "embedding").select("vec_id", F.col("scores").alias("before"))
     after = training.predict_class(reloaded, test_rows, "embedding").select("vec_id", F.col("scores").alias("after"))
     both = before.join(after, "vec_id")
@@ -244,6 +245,22 @@ def _(spark, d):
     return rounded(_hashed_scored(spark, d).select("vec_id", F.posexplode("scores").alias("pos", "score")))
 
 
+@query(
+    "reloaded_network_scores",
+    f"with {HASHED_SCORES} select vec_id, cast(c as integer) as pos, {o.rnd('s')} as score from scored",
+)
+def _(spark, d):
+    """Scores of a network that was stored and read back, against SQL scores of its weights."""
+    rows = load(spark, d, "embeddings")
+    network_ = _hashed_network(spark, rows.agg(F.max(F.size("embedding"))).first()[0])
+    path = new_shared_path(spark, "network")
+    models.save_table(network_.weight_table(spark), path, "network")
+    reloaded = training.from_weight_table(models.load_table(spark, path, "network", training.WEIGHT_SCHEMA), network_.layers)
+    models.remove(spark, path)
+    scored = training.predict_class(reloaded, rows, "embedding")
+    return rounded(scored.select("vec_id", F.posexplode("scores").alias("pos", "score")))
+
+
 @query(
     "evaluate_network",
     f"""with {HASHED_SCORES}, b as (select vec_id, any_value(label) as label, arg_max(c, s) as prediction from scored group by vec_id)

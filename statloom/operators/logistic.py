@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.gram import SQL_COLUMNS
+from ..plans.vectors import collect_vectors, list_column, matrix
 from .prepare import fit_scaler
 from .regression import LinearModel
 
@@ -30,13 +33,11 @@ class _Fit:
 
 
 def fit_logistic(df: DataFrame, features: list[str], label: str, c: float = 1.0, tol: float = 1e-7) -> LinearModel:
-    """Maximise likelihood minus |w|^2 / (2 C); the intercept is not penalised.
+    """Maximise likelihood minus |w|^2 / (2 C); the intercept is not penalised, and an infinite C penalises nothing.
 
-    Up to eleven features: Newton steps, one aggregate of p*p sums each, from zero, over all rows
-    at every size. More features: the L-BFGS estimator of Spark ML.
+    Newton steps from zero over all rows, each one aggregate of p*p sums, until they vanish. A step that raises the penalised loss is
+    halved. A fit that still moves after MAX_STEPS, as one of separable classes without a penalty does, has `converged` False.
     """
-    if len(features) + 1 > SQL_COLUMNS:
-        return _fit_wide(df, features, label, c)
     return fit_logistic_many(df, features, label, [(c, None)], tol=tol)[0]
 
 
@@ -70,7 +71,7 @@ def fit_logistic_many(
     for f in fits:
         raw = f.beta[1:] / sd
         intercept = float(f.beta[0] - raw @ np.array(scaler.means))
-        models.append(LinearModel(tuple(features), intercept, tuple(map(float, raw)), "logit"))
+        models.append(LinearModel(tuple(features), intercept, tuple(map(float, raw)), "logit", f.done))
     return models
 
 
@@ -87,8 +88,10 @@ def _advance(fit: _Fit, loss: float, gradient: np.ndarray, hessian: np.ndarray,
 
 
 def _newton_sums(scaled: DataFrame, fits: list[_Fit]) -> list[tuple]:
-    """Loss, gradient and curvature of every fit from one aggregate."""
+    """Loss, gradient and curvature of every fit from one aggregate: sums in generated code, or of blocks of rows for a wide model."""
     width = len(fits[0].beta)
+    if width > SQL_COLUMNS:
+        return _block_sums(scaled, fits)
     states = [
         F.struct(
             F.lit(i).alias("fit"),
@@ -120,23 +123,29 @@ def _newton_sums(scaled: DataFrame, fits: list[_Fit]) -> list[tuple]:
     return result
 
 
-def _fit_wide(df: DataFrame, features: list[str], label: str, c: float) -> LinearModel:
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    rows = df.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], F.col(label).cast("double").alias("label"))
-    rows = rows.na.drop()
-    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(rows).select("features", "label")
-    assembled.persist()
-    try:
-        estimator = LogisticRegression(
-            regParam=1.0 / (c * assembled.count()), elasticNetParam=0.0, standardization=False,
-            maxIter=500, tol=1e-10,
-        )
-        model = estimator.fit(assembled)
-    finally:
-        assembled.unpersist()
-    return LinearModel(tuple(features), float(model.intercept), tuple(map(float, model.coefficients)), "logit")
+def _block_sums(scaled: DataFrame, fits: list[_Fit]) -> list[tuple]:
+    """The same sums by products of blocks of rows; a task returns one array of p*p numbers for each fit."""
+    width = len(fits[0].beta)
+    settings = [(f.left_out, f.beta) for f in fits]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((len(settings), 1 + width + width * width))
+        for batch in batches:
+            z, y = matrix(batch.column("z")), batch.column("y").to_numpy(zero_copy_only=False)
+            fold = batch.column("fold").to_numpy(zero_copy_only=False)
+            for total, (left_out, beta) in zip(totals, settings):
+                kept = slice(None) if left_out is None else fold != left_out
+                x, target = z[kept], y[kept]
+                m = x @ beta
+                p = 1.0 / (1.0 + np.exp(-np.clip(m, -700, 700)))
+                total[0] += float((np.maximum(m, 0.0) + np.log1p(np.exp(-np.abs(m))) - target * m).sum())
+                total[1 : width + 1] += x.T @ (target - p)
+                total[width + 1 :] += (x.T @ (x * (p * (1 - p))[:, None])).reshape(-1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(settings)), pa.int32()), list_column(totals)], names=["fit", "sums"])
+
+    rows = scaled.select(F.array(*[f"z{i}" for i in range(width)]).alias("z"), "y", "fold")
+    found = collect_vectors(rows.mapInArrow(task, "fit int, sums array<double>"), ["fit"], "sums", 1 + width + width * width)
+    return [(s[0], s[1 : width + 1], s[width + 1 :].reshape(width, width)) for s in (found[(i,)] for i in range(len(fits)))]
 
 
 def odds_ratios(spark: SparkSession, model: LinearModel) -> DataFrame:

@@ -18,12 +18,13 @@ MODEL_SCHEMA = "term string, coefficient double"
 
 @dataclass(frozen=True)
 class LinearModel:
-    """Intercept and one coefficient per feature; `link` is identity or logit."""
+    """Intercept and one coefficient per feature; `link` is identity or logit. `converged` is False for a fit that did not settle."""
 
     features: tuple[str, ...]
     intercept: float
     coefficients: tuple[float, ...]
     link: str = "identity"
+    converged: bool = True
 
     def linear(self) -> Column:
         inputs = [F.col(f"`{f}`").cast("double") for f in self.features]

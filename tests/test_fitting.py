@@ -178,8 +178,31 @@ def test_awkward_column_names(spark):
 def test_model_round_trip(spark):
     model = regression.LinearModel(("b", "a"), 1.5, (2.5, -3.5), "logit")
     path = new_shared_path(spark, "roundtrip")
-    models.save_linear(spark, model, path)
+    with pytest.raises(models.IncompleteModel):
+        models.load_linear(spark, path)
+    assert models.save_linear(spark, model, path) == 1
     assert models.load_linear(spark, path) == model
+    other = regression.LinearModel(("b",), 0.0, (float("inf"),), "logit", False)
+    assert models.save_linear(spark, other, path) == 2
+    assert models.load_linear(spark, path) == other and models.load_linear(spark, path, 1) == model
+    models.remove(spark, path)
+    with pytest.raises(models.IncompleteModel):
+        models.load_linear(spark, path)
+
+
+def test_half_written_model_is_refused(spark):
+    model = regression.LinearModel(("a", "b", "c"), 1.5, (2.5, -3.5, 0.1))
+    path = new_shared_path(spark, "half")
+    rows = [(0, "(intercept)", 1.0, "identity", True)]
+    spark.createDataFrame(rows, models.LINEAR).write.parquet(f"{path}/linear-unnamed")  # written, but never named
+    with pytest.raises(models.IncompleteModel):
+        models.load_linear(spark, path)
+    models.save_linear(spark, model, path)
+    name = spark.read.parquet(f"{path}/manifest").first()["name"]
+    part = spark.read.parquet(f"{path}/{name}").where("position < 2").collect()
+    spark.createDataFrame(part, models.LINEAR).write.mode("overwrite").parquet(f"{path}/{name}")
+    with pytest.raises(models.IncompleteModel):
+        models.load_linear(spark, path)
 
 
 def test_recovers_known_line(spark):
@@ -265,6 +288,23 @@ def test_logistic_fit_is_the_same_on_any_partitioning(spark):
     assert np.allclose([whole.intercept, *whole.coefficients], [dealt.intercept, *dealt.coefficients], rtol=1e-8)
 
 
+def test_logistic_says_when_it_does_not_settle(spark):
+    df = spark.range(60).select("id", F.col("id").cast("double").alias("x"), (F.col("id") >= 30).cast("int").alias("y"))
+    assert not logistic.fit_logistic(df, ["x"], "y", c=float("inf")).converged
+    mixed = df.withColumn("y", F.when(F.col("id") % 7 == 0, 1 - F.col("y")).otherwise(F.col("y")))
+    assert logistic.fit_logistic(mixed, ["x"], "y", c=float("inf")).converged
+
+
+def test_block_sums_equal_sums_in_generated_code(spark, monkeypatch):
+    df = generate.credit_data(spark.range(500), "id").withColumn("fold", F.col("id") % 3)
+    settings = [(1.0, None), (0.1, 0), (5.0, 2)]
+    narrow = logistic.fit_logistic_many(df, ["income", "balance"], "defaulted", settings, "fold")
+    monkeypatch.setattr(logistic, "SQL_COLUMNS", 2)
+    wide = logistic.fit_logistic_many(df, ["income", "balance"], "defaulted", settings, "fold")
+    for a, b in zip(narrow, wide):
+        assert np.allclose([a.intercept, *a.coefficients], [b.intercept, *b.coefficients], rtol=1e-9) and a.converged and b.converged
+
+
 def test_logistic_on_separable_rows_is_held_by_the_penalty(spark):
     df = spark.range(60).select("id", F.col("id").cast("double").alias("x"), (F.col("id") >= 30).cast("int").alias("y"))
     model = logistic.fit_logistic(df, ["x"], "y")
