@@ -26,7 +26,7 @@ def group_order_statistics(df: DataFrame, value: Column, group: Column, ranks: C
 
     `ranks` turns the size of a group into an array of 1-based ranks. NULL and NaN values are left out; a NULL group is a group.
     """
-    leaf_rows = leaf_rows or LEAF_ROWS
+    leaf_rows = max(leaf_rows or LEAF_ROWS, 4 * STEPS)  # a sketch can't narrow fewer rows down
     rows = df.select(group.alias("g"), value.alias("v"))
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
     sizes = rows.groupBy("g").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))

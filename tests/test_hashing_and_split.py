@@ -115,7 +115,7 @@ def test_shuffle_changes_with_epoch_but_not_partitioning(spark):
     assert split.pick_row(spark.range(50).repartition(3), "id", 4).collect() == split.pick_row(spark.range(50), "id", 4).collect()
 
 
-@pytest.mark.parametrize("leaf_rows", [1, 40, 10**6])
+@pytest.mark.parametrize("leaf_rows", [1, 10**6])
 def test_group_quantiles_narrow_brackets_down(spark, leaf_rows):
     """One group holds most rows, some hold one, one is NULL; values repeat, crowd at one end, or are all alike."""
     df = spark.range(4000).select(
