@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from .common import pieces_of, text_slices, texts_of
 from .labelled import calibrated, fit_isotonic, labelled_sample
 
-# Insults and second-person words that need no labels to be known.
-LEXICON = "idiot moron scum trash clown stupid pathetic worthless disgusting loser dumb ugly hate kill idiota imbécile dummkopf abschaum".split()
+# Pronouns of the second person in five languages. The lexicon of insults has no fixed words; labels make it.
 SECOND_PERSON = frozenset("you your yours yourself tu te toi vous votre du dich dir dein ihr euch usted ustedes vosotros".split())
 PLAIN = str.maketrans("01345@$!", "oieasasi")  # signs that stand for letters
 
@@ -181,7 +180,7 @@ def learn_lexicons(sample: DataFrame, words: int = 4000, least: int = 3) -> list
         spread = F.sqrt(1 / (hit + 0.5) + 1 / (n - hit + 0.5))
         best = counted.where(hit >= least).select("term", score.alias("score"), (score / spread).alias("z")).where("score > 1 and z > 2.5")
         rows = best.orderBy(F.desc("z"), "term").limit(words).collect()
-        lexicons.append({w: 1.0 for w in LEXICON} | {r["term"]: float(r["score"]) for r in rows})
+        lexicons.append({r["term"]: float(r["score"]) for r in rows})
     counted.unpersist()
     return lexicons
 
