@@ -74,7 +74,7 @@ def _(spark, d):
     return rounded(blob_table(spark, d))
 
 
-# name: formula of the target in terms of the features
+# Formula of each sample's target in terms of its features.
 FORMULAS = {
     "education_1d": "2000e0 + 50e0 * x + 15e0 * x * x",
     "education_2d": "1000e0 + 150e0 * x1 + 200e0 * x2 + 8e0 * x1 * x1 - 4e0 * x2 * x2 + 10e0 * x1 * x2",

@@ -15,6 +15,11 @@ from . import oracle as o
 from .data import sample_sql, sample_table
 from .registry import query, rounded
 
+# Slope and intercept of the line that is not fitted, the range of the curve's grid, and the ranges of the surface's.
+HYPOTHESIS = (300.0, 1000.0)
+CURVE_GRID = (8.0, 21.0, 100)
+SURFACE_GRID = {"x1": (9.0, 20.0, 50), "x2": (1.0, 20.0, 50)}
+
 # ---- lines and planes ----------------------------------------------------------------------
 
 
@@ -23,7 +28,7 @@ from .registry import query, rounded
     f"select id, {o.rnd('300e0 * x + 1000e0')} as prediction from ({sample_sql('education_1d')})",
 )
 def _(spark, d):
-    line = regression.fixed_line(300.0, 1000.0, "x")
+    line = regression.fixed_line(*HYPOTHESIS, "x")
     return rounded(line.predict(sample_table(spark, d, "education_1d")).select("id", "prediction"))
 
 
@@ -148,11 +153,11 @@ def _education_points() -> str:
 def _(spark, d):
     data = sample_table(spark, d, "education_1d")
     curves = {
-        "hypothesis": regression.fixed_line(300.0, 1000.0, "x"),
+        "hypothesis": regression.fixed_line(*HYPOTHESIS, "x"),
         "line": regression.fit_linear(data, ["x"], "y"),
         "cubic": regression.fit_polynomial(data, ["x"], "y", 3),
     }
-    table = regression.compare_curves(grid.linspace(spark, 8.0, 21.0, 100), curves, ["id", "x"])
+    table = regression.compare_curves(grid.linspace(spark, *CURVE_GRID), curves, ["id", "x"])
     return table.select("model", "id", F.round("x", 6).alias("x"), F.round("prediction", 4).alias("prediction"))
 
 
@@ -168,7 +173,7 @@ def _surface_sql() -> str:
 @query("quadratic_surface", _surface_sql())
 def _(spark, d):
     model = regression.fit_polynomial(sample_table(spark, d, "education_2d"), ["x1", "x2"], "y", 2)
-    surface = grid.mesh(spark, {"x1": (9.0, 20.0, 50), "x2": (1.0, 20.0, 50)})
+    surface = grid.mesh(spark, SURFACE_GRID)
     return model.predict(surface).select("id", F.round("prediction", 4).alias("prediction"))
 
 
@@ -251,7 +256,7 @@ TREE_GRID = f"""select id, x1, x2, y from ({sample_sql('education_2d')})
 @query("regression_tree_surface", f"select id, prediction from ({_tree_sql(TREE_GRID, 5)}) where y is null")
 def _(spark, d):
     tree = exact_tree.fit_regression_tree(sample_table(spark, d, "education_2d"), ["x1", "x2"], "y", 5)
-    surface = grid.mesh(spark, {"x1": (9.0, 20.0, 50), "x2": (1.0, 20.0, 50)})
+    surface = grid.mesh(spark, SURFACE_GRID)
     return tree.predict(surface).select("id", F.round("prediction", 4).alias("prediction"))
 
 

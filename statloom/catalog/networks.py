@@ -139,11 +139,11 @@ def descent_sql(source: str, epochs: int, size: int, rate: float) -> str:
       select cast(e as integer) as epoch, count(*) as batches, {o.rnd('avg(loss)')} as loss from r where e > 0 group by e"""
 
 
-@query("train_curve_network", descent_sql(sample_sql("line"), 20, 10, 0.005))
+@query("train_curve_network", descent_sql(sample_sql("line"), 2, 750, 0.005))
 def _(spark, d):
     fitted = training.train(
         sample_table(spark, d, "line"), "id", ["x"], "y", CURVE, loss="squared", optimizer="sgd", rate=0.005,
-        epochs=20, batch_size=10, seed=42, start=CURVE_START,
+        epochs=2, batch_size=750, seed=42, start=CURVE_START,
     )
     return rounded(fitted.history_table(spark))
 
@@ -182,7 +182,7 @@ def _(spark, d):
 def _(spark, d):
     train_rows, test_rows = _embedding_split(spark, d)
     rows = [
-        training.train_and_evaluate(name, spec, train_rows, test_rows, "vec_id", "embedding", "label", epochs=5, batch_size=128, rate=0.001, seed=42)[1]
+        training.train_and_evaluate(name, spec, train_rows, test_rows, "vec_id", "embedding", "label", epochs=5, batch_size=256, rate=0.001, seed=42)[1]
         for name, spec in _classifiers(spark, d).items()
     ]
     return training.comparison_table(spark, rows)
@@ -191,7 +191,7 @@ def _(spark, d):
 @query("classifier_loss_history")
 def _(spark, d):
     train_rows, _ = _embedding_split(spark, d)
-    fitted = training.train(train_rows, "vec_id", "embedding", "label", _classifiers(spark, d)["convolutional"], epochs=5, batch_size=128, seed=42)
+    fitted = training.train(train_rows, "vec_id", "embedding", "label", _classifiers(spark, d)["convolutional"], epochs=5, batch_size=256, seed=42)
     return rounded(fitted.history_table(spark))
 
 
@@ -203,7 +203,7 @@ def _(spark, d):
     """Rows scored differently by a trained network and by its stored copy."""
     train_rows, test_rows = _embedding_split(spark, d)
     spec = _classifiers(spark, d)["fully_connected"]
-    fitted = training.train(train_rows, "vec_id", "embedding", "label", spec, epochs=2, batch_size=128, seed=42)
+    fitted = training.train(train_rows, "vec_id", "embedding", "label", spec, epochs=2, batch_size=256, seed=42)
     path = new_shared_path(spark, "network")
     models.save_table(fitted.weight_table(spark), path, "network")
     reloaded = training.from_weight_table(models.load_table(spark, path, "network", training.WEIGHT_SCHEMA), spec)

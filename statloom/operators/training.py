@@ -1,8 +1,8 @@
-"""Data-parallel training: one Spark job per epoch.
+"""Mini-batch training with one aggregate per step.
 
-Every partition starts the epoch from the same weights, runs mini-batch steps over its own rows
-in a freshly shuffled order, and returns its weights; the mean weighted by rows starts the next
-epoch. With a single partition this is plain sequential mini-batch descent.
+Every step takes the gradient of one mini-batch at the current weights: tasks sum it over their rows of the batch, the sums are averaged on the
+way, and the optimiser moves the weights. That is sequential mini-batch descent at every size and on every cluster; the size of
+a batch decides how many rows a step spreads over the tasks.
 """
 
 from __future__ import annotations
@@ -20,18 +20,15 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash52
 from ..functions.numeric import argmax
 from ..plans.vectors import list_column, matrix
 from .kmeans import features_column
 from .layers import Layers, backward, count_parameters, flat, forward, initial, loss_and_gradient, unflat
 from .metrics import accuracy
-from .split import shuffle_in_partitions
+from .split import hash_rank
 
-CHUNK = 4096  # weights travel in pieces of this length, averaged in parallel
-ROWS_PER_WORKER = 100_000
-MAX_WORKERS = 20_000
-SCORE_ROWS = 256
+CHUNK = 4096  # gradients travel in pieces of this length, averaged in parallel
+SCORE_ROWS = 256  # rows that go through the layers together
 WEIGHT_SCHEMA = "layer int, kind string, row int, col int, value double"
 HISTORY_SCHEMA = "epoch int, batches bigint, loss double"
 
@@ -90,97 +87,78 @@ def train(
     rate: float = 0.001,
     epochs: int = 5,
     batch_size: int = 128,
-    workers: int | None = None,
     seed: int = 42,
     start: list[np.ndarray] | None = None,
 ) -> Network:
-    """Train from `start` (or seeded initial weights).
+    """Train from `start` (or seeded initial weights), one job per mini-batch of `batch_size` rows; the last of an epoch may be short.
 
-    The number of workers follows from the row count alone, and rows are dealt to them by hash,
-    so the result does not depend on the cluster. Up to ROWS_PER_WORKER rows there is one.
+    An epoch's order is that of a hash of the id, so batches are the same on any partitioning. Rows are dealt to tasks in blocks of
+    neighbours, sorted by batch, so a step reads little besides its own rows. Rows with a missing feature or target take no part.
     """
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), features_column(features).alias("x"), F.col(label).cast("double").alias("y"))
     rows = rows.where(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)) & F.col("y").isNotNull() & ~F.isnan("y"))
-    if workers is None:
-        workers = max(1, min(MAX_WORKERS, -(-rows.count() // ROWS_PER_WORKER)))
-    worker = F.pmod(hash52("id", f"{seed}/worker"), F.lit(workers)).cast("int")
-    rows = rows.repartitionById(workers, worker).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     params = flat(start if start is not None else initial(layers, seed))
-    state = np.concatenate([params, np.zeros(2 * len(params))]) if optimizer == "adam" else params
+    state = np.concatenate([params, np.zeros(2 * len(params))]) if optimizer == "adam" else params.copy()
     history, steps = [], 0
     try:
+        batches = -(-rows.count() // batch_size)
         for epoch in range(1, epochs + 1):
-            shared = spark.sparkContext.broadcast(state)
+            order = hash_rank(rows, "id", f"{seed}/{epoch}", "place").withColumn("place", F.col("place") - 1)
+            block, number = F.floor(F.col("place") / SCORE_ROWS), F.floor(F.col("place") / batch_size)
+            dealt = order.select("place", number.alias("batch"), "x", "y").repartition(spark.sparkContext.defaultParallelism, block)
+            dealt = dealt.sortWithinPartitions("batch", "place").persist(StorageLevel.MEMORY_AND_DISK)
+            losses = []
             try:
-                work = _epoch_task(shared, layers, loss, optimizer, rate, batch_size, seed, epoch, steps)
-                order = shuffle_in_partitions(rows, "id", seed, epoch).select("x", "y")
-                parts = order.mapInArrow(work, "chunk int, weight double, values array<double>")
-                # a chunk of every worker meets in one task: few numbers, however many rows
-                means = parts.groupBy("chunk").agg(
-                    Summarizer.mean(array_to_vector("values"), F.col("weight")).alias("mean"),
-                    F.sum("weight").alias("weight"),
-                )
-                found = {r["chunk"]: (r["mean"].toArray(), r["weight"]) for r in means.collect()}
+                for batch in range(batches):
+                    value, grad = _gradient(dealt.where(F.col("batch") == batch), layers, unflat(state[: len(params)], layers), loss, [seed, epoch])
+                    steps += 1
+                    _descend(state, len(params), grad, optimizer, rate, steps)
+                    losses.append(value)
             finally:
-                shared.destroy()
-            batch_loss, batches = found.pop(-1)
-            state = np.concatenate([found[c][0] for c in sorted(found)])
-            steps += int(batches) // workers
-            history.append((epoch, int(batches), float(batch_loss[0])))
+                dealt.unpersist()
+            history.append((epoch, batches, float(np.mean(losses)) if losses else float("nan")))
         return Network(layers, unflat(state[: len(params)], layers), history)
     finally:
         rows.unpersist()
 
 
-def _epoch_task(shared, layers: Layers, loss, optimizer, rate, batch_size, seed, epoch, steps):
-    """Mini-batch steps over one partition, starting at the shared state."""
+def _gradient(rows: DataFrame, layers: Layers, params: list[np.ndarray], loss: str, seed: list[int]) -> tuple[float, np.ndarray]:
+    """Mean loss of the rows and its gradient. Each task returns its mean in chunks; a chunk of every task meets in one place."""
+    shared = rows.sparkSession.sparkContext.broadcast(params)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
-        state = shared.value.copy()
-        size = count_parameters(layers)
-        seen, losses = 0, []
-        for x, y in _rebatched(batches, batch_size):
-            params = unflat(state[:size], layers)
-            output, saved = forward(layers, params, x, rng)
-            value, grad = loss_and_gradient(output, y, loss)
-            step = steps + len(losses) + 1
-            _descend(state, size, flat(backward(layers, params, saved, grad)), optimizer, rate, step)
-            losses.append(value)
-            seen += len(y)
+        params = shared.value
+        total, losses, seen = np.zeros(count_parameters(layers)), 0.0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = matrix(batch.column("x")), batch.column("y").to_numpy(zero_copy_only=False)
+            place = batch.column("place").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(place // SCORE_ROWS)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(y)]):
+                rng = np.random.default_rng([*seed, int(place[a])])
+                output, saved = forward(layers, params, x[a:b], rng)
+                value, grad = loss_and_gradient(output, y[a:b], loss)
+                total += flat(backward(layers, params, saved, grad)) * (b - a)
+                losses += value * (b - a)
+                seen += b - a
         if seen:
-            pieces = [state[i : i + CHUNK] for i in range(0, len(state), CHUNK)]
-            for chunk, weight, values in [(-1, len(losses), np.array([np.mean(losses)]))] + [
-                (i, seen, piece) for i, piece in enumerate(pieces)
-            ]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int32()), pa.array([float(weight)]), list_column(values[None, :])],
-                    names=["chunk", "weight", "values"],
-                )
-
-    return task
-
-
-def _rebatched(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Arrow batches cut and joined to the mini-batch size; the last one may be short."""
-    kept_x, kept_y = None, None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        column = batch.column("x")
-        x = matrix(column)
-        y = batch.column("y").to_numpy(zero_copy_only=False)
-        if kept_x is not None:
-            x, y = np.concatenate([kept_x, x]), np.concatenate([kept_y, y])
-        whole = len(y) // size * size
-        for i in range(0, whole, size):
-            yield x[i : i + size], y[i : i + size]
-        kept_x, kept_y = x[whole:], y[whole:]
-    if kept_y is not None and len(kept_y):
-        yield kept_x, kept_y
+            whole = np.append(losses, total) / seen
+            pieces = [whole[i : i + CHUNK] for i in range(0, len(whole), CHUNK)]
+            for chunk, piece in enumerate(pieces):
+                columns = [pa.array([chunk], pa.int32()), pa.array([float(seen)]), list_column(piece[None, :])]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "weight", "values"])
+
+    try:
+        parts = rows.select("place", "x", "y").mapInArrow(task, "chunk int, weight double, values array<double>")
+        mean = Summarizer.mean(array_to_vector("values"), F.col("weight")).alias("mean")
+        found = {r["chunk"]: r["mean"].toArray() for r in parts.groupBy("chunk").agg(mean).collect()}
+    finally:
+        shared.destroy()
+    whole = np.concatenate([found[c] for c in sorted(found)])
+    return float(whole[0]), whole[1:]
 
 
 def _descend(state: np.ndarray, size: int, grad: np.ndarray, optimizer: str, rate: float, step: int) -> None:

@@ -67,40 +67,47 @@ def test_dropout_only_in_training():
     assert set(np.unique(dropped)) == {0.0, 2.0} and abs(dropped.mean() - 1.0) < 0.1
 
 
-def test_one_partition_is_sequential_descent(spark):
+def test_training_is_sequential_descent(spark):
     df = generate.sample_data(spark.range(95), "id", "line").cache()
     spec = layers.curve_fitter(5)
     start = layers.initial(spec, 42, "normal")
-    fitted = training.train(df, "id", ["x"], "y", spec, "squared", "sgd", 0.005, epochs=3, batch_size=10, workers=1, seed=42, start=start)
+    fitted = training.train(df, "id", ["x"], "y", spec, "squared", "sgd", 0.005, epochs=2, batch_size=20, seed=42, start=start)
     values = layers.flat(start)
     losses = []
-    for epoch in (1, 2, 3):
+    for epoch in (1, 2):
         rows = df.withColumn("h", hash52("id", f"42/{epoch}")).orderBy("h", "id").collect()
         x, y = np.array([[r["x"]] for r in rows]), np.array([r["y"] for r in rows])
         batch = []
-        for i in range(0, 95, 10):
+        for i in range(0, 95, 20):
             params = layers.unflat(values, spec)
-            out, saved = layers.forward(spec, params, x[i : i + 10])
-            loss, grad = layers.loss_and_gradient(out, y[i : i + 10], "squared")
+            out, saved = layers.forward(spec, params, x[i : i + 20])
+            loss, grad = layers.loss_and_gradient(out, y[i : i + 20], "squared")
             values = values - 0.005 * layers.flat(layers.backward(spec, params, saved, grad))
             batch.append(loss)
         losses.append(np.mean(batch))
     assert np.allclose(layers.flat(fitted.params), values)
     assert [h[2] for h in fitted.history] == pytest.approx(losses)
-    assert [h[1] for h in fitted.history] == [10, 10, 10]
+    assert [h[1] for h in fitted.history] == [5, 5]
 
 
-def test_loss_falls_with_several_workers(spark):
-    df = generate.sample_data(spark.range(400), "id", "line")
+def test_a_step_spreads_over_tasks(spark, monkeypatch):
+    """Blocks of 16 rows over four partitions give the gradient of the whole batch."""
+    monkeypatch.setattr(training, "SCORE_ROWS", 16)
+    df = generate.sample_data(spark.range(400), "id", "line").cache()
     spec = layers.curve_fitter(5)
-    fitted = training.train(df, "id", ["x"], "y", spec, "squared", "sgd", 0.005, epochs=15, batch_size=10, workers=3, start=layers.initial(spec, 42, "normal"))
-    assert fitted.history[-1][2] < fitted.history[0][2]
+    start = layers.initial(spec, 42, "normal")
+    fitted = training.train(df, "id", ["x"], "y", spec, "squared", "sgd", 0.005, epochs=1, batch_size=400, start=start)
+    rows = df.collect()
+    out, saved = layers.forward(spec, start, np.array([[r["x"]] for r in rows]))
+    loss, grad = layers.loss_and_gradient(out, np.array([r["y"] for r in rows]), "squared")
+    assert np.allclose(layers.flat(fitted.params), layers.flat(start) - 0.005 * layers.flat(layers.backward(spec, start, saved, grad)))
+    assert fitted.history[0][2] == pytest.approx(loss)
 
 
 def test_training_is_repeatable_on_any_partitioning(spark, data):
     rows = load(spark, data, "embeddings").select("vec_id", "embedding", "label")
     spec = layers.fully_connected(64, 10)
-    runs = [training.train(rows.repartition(p), "vec_id", "embedding", "label", spec, epochs=2, batch_size=32, workers=2) for p in (1, 5)]
+    runs = [training.train(rows.repartition(p), "vec_id", "embedding", "label", spec, epochs=1, batch_size=250) for p in (1, 5)]
     assert np.allclose(layers.flat(runs[0].params), layers.flat(runs[1].params))
 
 
@@ -108,7 +115,7 @@ def test_classifier_learns_its_training_rows(spark, data):
     rows = load(spark, data, "embeddings").select("vec_id", "embedding", "label")
     rows = prepare.scale_pixels(rows, "embedding", 0.0, 0.125)  # unit variance per element
     spec = layers.fully_connected(64, 10)
-    fitted = training.train(rows, "vec_id", "embedding", "label", spec, epochs=10, batch_size=32, workers=1)
+    fitted = training.train(rows, "vec_id", "embedding", "label", spec, rate=0.005, epochs=8, batch_size=125)
     assert fitted.history[-1][2] < 0.9 * fitted.history[0][2]
     assert training.evaluate(fitted, rows, "embedding", "label") > 40.0
 
