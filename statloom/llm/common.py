@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,24 @@ def text_slices(texts: pd.Series, limit: int = SLICE_BYTES) -> Iterator[list[str
         yield texts.iloc[start:end].tolist()
 
 
+def give_back() -> None:
+    """Return memory that is no longer used to the system: a worker process outlives its task and shares the machine with the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
+def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task, giving memory back when it has ended."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def held_out(id_col: str, modulus: int, remainder: int):
     """Rows that learning must not see: crc32 of the id as text, modulo `modulus`, is `remainder`. A NULL id is held out."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus == remainder, F.lit(True))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, texts_of
+from .common import give_back, pieces_of, texts_of
 
 ERROR_RATE = 0.08
 BLOCK_CHARS = 4 << 20  # item text searched in one pass
@@ -186,6 +186,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
             block = Items(*stated)
             for texts in batches:
                 yield pd.Series([any(True for _ in block.found(normal(t))) for t in texts], dtype=bool)
+            give_back()
 
         return F.pandas_udf(held, "boolean")
 

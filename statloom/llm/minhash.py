@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from statloom.session import materialise
 
-from .common import pieces_of, texts_of
+from .common import lean, pieces_of, texts_of
 from .components import components
 from .shingles import WordHashes, shingle_set
 
@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
                 )
 
     schema = "doc_id long, copy binary, n_shingles long, node binary, signature binary, sketch binary"
-    return texts_of(docs, id_col, text_col).withColumn("copy", _copy(F.col("text"))).mapInArrow(run, schema)
+    return texts_of(docs, id_col, text_col).withColumn("copy", _copy(F.col("text"))).mapInArrow(lean(run), schema)
 
 
 def _copy(text: Column) -> Column:
@@ -192,7 +192,7 @@ def best_partners(nodes: DataFrame, threshold: float, least: float) -> DataFrame
             node = batch.column("node")
             yield pa.RecordBatch.from_arrays([node.take(pa.array(a[last])), node.take(pa.array(b[last])), pa.array(worth[last])], ["a", "b", "worth"])
 
-    found = forest(nodes).mapInArrow(run, "a binary, b binary, worth double")
+    found = forest(nodes).mapInArrow(lean(run), "a binary, b binary, worth double")
     return found.groupBy("a").agg(F.max(F.struct("worth", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
 
 
@@ -212,7 +212,7 @@ def best_apart(nodes: DataFrame, least: float) -> DataFrame:
             node = batch.column("node")
             yield pa.RecordBatch.from_arrays([node.take(pa.array(a[last])), node.take(pa.array(b[last])), pa.array(worth[last])], ["a", "b", "worth"])
 
-    found = forest(nodes).mapInArrow(run, "a binary, b binary, worth double")
+    found = forest(nodes).mapInArrow(lean(run), "a binary, b binary, worth double")
     best = found.groupBy("a").agg(F.max(F.struct("worth", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -336,7 +336,7 @@ def nodes_apart(nodes: DataFrame, least: float, percent: int) -> DataFrame:
             found = _marked(block, least, None, percent).column("node").unique()
             yield pa.RecordBatch.from_arrays([found], ["node"])
 
-    return cells(nodes.select("node", "group", "signature", "few", "length")).mapInArrow(run, "node binary").distinct()
+    return cells(nodes.select("node", "group", "signature", "few", "length")).mapInArrow(lean(run), "node binary").distinct()
 
 
 def links_apart(nodes: DataFrame, texts: DataFrame, least: float, long_least: float, words: int, percent: int) -> DataFrame:
@@ -363,9 +363,9 @@ def links_apart(nodes: DataFrame, texts: DataFrame, least: float, long_least: fl
 
     rows = cells(nodes.select(*columns[:6]))
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
-    marked = materialise(rows.mapInArrow(mark, schema), "marked")
+    marked = materialise(rows.mapInArrow(lean(mark), schema), "marked")
     whole = marked.join(texts.select("node", "text"), "node").repartition("cell").sortWithinPartitions("cell")
-    return whole.mapInArrow(confirm, "a binary, b binary").distinct()
+    return whole.mapInArrow(lean(confirm), "a binary, b binary").distinct()
 
 
 def _links(block: pa.RecordBatch, hashes: WordHashes, least: float, long_least: float, words: int, percent: int) -> list[tuple]:
@@ -426,7 +426,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
     joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     joined = joined.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(lean(run), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -510,7 +510,7 @@ def of_their_node(texts: DataFrame, words: int) -> DataFrame:
                 part = pa.RecordBatch.from_arrays([part.column("node"), part.column("text"), pa.array(sketch, pa.binary())], ["node", "text", "sketch"])
                 yield part.filter(pa.array(same, pa.bool_()))
 
-    return texts.mapInArrow(run, "node binary, text string, sketch binary")
+    return texts.mapInArrow(lean(run), "node binary, text string, sketch binary")
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -11,7 +11,7 @@ FOLD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 class WordHashes(dict):
     """64-bit hash of a word; words seen lately are kept, at most about `limit`."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, text_slices, texts_of
+from .common import give_back, lean, pieces_of, text_slices, texts_of
 from .labelled import calibrated, fit_isotonic, labelled_sample
 
 # Pronouns of the second person in five languages. The lexicon of insults has no fixed words; labels make it.
@@ -39,7 +40,7 @@ def terms(word: str) -> list[str]:
 class Weights(dict):
     """Lexicon weight of a word: the largest among its terms, 0 if there is none. Words seen lately are kept."""
 
-    def __init__(self, lexicon: dict[str, float], limit: int = 300_000):
+    def __init__(self, lexicon: dict[str, float], limit: int = 100_000):
         super().__init__()
         self.lexicon, self.limit = lexicon, limit
 
@@ -169,7 +170,7 @@ def learn_lexicons(sample: DataFrame, words: int = 4000, least: int = 3) -> list
     side = {"even": F.col("fold") % 2 == 0, "odd": F.col("fold") % 2 == 1, "all": F.lit(True)}
     counts = [c for k, v in side.items() for c in (F.sum(F.when(v, F.col("label"))).alias(f"hit_{k}"), F.count(F.when(v, 1)).alias(f"n_{k}"))]
     totals = sample.agg(*counts).first()
-    counted = sample.select("label", "fold", "text").mapInArrow(distinct, "label int, fold int, terms array<string>")
+    counted = sample.select("label", "fold", "text").mapInArrow(lean(distinct), "label int, fold int, terms array<string>")
     counted = counted.select("label", "fold", F.explode("terms").alias("term")).groupBy("term").agg(*counts)
     counted = counted.where((F.col("hit_all") >= least) & (F.length("term") > 2)).persist(StorageLevel.DISK_ONLY)
     lexicons = []
@@ -209,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = 16
                 x = [features(t or "", other[f % 2]) for t, f in zip(part.column("text").to_pylist(), part.column("fold").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column("label"), part.column("fold"), pa.array(x, pa.list_(pa.float64()))], ["label", "fold", "x"])
 
-    table = sample.select("label", "fold", "text").mapInArrow(run, "label int, fold int, x array<double>")
+    table = sample.select("label", "fold", "text").mapInArrow(lean(run), "label int, fold int, x array<double>")
     table = table.orderBy(F.xxhash64("x"), "label").toPandas()  # at most `rows` rows of FEATURES numbers
     x = np.array(table["x"].tolist(), dtype=float).reshape(-1, FEATURES)
     y, half = table["label"].to_numpy(dtype=float), table["fold"].to_numpy() % 2
@@ -231,7 +232,7 @@ def score(docs: DataFrame, model: dict, threshold: float = 0.3, id_col: str = "d
             p = calibrated(model["trees"].raw(x), model["knots"])
             yield pa.RecordBatch.from_arrays([doc_id, pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, predicted int")
+    return texts_of(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:
@@ -241,11 +242,14 @@ def keep_clean(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFram
     empty table gives an empty one.
     """
 
-    def predicted(texts: pd.Series) -> pd.Series:
-        weights, found = Weights(model["weights"]), []
-        for part in text_slices(texts) if len(texts) else ():
-            x = np.array([features(t or "", weights) for t in part], dtype=float).reshape(-1, FEATURES)
-            found.append(calibrated(model["trees"].raw(x), model["knots"]) >= threshold)
-        return pd.Series(np.concatenate(found) if found else np.zeros(0, dtype=bool))
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weights = Weights(model["weights"])
+        for texts in batches:
+            found = [np.zeros(0, dtype=bool)]
+            for part in text_slices(texts) if len(texts) else ():
+                x = np.array([features(t or "", weights) for t in part], dtype=float).reshape(-1, FEATURES)
+                found.append(calibrated(model["trees"].raw(x), model["knots"]) >= threshold)
+            yield pd.Series(np.concatenate(found))
+        give_back()
 
     return docs.where(~F.pandas_udf(predicted, "boolean")(F.col("text")))
