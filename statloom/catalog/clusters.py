@@ -61,7 +61,7 @@ def _(spark, d):
     return rounded(kmeans.inertia(kmeans.assign(rows, ["x1", "x2"], fit.centers)), 4)
 
 
-@query("elbow_single_cluster", f"select 1 as k, {o.rnd('sum(x1 * x1 + x2 * x2)', 4)} as wcss from ({SCALED_SQL})")
+@query("elbow_single_cluster", f"select 1 as k, {o.rnd('sum(x1 * x1 + x2 * x2)', 4)} as wcss, true as converged from ({SCALED_SQL})")
 def _(spark, d):
     return rounded(kmeans.elbow(scaled_blobs(spark, d), "id", ["x1", "x2"], [1]), 4)
 
