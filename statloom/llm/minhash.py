@@ -217,14 +217,15 @@ def best_apart(nodes: DataFrame, least: float) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def cells(nodes: DataFrame) -> DataFrame:
-    """Rows of `nodes` by order (`tree`) and region of HEAD values, for regions of several groups, with the `cell` they are compared in.
+def cells(nodes: DataFrame, carried: list[str]) -> DataFrame:
+    """Rows of `nodes` by order (`tree`) and region of HEAD values, for regions of several groups, with the `cell` they are compared in
+    and the columns that are `carried` there.
 
     A region of up to CELL rows and CELL_SHINGLES shingles (`length`) is one cell. The rows of a larger one are dealt to parts, those of its
     largest group apart from the others, and every two parts that may hold different groups make a cell: rows of different `side` are
     compared, or all (-1).
     """
-    others = nodes.columns
+    others = carried
     twice = F.concat("signature", "signature")
     rows = nodes.select(*others, twice.alias("twice"), F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("tree"))
     rows = rows.select(*others, "tree", F.expr(f"substring(twice, tree * {2 * STEP} + 1, {2 * HEAD})").alias("head"))
@@ -336,7 +337,7 @@ def nodes_apart(nodes: DataFrame, least: float, percent: int) -> DataFrame:
             found = _marked(block, least, None, percent).column("node").unique()
             yield pa.RecordBatch.from_arrays([found], ["node"])
 
-    return cells(nodes.select("node", "group", "signature", "few", "length")).mapInArrow(lean(run), "node binary").distinct()
+    return cells(nodes, ["node", "group", "few", "length"]).mapInArrow(lean(run), "node binary").distinct()
 
 
 def links_apart(nodes: DataFrame, texts: DataFrame, least: float, long_least: float, words: int, percent: int) -> DataFrame:
@@ -361,7 +362,7 @@ def links_apart(nodes: DataFrame, texts: DataFrame, least: float, long_least: fl
                 if links:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*links)], ["a", "b"])
 
-    rows = cells(nodes.select(*columns[:6]))
+    rows = cells(nodes, columns[:6])
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
     marked = materialise(rows.mapInArrow(lean(mark), schema), "marked")
     whole = marked.join(texts.select("node", "text"), "node").repartition("cell").sortWithinPartitions("cell")

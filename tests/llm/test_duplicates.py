@@ -105,7 +105,7 @@ def test_cells_hold_every_pair_of_different_groups(spark, monkeypatch):
     group = {i: draw.choice([0, 0, 0, 1, 2, 30 + i]) for i in range(60)}
     signature = bytes(2 * minhash.VALUES)
     rows = [(bytes([i]), bytes([g]), signature, bytes(minhash.VALUES // 2), 9) for i, g in group.items()]
-    dealt = minhash.cells(spark.createDataFrame(rows, "node binary, group binary, signature binary, few binary, length long"))
+    dealt = minhash.cells(spark.createDataFrame(rows, "node binary, group binary, signature binary, few binary, length long"), ["node", "group", "few", "length"])
     frame = pa.Table.from_pandas(dealt.toPandas().sort_values("cell"), preserve_index=False).to_batches()[0]
     node = frame.column("node").to_pylist()
     found = [frozenset((node[a][0], node[b][0])) for i, j, *_ in minhash._hits(frame, 0.8) for a, b in zip(i, j)]
