@@ -28,7 +28,7 @@ _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[ord(c) for c in string.punctuation]] = True
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[ord(c) for c in string.ascii_letters + string.digits]] = True
-_WIDE = np.array(sorted(int.from_bytes(c.encode(), "big") for c in "                　"))
+_WIDE = np.array([int.from_bytes(chr(c).encode(), "big") for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
 
 
 class UnitTable:
