@@ -121,6 +121,8 @@ def backward(layers: Layers, params: list[np.ndarray], saved: list, grad: np.nda
             p -= 2
             bias = grad.sum(axis=0) if kind == "dense" else np.array([grad.sum()])
             grads = [kept.T @ grad, bias, *grads]
+            if p == 0:
+                break  # nothing trainable lies before the first layer
             grad = grad @ params[p].T
         elif kind == "conv":
             p -= 2

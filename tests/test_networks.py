@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from statloom.catalog import QUERIES
 from statloom.catalog.networks import CALORIES, MARKETING
 from statloom.functions.hashing import hash52
 from statloom.operators import layers, network, prepare, training
@@ -104,6 +105,33 @@ def test_a_step_spreads_over_tasks(spark, monkeypatch):
     assert fitted.history[0][2] == pytest.approx(loss)
 
 
+def test_batches_share_jobs(spark, monkeypatch):
+    """A run of batches is one task's work: 95 batches take few jobs, and runs that end anywhere give the same descent."""
+    df = generate.sample_data(spark.range(950), "id", "line").cache()
+    spec = layers.curve_fitter(5)
+    start = layers.initial(spec, 42, "normal")
+
+    def trained(group):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            return training.train(df, "id", ["x"], "y", spec, "squared", "adam", 0.005, epochs=1, batch_size=10, start=start)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    whole = trained("whole")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("whole")) < 30
+    monkeypatch.setattr(training, "RUN_ROWS", 235)  # runs of 23 batches
+    cut = trained("cut")
+    assert np.allclose(layers.flat(whole.params), layers.flat(cut.params)) and whole.history[0][:2] == cut.history[0][:2] == (1, 95)
+    assert whole.history[0][2] == pytest.approx(cut.history[0][2])
+
+
+def test_the_curve_is_trained_in_small_batches(spark, data):
+    """20 passes in batches of ten rows, not fewer passes in larger ones."""
+    rows = QUERIES["train_curve_network"](spark, data).collect()
+    assert len(rows) == 20 and {r["batches"] for r in rows} == {-(-load(spark, data, "customer").count() // 10)}
+
+
 def test_training_is_repeatable_on_any_partitioning(spark, data):
     rows = load(spark, data, "embeddings").select("vec_id", "embedding", "label")
     spec = layers.fully_connected(64, 10)
