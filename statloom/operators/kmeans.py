@@ -23,6 +23,8 @@ from ..plans.vectors import collect_vectors, list_column, matrix
 ROUNDS = 4  # rounds of drawing
 DRAWN = 2  # rows drawn in a round, times the largest k
 BLOCK_VALUES = 1 << 20  # numbers in the centres of the runs that one pass advances
+CELLS = 1 << 20  # scores of rows against centres that a task holds at once
+FEW = 32  # centres that are compared one after the other
 ROUNDING = 1e-24  # a squared shift of the centres, as a share of the variance, that is no movement but rounding
 CENTER_SCHEMA = "run int, k int, cluster int, center array<double>, n bigint, converged boolean"
 
@@ -83,7 +85,7 @@ def fit_kmeans_runs(
         limit = (tol + ROUNDING) * _mean_variance(rows, n, width)
         active = runs
         for _ in range(max_iter):
-            sums = _sums_of(rows, active, width)
+            sums = _sums_of(rows, active, width, errors=False)
             for r in active:
                 r.converged = _update(r, sums) <= limit
                 r.iterations += 1
@@ -174,43 +176,45 @@ def _picked(points: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     return points[chosen]
 
 
-def _membership(label: np.ndarray, k: int) -> np.ndarray:
-    """One row per cluster with a one for each member."""
-    return (label[None, :] == np.arange(k)[:, None]).astype(np.float64)
-
-
 def _mean_variance(rows: DataFrame, n: int, width: int) -> float:
     origin = KMeansRun(0, 1, np.zeros((1, width)), np.zeros(1), 0.0, 0)
     whole = _partial_sums(rows, [origin], width)[(0, 0)]
     return max(0.0, float(whole[1] / n - ((whole[2:] / n) ** 2).sum())) / width
 
 
-def _sums_of(rows: DataFrame, runs: list[KMeansRun], width: int) -> dict:
+def _sums_of(rows: DataFrame, runs: list[KMeansRun], width: int, errors: bool = True) -> dict:
     """`_partial_sums` of any number of runs, in blocks whose centres have about BLOCK_VALUES numbers."""
     found, block, held = {}, [], 0
     for r in runs:
         if block and held + r.centers.size > BLOCK_VALUES:
-            found |= _partial_sums(rows, block, width)
+            found |= _partial_sums(rows, block, width, errors)
             block, held = [], 0
         block.append(r)
         held += r.centers.size
-    return found | _partial_sums(rows, block, width)
+    return found | _partial_sums(rows, block, width, errors)
 
 
-def _partial_sums(rows: DataFrame, runs: list[KMeansRun], width: int) -> dict:
-    """Per (run, cluster): count, squared error and feature sums of the assigned rows."""
+def _partial_sums(rows: DataFrame, runs: list[KMeansRun], width: int, errors: bool = True) -> dict:
+    """Per (run, cluster): count, squared error (0 without `errors`) and feature sums of the assigned rows."""
     broadcast = rows.sparkSession.sparkContext.broadcast([(r.run, r.centers) for r in runs])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros((len(c), width + 2)) for _, c in broadcast.value]
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x = matrix(batch.column(0))
+            columns = np.ascontiguousarray(x.T)
             for total, (_, centers) in zip(totals, broadcast.value):
-                label, d2 = nearest_center(x, centers)
-                member = _membership(label, len(centers))
-                total[:, 0] += member.sum(axis=1)
-                total[:, 1] += member @ d2
-                total[:, 2:] += member @ x
+                k = len(centers)
+                if errors:
+                    label, d2 = nearest_center(x, centers)
+                    total[:, 1] += np.bincount(label, d2, k)
+                else:
+                    label = nearest_label(x, centers)
+                total[:, 0] += np.bincount(label, minlength=k)
+                for j, column in enumerate(columns):
+                    total[:, 2 + j] += np.bincount(label, column, k)
         ids = [(run, c) for run, centers in broadcast.value for c in range(len(centers))]
         values = np.concatenate(totals)
         yield pa.RecordBatch.from_arrays(
@@ -226,15 +230,32 @@ def _partial_sums(rows: DataFrame, runs: list[KMeansRun], width: int) -> dict:
 
 
 def nearest_center(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest centre (lowest index on a tie) and the squared distance to it.
+    """Index of the nearest centre (lowest index on a tie) and the squared distance to it."""
+    label = nearest_label(x, centers)
+    return label, ((x - centers[label]) ** 2).sum(axis=1)
+
 
-    Both are moved by the mean centre first: far from the origin the products would swallow the differences.
+def nearest_label(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Index of the nearest centre, in slices of rows that bound the scores held.
+
+    Rows and centres are moved by the mean centre first: far from the origin the products would swallow the differences.
     """
     middle = centers.mean(axis=0)
     near = centers - middle
-    scores = (near**2).sum(axis=1) - 2.0 * ((x - middle) @ near.T)
-    label = scores.argmin(axis=1)
-    return label, ((x - centers[label]) ** 2).sum(axis=1)
+    own = (near**2).sum(axis=1)[:, None]
+    label, step = np.zeros(len(x), np.int64), max(1, CELLS // len(centers))
+    for i in range(0, len(x), step):
+        scores = near @ (x[i : i + step] - middle).T
+        scores *= -2.0
+        scores += own
+        if len(centers) > FEW:
+            label[i : i + step] = scores.argmin(axis=0)
+            continue
+        best = scores[0]
+        for c in range(1, len(centers)):
+            np.putmask(label[i : i + step], scores[c] < best, c)
+            best = np.minimum(best, scores[c])
+    return label
 
 
 def _update(run: KMeansRun, sums: dict) -> float:

@@ -26,6 +26,7 @@ from .kmeans import complete_points, features_column, fit_kmeans, nearest_center
 MAX_EXACT = 20_000
 MAX_BYTES = 256 * 1024 * 1024
 BLOCK_CELLS = 4_000_000
+CLOSE_PAIRS = 1 << 15  # pairs whose differences are held at once
 CONDENSE_STEPS = 20
 TASK_WORK = 40_000_000
 MERGE_SCHEMA = "step int, left bigint, right bigint, height double, size bigint, exact boolean"
@@ -257,10 +258,17 @@ def _by_cluster(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _distances(block: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Euclidean distances by a matrix product; close pairs, where it loses digits, by differences."""
     own, other = (block**2).sum(axis=1)[:, None], (points**2).sum(axis=1)[None, :]
-    squared = own + other - 2.0 * (block @ points.T)
-    i, j = np.nonzero(squared < 1e-6 * (own + other))
-    squared[i, j] = ((block[i] - points[j]) ** 2).sum(axis=1)
-    return np.sqrt(squared)
+    sizes = own + other
+    squared = block @ points.T
+    squared *= -2.0
+    squared += sizes
+    sizes *= 1e-6
+    i, j = np.nonzero(squared < sizes)
+    del sizes
+    for a in range(0, len(i), CLOSE_PAIRS):  # near copies may be all pairs of a block
+        some = i[a : a + CLOSE_PAIRS], j[a : a + CLOSE_PAIRS]
+        squared[some] = ((block[some[0]] - points[some[1]]) ** 2).sum(axis=1)
+    return np.sqrt(squared, out=squared)
 
 
 def _nearest_clusters(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -174,3 +176,41 @@ def test_nearest_centre_far_from_the_origin():
     label, d2 = kmeans.nearest_center(np.array([[1e9], [1e9 + 1], [1e9 + 0.9]]), centers)
     assert label.tolist() == [0, 1, 1]
     assert np.allclose(d2, [0.0, 0.0, 0.01], atol=1e-6)
+
+
+def _peak(call) -> int:
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_nearest_centre_among_many_holds_few_scores():
+    """10,000 rows against 4,001 centres: all scores together would be 320 MB."""
+    draw = np.random.default_rng(3)
+    x, centers = draw.normal(size=(10_000, 8)), draw.normal(size=(4_001, 8))
+    assert _peak(lambda: kmeans.nearest_center(x, centers)) < 64e6
+    near = ((x[:50, None] - centers[None]) ** 2).sum(axis=2)
+    label, d2 = kmeans.nearest_center(x[:50], centers)
+    assert (label == near.argmin(axis=1)).all() and np.allclose(d2, near.min(axis=1))
+    few = kmeans.nearest_center(x[:50], centers[:20])[0]
+    assert (few == near[:, :20].argmin(axis=1)).all()
+
+
+def test_sums_of_a_batch_hold_no_table_of_members(spark):
+    run = kmeans.KMeansRun(0, 3, np.array([[0.0], [5.0], [9.0]]), np.zeros(3), 0.0, 0)
+    rows = spark.range(10).select(F.array(F.col("id").cast("double")).alias("x"))
+    sums = kmeans._partial_sums(rows, [run], 1)
+    assert sum(v[0] for v in sums.values()) == 10 and sum(v[2] for v in sums.values()) == 45
+    quick = kmeans._partial_sums(rows, [run], 1, errors=False)
+    assert all(q[0] == sums[key][0] and q[1] == 0 and q[2] == sums[key][2] for key, q in quick.items())
+
+
+def test_distances_of_near_copies_hold_few_pairs():
+    """All pairs of a block are close: their differences together would be 256 MB."""
+    points = 1000.0 + np.random.default_rng(4).normal(size=(1_000, 32)) * 1e-4
+    assert _peak(lambda: linkage._distances(points, points)) < 96e6
+    expected = np.sqrt(((points[:9, None] - points[None]) ** 2).sum(axis=2))
+    assert np.allclose(linkage._distances(points[:9], points), expected, rtol=1e-9, atol=0)
