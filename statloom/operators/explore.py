@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash52
-from ..plans.group_order import group_order_statistics, group_quantiles
+from ..plans.group_order import beside_groups, group_order_statistics, group_quantiles
 from ..plans.order_stats import quantiles
+from ..session import materialise
 
 PROFILE_SCHEMA = (
     "column string, n bigint, missing bigint, mean double, sd double, low double, high double, "
@@ -17,18 +18,23 @@ PROFILE_SCHEMA = (
 
 def quartiles(df: DataFrame, category: str, value: str) -> DataFrame:
     """Exact quartiles per category, however many there are and however large one of them is."""
+    return _sized_quartiles(df, category, value).drop("size")
+
+
+def _sized_quartiles(df: DataFrame, category: str, value: str) -> DataFrame:
     found = group_quantiles(df, F.col(value), F.col(category).cast("string"), [0.25, 0.5, 0.75])
-    return found.select(F.col("g").alias("category"), *[F.col("q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
+    names = enumerate(["q1", "median", "q3"])
+    return found.select(F.col("g").alias("category"), *[F.col("q")[i].alias(n) for i, n in names], F.col("n").alias("size"))
 
 
 def box_plot(df: DataFrame, category: str, value: str) -> DataFrame:
     """Quartiles, whiskers at the farthest points within 1.5 IQR, and row count per category; NULL is a category too."""
-    q = quartiles(df, category, value)
-    points = df.select(F.col(category).cast("string").alias("category"), F.col(value).cast("double").alias("v"))
+    q = materialise(_sized_quartiles(df, category, value).withColumnRenamed("category", "__category"), "quartiles")
+    points = df.select(F.col(category).cast("string").alias("category"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("v") >= F.col("q1") - reach) & (F.col("v") <= F.col("q3") + reach)
     return (
-        points.join(q.withColumnRenamed("category", "__category"), F.col("category").eqNullSafe(F.col("__category")))
+        beside_groups(points, "category", q, "__category", "size")
         .groupBy("category", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("v"))).alias("low_whisker"),

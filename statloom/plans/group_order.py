@@ -3,7 +3,8 @@
 Every wanted rank has a bracket, a range of values that holds it, kept with exact counts in a DataFrame. Where a bracket holds many rows, a
 mergeable quantile sketch of the values inside it names a narrower one, and a pass counts exactly what lies below and inside. Once brackets
 hold few rows, their values are counted and the ranks read off. Nothing per group reaches the driver, no group is gathered or sorted
-whole, and a hot group is split by the join that Spark deals anew (or by the broadcast of a small table of brackets).
+whole, and rows of a group of more than HOT_ROWS meet what is known of it by a broadcast, where they are read: there are at most as many such
+groups as the rows hold HOT_ROWS.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 LEAF_ROWS = 1_000_000  # rows of a bracket whose values are counted and sorted
+HOT_ROWS = 1_000_000  # rows of a group that are not sent to one task
 STEPS = 64  # a sketch is read at this many even steps
 ACCURACY = 1000  # relative error of a sketch, far below a step
 MOST_ROUNDS = 20
@@ -31,10 +33,11 @@ def group_order_statistics(df: DataFrame, value: Column, group: Column, ranks: C
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
     sizes = rows.groupBy("g").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     wanted = sizes.select("g", "n", F.explode(F.array_distinct(ranks(F.col("n")))).alias("rank"), "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
+    wanted = materialise(wanted, "brackets")
     for _ in range(MOST_ROUNDS):
         if not _wide(wanted, leaf_rows):
             return _resolved(rows, wanted)
-        wanted = materialise(_narrowed(rows, materialise(wanted, "brackets"), leaf_rows), "brackets")
+        wanted = materialise(_narrowed(rows, wanted, leaf_rows), "brackets")
     raise RuntimeError(f"brackets did not close in {MOST_ROUNDS} rounds")
 
 
@@ -48,9 +51,27 @@ def _brackets(wanted: DataFrame) -> DataFrame:
     return named.groupBy("bg", "lo", "hi", "below", "inside", "n").agg(F.collect_list("rank").alias("ranks"))
 
 
-def _inside(rows: DataFrame, brackets: DataFrame) -> DataFrame:
-    """Rows beside every bracket that holds them. A group has few brackets, a row lies in fewer."""
-    return rows.join(brackets, rows["g"].eqNullSafe(brackets["bg"]) & (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+def beside_groups(rows: DataFrame, group: str, table: DataFrame, key: str, size: str, also: Column | None = None) -> DataFrame:
+    """Rows beside every row of `table` that has their group under `key`, and meets `also`; `size` counts the rows of the group.
+
+    `table` should be cheap to read again. Rows of groups over HOT_ROWS stay where they are.
+    """
+    hot = table.where(F.col(size) > HOT_ROWS)  # at most as many groups as the rows hold HOT_ROWS
+    names = hot.select(F.col(key).alias("__hot")).distinct()
+    matched = F.col(group).eqNullSafe(F.col(key))
+    matched = matched if also is None else matched & also
+    others = rows.join(F.broadcast(names), F.col(group).eqNullSafe(F.col("__hot")), "left_anti")
+    return rows.join(F.broadcast(hot), matched).unionByName(others.join(table.where(F.col(size) <= HOT_ROWS), matched))
+
+
+def _holds() -> Column:
+    """A group has few brackets, a row lies in fewer."""
+    return (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+
+
+def _inside(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows beside every bracket that holds them, for brackets of more rows than a leaf has: there are few."""
+    return rows.join(F.broadcast(large), rows["g"].eqNullSafe(large["bg"]) & _holds())
 
 
 def _narrowed(rows: DataFrame, wanted: DataFrame, leaf_rows: int) -> DataFrame:
@@ -89,7 +110,7 @@ def _resolved(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Ranks read off the counted values of their brackets."""
     brackets = _brackets(wanted)
     keys = ["g", "n", "lo", "hi", "below", "ranks"]
-    counted = _inside(rows, brackets).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("equal"))
+    counted = beside_groups(rows, "g", brackets, "bg", "n", _holds()).groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("equal"))
     so_far = Window.partitionBy("g", "lo", "hi").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = (F.col("below") + F.sum("equal").over(so_far)).alias("upto")
     placed = counted.select("g", "n", "v", "equal", "ranks", upto)
