@@ -23,6 +23,8 @@ from ..plans.vectors import collect_vectors, list_column, matrix
 ROUNDS = 4  # rounds of drawing
 DRAWN = 2  # rows drawn in a round, times the largest k
 BLOCK_VALUES = 1 << 20  # numbers in the centres of the runs that one pass advances
+DEALT_ROWS = 10_000  # fewer rows are not spread over more tasks
+DEALT_VALUES = 1 << 22  # numbers of a task's rows, where there are more tasks than cores
 CELLS = 1 << 20  # scores of rows against centres that a task holds at once
 FEW = 32  # centres that are compared one after the other
 ROUNDING = 1e-24  # a squared shift of the centres, as a share of the variance, that is no movement but rounding
@@ -75,6 +77,7 @@ def fit_kmeans_runs(
         n, width = first
         if n == 0:
             raise ValueError("no rows to cluster")
+        rows = _dealt(rows, n, width)
         drawn = _drawn_rows(rows, n_init, DRAWN * max(ks), seed)
         weights = _nearest_counts(rows, drawn, width)
         runs = []
@@ -101,6 +104,18 @@ def fit_kmeans_runs(
         rows.unpersist()
 
 
+def _dealt(rows: DataFrame, n: int, width: int) -> DataFrame:
+    """The rows over all cores: a small file is read by one task, which every pass would then wait for."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(cores, -(-n // DEALT_ROWS)), -(-n * width // DEALT_VALUES))
+    if parts == 1:
+        return rows
+    dealt = rows.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt.count()
+    rows.unpersist()
+    return dealt
+
+
 def _drawn_rows(rows: DataFrame, starts: int, number: int, seed: int) -> list[np.ndarray]:
     """Per start the rows drawn: the one of smallest hash, then `number` more in each round.
 

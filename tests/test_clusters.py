@@ -214,3 +214,12 @@ def test_distances_of_near_copies_hold_few_pairs():
     assert _peak(lambda: linkage._distances(points, points)) < 96e6
     expected = np.sqrt(((points[:9, None] - points[None]) ** 2).sum(axis=2))
     assert np.allclose(linkage._distances(points[:9], points), expected, rtol=1e-9, atol=0)
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark):
+    rows = spark.range(25_000).coalesce(1).select("id", F.array(F.col("id").cast("double")).alias("x")).cache()
+    dealt = kmeans._dealt(rows, 25_000, 1)
+    assert dealt.rdd.getNumPartitions() == 3 and dealt.agg(F.sum("id")).first()[0] == 25_000 * 24_999 // 2
+    dealt.unpersist()
+    assert kmeans._dealt(rows, 9_000, 1) is rows
+    rows.unpersist()
