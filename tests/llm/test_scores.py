@@ -9,10 +9,11 @@ import re
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from statloom.llm import catalog, decontamination, language, quality, secret_scan, toxicity
-from statloom.llm.labelled import calibrated, fit_isotonic
+from statloom.llm.labelled import calibrated, fit_isotonic, fit_isotonic_table
 
 TABLE = "/root/testdata/sf0.01"
 
@@ -244,6 +245,58 @@ def test_network_gradient():
         assert np.isclose(found[name][at], (high - low) / (2 * step), atol=1e-6)
 
 
+def test_findings_beyond_3000_documents_count(spark):
+    """Only documents that a sample of 3,000 by the hash of the id would leave out hold findings."""
+    ids = spark.range(3400).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id").collect()
+    texts = [(r["doc_id"], f"case {i}: token={i:024x} and more" if i >= 3000 else "nothing here") for i, r in enumerate(ids)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    with_findings, without = secret_scan.fit(documents), secret_scan.fit(documents.where("text = 'nothing here'"))
+    assert np.abs(with_findings["network"].parts["filters"] - without["network"].parts["filters"]).max() > 0.01
+    assert sorted((r["run"], r["label"]) for r in secret_scan.findings_of(documents).collect()) == [(f"{i:024x}", 1) for i in range(3000, 3400)]
+
+
+def test_fit_over_parts_against_plain_averages(spark, monkeypatch):
+    draw = random.Random(8)
+    texts = [(i, f"{draw.choice(['token=', 'see '])}{draw.randbytes(14).hex()} and {draw.choice(['a', 'b'])}-report-{draw.randrange(2000)}-of-2024 {i}") for i in range(300)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    n = secret_scan.findings_of(documents).count()
+    monkeypatch.setattr(secret_scan, "PART", -(-n // 3))
+    model = secret_scan.fit(documents)
+    rows = secret_scan.examples(secret_scan.findings_of(documents), 3, 4).orderBy("part").collect()
+    parts = [[np.frombuffer(r[c], dtype=np.uint8) for c in ("x", "y", "aside")] for r in rows]
+    assert sum(len(y) for _, y, _ in parts) == 3 * n + sum(len(secret_scan.public_formats(150, seed=3 + 10 * p)) for p in range(3))
+    parts = [(x.reshape(-1, secret_scan.WIDTH), y.astype(float), out > 0) for x, y, out in parts]
+    network = secret_scan.Network()
+    zeros = {k: np.zeros_like(v) for k, v in network.parts.items()}
+    state, step, randoms = network.packed([zeros, zeros]), 0, [np.random.default_rng(2 + 10 * p) for p in range(3)]
+    for _ in range(8):
+        ends, total, size = [], 0, 0
+        for (x, y, out), order in zip(parts, randoms):
+            local = secret_scan.Network()
+            moments = local.unpacked(state)
+            ends.append(local.walk(x[~out], y[~out], moments, step, order.permutation((~out).sum())))
+            total, size = total + (~out).sum() * local.packed(moments), size + (~out).sum()
+        state, step = total / size, max(ends)
+    network.unpacked(state)
+    assert all(np.allclose(v, network.parts[k], atol=1e-9) for k, v in model["network"].parts.items())
+    raw = np.concatenate([model["network"].scores(x[out]) for x, _, out in parts])
+    label = np.concatenate([y[out] for _, y, out in parts])
+    knots = fit_isotonic(raw, label)
+    assert all(np.allclose(a, b) for a, b in zip(model["knots"], knots))
+    assert np.isclose(model["threshold"], np.quantile(calibrated(raw, knots)[label > 0], 0.05, method="lower"))
+
+
+def test_isotonic_over_ranges(spark):
+    draw = np.random.default_rng(3)
+    raw = np.round(draw.normal(0, 2, 3000), 2)
+    label = (draw.random(3000) < 1 / (1 + np.exp(-raw))).astype(int)
+    table = spark.createDataFrame(list(zip(raw.tolist(), label.tolist())), "raw double, label int")
+    for some, expected in ((table, fit_isotonic(raw, label)), (table.where("false"), fit_isotonic(np.zeros(0), np.zeros(0)))):
+        for parts in (1, 5):
+            found = fit_isotonic_table(some, "raw", "label", parts)
+            assert len(found[0]) == len(expected[0]) and all(np.allclose(a, b) for a, b in zip(found, expected))
+
+
 def test_pipeline(spark, odd):
     documents = spark.read.parquet(f"{TABLE}/documents.parquet")
     sizes, docs = [], documents.where("doc_id < 300")
