@@ -18,14 +18,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import pieces_of, texts_of
+from .common import lean, pieces_of, texts_of
 from .tables import IntTable
 from .units import UnitCache, remembered
 
 NONE = np.int32(2**31 - 1)
 WIDEST = 128  # leaves of a tree that is merged side by side with others
 ROWS = 8192  # pieces merged side by side
-ENCODED_BYTES = 4 << 20  # text encoded at a time; its units and ids take some 20 times as much
+ENCODED_BYTES = 1 << 20  # text encoded at a time; its units and ids take some 20 times as much
+UNITS = 100_000  # units that a worker remembers, twice as many while they change over
 _SIGNS = tuple(".,;:!?")
 
 
@@ -208,7 +209,7 @@ class ByteBPE:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        units = UnitCache(self.encode_units, self.kept).lookup(texts)
+        units = UnitCache(self.encode_units, self.kept, UNITS).lookup(texts)
         return [np.frombuffer(b"".join(found), dtype="<u4") for found in units]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -240,7 +241,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([doc_id, lists], ["doc_id", "ids"])
 
-    return texts_of(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return texts_of(df, id_col, text_col).mapInArrow(lean(run), "doc_id long, ids array<int>")
 
 
 def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -254,7 +255,7 @@ def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_c
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(decoded, pa.binary())], ["doc_id", "decoded"])
 
     ids = df.select(df[id_col].cast("long").alias("doc_id"), df[ids_col].alias("ids"))
-    return ids.mapInArrow(run, "doc_id long, decoded binary")
+    return ids.mapInArrow(lean(run), "doc_id long, decoded binary")
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,4 +285,4 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
             )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return texts_of(df, id_col, text_col).mapInArrow(run, schema)
+    return texts_of(df, id_col, text_col).mapInArrow(lean(run), schema)

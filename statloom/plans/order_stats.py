@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BINS = 4096  # histogram bins of one span
 LEAF_ROWS = 20_000  # a span of at most this many rows is fetched as value counts
 MAX_GROUPS = 10_000
 DRIVER_ROWS = 400_000  # bins or leaf values fetched per pass, over all spans
+PLAIN = {"boolean", "int", "bigint", "double", "string"}  # types that Arrow takes from Python values as they are
 
 
 class TooManyGroups(ValueError):
@@ -138,17 +140,19 @@ def _holding(group, below: int, ranks: list[int], bins: list) -> list[_Span]:
 
 def _inside(rows: DataFrame, spans: list[_Span]) -> DataFrame:
     """Rows falling in a span. Spans of one group are disjoint, so a row matches one at most."""
-    spark = rows.sparkSession
-    g_type = rows.schema["g"].dataType.simpleString()
-    v_type = rows.schema["v"].dataType.simpleString()
-    table = spark.createDataFrame(
-        [(i, s.group, s.lo, s.hi) for i, s in enumerate(spans)],
-        f"span int, sg {g_type}, lo {v_type}, hi {v_type}",
-    )
+    table = _span_table(rows.sparkSession, spans, *(rows.schema[c].dataType.simpleString() for c in "gv"))
     on = rows["g"].eqNullSafe(table["sg"]) & (rows["v"] >= table["lo"]) & (rows["v"] <= table["hi"])
     return rows.join(F.broadcast(table), on)  # at most MAX_GROUPS times the wanted ranks
 
 
+def _span_table(spark: SparkSession, spans: list[_Span], g_type: str, v_type: str) -> DataFrame:
+    """The spans as rows; through Arrow where the types allow, because a list of tuples is read by Python workers of a pool of its own, which stays in memory."""
+    names, kinds = ("span", "sg", "lo", "hi"), ("int", g_type, v_type, v_type)
+    cells = [(i, s.group, s.lo, s.hi) for i, s in enumerate(spans)]
+    schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds))
+    return spark.createDataFrame(pa.table(dict(zip(names, map(list, zip(*cells))))) if {g_type, v_type} <= PLAIN else cells, schema)
+
+
 def _narrow(rows: DataFrame, spans: list[_Span], bins: int) -> list[_Span]:
     lo, hi = (F.col(c).cast("double") for c in ("lo", "hi"))
     by_span: dict[int, list] = {}

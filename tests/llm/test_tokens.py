@@ -52,6 +52,19 @@ def test_long_and_short_pieces_agree():
     assert short == [model.encode_long(p) for p in pieces]
 
 
+def test_encoder_works_on_small_parts_and_forgets_units(reference):
+    model = bpe.ByteBPE(bpe.merge_tables(RANKS, P.PATTERN) | {"digest": "of this test"})
+    rows = [" ".join(f"{k:x}g{i:x}" for k in range(2000)) for i in range(250)]  # 500,000 distinct units in 4 MB
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(rows))), "text": rows})
+    some, at = [], 0
+    for doc_ids, encoded in bpe._encoded(iter([batch]), model):
+        some.append(sum(len(rows[i]) for i in doc_ids.to_pylist()))
+        assert encoded[0].tolist() == reference.encode_ordinary(rows[at])
+        assert sum(map(len, model.kept.values())) < 400_000
+        at += len(encoded)
+    assert at == len(rows) and max(some) < 1.1 * (1 << 20)
+
+
 def test_units_put_together_give_the_text():
     for text in texts():
         assert " ".join(units(text)) == text

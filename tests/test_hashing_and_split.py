@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime
 import math
 
 import numpy as np
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions.hashing import hash52, normal, uniform
 from statloom.operators import split
-from statloom.plans import group_order
+from statloom.plans import group_order, order_stats
 from statloom.plans.order_stats import order_statistics, quantiles
 
 
@@ -59,6 +60,16 @@ def test_order_statistics_with_a_hot_value_and_outlier(spark):
     assert found[0][1].equal == 400 and found[0][401].below == 400
 
 
+@pytest.mark.parametrize(("kind", "groups"), [("int", [0, None]), ("string", ["a", None]), ("date", [datetime.date(2020, 1, 2), None])])
+def test_spans_become_rows_without_python_workers(spark, kind, groups):
+    spans = [order_stats._Span(g, -0.1, math.inf, 3, 9, [4]) for g in groups]
+    table = order_stats._span_table(spark, spans, kind, "double")
+    assert table.dtypes == [("span", "int"), ("sg", kind), ("lo", "double"), ("hi", "double")]
+    assert sorted(map(tuple, table.collect())) == [(i, g, -0.1, math.inf) for i, g in enumerate(groups)]
+    if kind != "date":  # a second pool of workers took 85 MB of every executor beside the first
+        assert "PythonRDD" not in table._jdf.queryExecution().toRdd().toDebugString()
+
+
 def test_quantiles_by_group_match_percentile(spark):
     df = spark.range(3000).select((F.col("id") % 3).alias("g"), uniform("id", 5, -10, 10).alias("v"))
     _, found = quantiles(df, F.col("v"), [0.25, 0.5, 0.9], F.col("g"))
