@@ -159,8 +159,6 @@ def _(spark, d):
 
 # ---- agglomerative -------------------------------------------------------------------------
 
-CONDENSE = 500  # leaves kept when a table has more distinct points than an exact tree allows
-
 
 def serial_merges(pairs: str, method: str) -> str:
     """One merge per step over a table of all pairs: i < j and their distance d in, merge table out."""
@@ -214,7 +212,7 @@ EMBEDDING_PAIRS = """select a.vec_id as i, b.vec_id as j, sqrt(sum(pow(cast(a.v
 
 
 def _tree(spark, d, method: str):
-    return linkage.fit_tree(load(spark, d, "embeddings"), "vec_id", "embedding", method, condense=CONDENSE)
+    return linkage.fit_tree(load(spark, d, "embeddings"), "vec_id", "embedding", method)
 
 
 def _linkage_query(method: str) -> None:
@@ -237,7 +235,7 @@ def _supplier_tree(spark, d, method: str = "average"):
     rows = load(spark, d, "supplier").select(
         F.col("s_suppkey").alias("id"), (F.col("s_acctbal") / 1000).alias("x1"), uniform("s_suppkey", 42, 0, 10).alias("x2")
     )
-    return rows, linkage.fit_tree(rows, "id", ["x1", "x2"], method, condense=CONDENSE)
+    return rows, linkage.fit_tree(rows, "id", ["x1", "x2"], method)
 
 
 def _supplier_query(method: str) -> None:
@@ -297,5 +295,5 @@ def _(spark, d):
 @query("tree_cut_blobs", f"with {lloyd_ctes()} select id, cast(dense_rank() over (order by first) - 1 as integer) as cluster from (select id, min(id) over (partition by cluster) as first from l)")
 def _(spark, d):
     rows = scaled_blobs(spark, d)
-    tree = linkage.fit_tree(rows, "id", ["x1", "x2"], "average", condense=CONDENSE)
+    tree = linkage.fit_tree(rows, "id", ["x1", "x2"], "average")
     return tree.assign(rows, ["x1", "x2"], 3).select("id", "cluster")

@@ -63,6 +63,29 @@ def test_rounds_equal_the_serial_loop(spark, monkeypatch, method, split):
     assert heights == sorted(heights)
 
 
+@pytest.mark.parametrize("method", ["average", "single", "complete", "ward"])
+def test_rounds_over_blocks_equal_the_serial_loop(spark, monkeypatch, method):
+    monkeypatch.setattr(linkage, "MATRIX_CLUSTERS", 5)
+    monkeypatch.setattr(linkage, "BLOCK_CLUSTERS", 8)
+    monkeypatch.setattr(linkage, "NEAREST", 2)
+    draw = np.random.default_rng(5)
+    points, weights = draw.normal(size=(50, 3)), draw.integers(1, 4, 50).astype(float)
+    points[:12] = points[0] + draw.normal(size=(12, 3)) * 1e-3
+    merges, _ = linkage._merge_rounds(spark, points, weights, method)
+    expected = serial_linkage(points, weights, method)
+    assert [(a, b, n) for a, b, _, n in merges] == [(a, b, n) for a, b, _, n in expected]
+    assert np.allclose([m[2] for m in merges], [m[2] for m in expected])
+
+
+def test_single_linkage_of_many_points_is_exact(spark):
+    """Merge heights on a line are the gaps between neighbours."""
+    df = spark.range(20_200).select("id", uniform("id", "line", 0, 1000).alias("a"))
+    tree = linkage.fit_tree(df, "id", ["a"], "single")
+    line = np.sort([r["a"] for r in df.collect()])
+    assert tree.exact and len(tree.merges) == 20_199 and tree.merges[-1][3] == 20_200
+    assert np.allclose([m[2] for m in tree.merges], np.sort(np.diff(line)), rtol=1e-9, atol=0)
+
+
 def test_tied_grid_ends_with_one_cluster(spark):
     df = spark.range(36).select("id", (F.col("id") % 6).cast("double").alias("a"), F.floor(F.col("id") / 6).cast("double").alias("b"))
     for method in ("average", "single", "complete", "ward"):
