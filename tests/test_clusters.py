@@ -86,6 +86,18 @@ def test_single_linkage_of_many_points_is_exact(spark):
     assert np.allclose([m[2] for m in tree.merges], np.sort(np.diff(line)), rtol=1e-9, atol=0)
 
 
+def test_top_levels_of_many_points_are_exact(spark):
+    """Two clouds of 20,000 and 200 points: the last height is the mean over all pairs of their rows."""
+    side = F.when(F.col("id") < 20_000, 0.0).otherwise(50.0)
+    df = spark.range(20_200).select("id", (side + uniform("id", "x", 0, 9)).alias("a"), uniform("id", "y", 0, 9).alias("b"))
+    tree = linkage.fit_tree(df, "id", ["a", "b"], "average")
+    root = tree.top_levels(spark, 0).collect()[0]
+    assert tree.exact and len(tree.merges) == 20_199 and (root["left_size"], root["right_size"]) == (20_000, 200)
+    x = tree.points
+    assert root["height"] == pytest.approx(np.mean([np.sqrt(((x[:20_000] - p) ** 2).sum(axis=1)).mean() for p in x[20_000:]]))
+    assert tree.cut(2).tolist() == [0] * 20_000 + [1] * 200
+
+
 def test_tied_grid_ends_with_one_cluster(spark):
     df = spark.range(36).select("id", (F.col("id") % 6).cast("double").alias("a"), F.floor(F.col("id") / 6).cast("double").alias("b"))
     for method in ("average", "single", "complete", "ward"):
