@@ -35,6 +35,7 @@ from .kmeans import complete_points, features_column, fit_kmeans, nearest_center
 MAX_BYTES = 256 * 1024 * 1024
 MATRIX_CLUSTERS = 3_000  # clusters whose distances to each other the driver holds, 72 MB
 BLOCK_CELLS = 1 << 18  # distances a task holds at once
+CACHE_CELLS = 1 << 16  # those of a pass over all pairs
 BLOCK_CLUSTERS = 256  # clusters of a block
 NEAREST = 8  # leaves that a leaf keeps in single linkage
 FEW = 16  # clusters whose rows are summed by a product
@@ -331,10 +332,11 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _squared(block: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Squared distances by a matrix product; close pairs, where it loses digits, by differences."""
-    own, other = (block**2).sum(axis=1), (points**2).sum(axis=1)
-    squared = (-2.0 * block) @ points.T
-    squared += own[:, None]
-    squared += other
+    own, other, width = (block**2).sum(axis=1), (points**2).sum(axis=1), block.shape[1]
+    left, right = np.ones((len(block), width + 2)), np.ones((len(points), width + 2))
+    left[:, :width], left[:, width] = -2.0 * block, own
+    right[:, :width], right[:, width + 1] = points, other
+    squared = left @ right.T
     limit = 1e-6 * (own.max(initial=0.0) + other.max(initial=0.0))
     if squared.min(initial=np.inf) < limit:
         i, j = np.nonzero(squared < limit)
@@ -491,7 +493,7 @@ class Clusters:
 def _summed(block: np.ndarray, weights: np.ndarray, points: np.ndarray, method: str) -> np.ndarray:
     """Weighted sum (or maximum) over the block of the distances to every point."""
     total, rows = np.zeros(len(points)), min(len(block), 256)
-    columns = max(1, BLOCK_CELLS // rows)
+    columns = max(1, CACHE_CELLS // rows)
     for j in range(0, len(points), columns):
         for i in range(0, len(block), rows):
             d = _distances(block[i : i + rows], points[j : j + columns])
@@ -593,7 +595,7 @@ def _slice_sums(first: int, last: int, points, weights, cluster, starts, method)
         own, inner = np.unique(cluster[block], return_index=True)
         begin = starts[own[0]]
         total = np.empty((len(own), len(points) - begin))
-        step = max(1, BLOCK_CELLS // 256)
+        step = max(1, CACHE_CELLS // 256)
         for j in range(begin, len(points), step):
             d = _distances(points[block], points[j : j + step])
             total[:, j - begin : j - begin + step] = _by_rows(d, weights[block], inner, method)

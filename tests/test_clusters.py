@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import tracemalloc
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from statloom.catalog import ORACLES, QUERIES
 from statloom.functions.hashing import hash52, normal, uniform
 from statloom.operators import kmeans, linkage, prepare
 from statloom.sources import generate
+from tests.check_oracle import differences
 
 CENTERS = [(-2.5, 9.0), (4.5, 2.0), (-6.5, -7.0)]
 
@@ -125,6 +128,21 @@ def test_condensed_tree_keeps_every_row(spark, blobs):
     assert len(pairs) == 3
 
 
+def test_cut_of_many_customers_equals_the_sql(spark, tmp_path):
+    ids = [20_500 - i for i in range(20_500)]
+    spark.createDataFrame([(i,) for i in ids], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    assert differences(QUERIES["tree_cut_blobs"](spark, str(tmp_path)), con, ORACLES["tree_cut_blobs"]) is None
+
+
+def test_rows_without_a_leaf_go_to_the_nearest(spark):
+    rows = [(0, 0.0, 1.0), (1, 0.1, 1.0), (2, 7.0, 7.0)]
+    tree = linkage.fit_tree(spark.createDataFrame(rows, "id long, a double, b double"), "id", ["a", "b"])
+    other = spark.createDataFrame([(5, -0.0, 1.0), (6, 6.0, 8.0), (7, 7.0, 7.0)], "id long, a double, b double")
+    assert {r["id"]: r["cluster"] for r in tree.assign(other, ["a", "b"], 2).collect()} == {5: 0, 6: 1, 7: 1}
+
+
 def test_kmeans_finds_the_groups(spark, blobs):
     fit = kmeans.fit_kmeans(blobs, "id", ["x1", "x2"], 3)
     labelled = kmeans.assign(blobs, ["x1", "x2"], fit.centers)
